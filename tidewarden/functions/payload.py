@@ -8,7 +8,7 @@ need; no cast could tell ``5`` from ``"5"``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 METRIC_FIELDS = "metric STRING, value DOUBLE"
@@ -21,6 +21,20 @@ def read_fields(fields: str, payload: Column | str = "payload") -> Column:
     return F.from_json(payload, fields, {"allowNonNumericNumbers": "false"})
 
 
+def with_fields(rows: DataFrame, fields: str, name: str = "fields") -> DataFrame:
+    """Add the struct of payload fields as ``name``."""
+    return parse_once(rows, read_fields(fields), name)
+
+
+def parse_once(rows: DataFrame, parsed: Column, name: str) -> DataFrame:
+    """Add an expensive column so that it is computed once per row.
+
+    Filters on a plain column are pushed below it, with a copy of its expression;
+    they cannot move below a generator.
+    """
+    return rows.select("*", F.explode(F.array(parsed)).alias(name))
+
+
 def metric_name(payload: Column, fields: Column, subtype: Column) -> Column:
     """Name used by the detectors: no payload at all hides even the subtype."""
     return F.when(payload.isNull(), F.lit("unknown")).otherwise(

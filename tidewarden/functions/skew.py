@@ -80,18 +80,30 @@ def small_group_rows(
     return rows.join(F.broadcast(hottest), keys, "left_anti").join(large, keys, "left_anti")
 
 
-def bounded_lists(
-    rows: DataFrame, keys: list[str], item: Column, name: str, limit: int
-) -> DataFrame:
-    """Per group its row count ``n`` and, up to ``limit`` rows, the sorted items.
+def bounded_items(item: str, limit: int) -> Column:
+    """Aggregate: all distinct values of a text column and their counts, in bounded memory.
+
+    The sketch behind ``approx_top_k`` is exact while it tracks every value, which
+    holds up to ``limit`` distinct values; callers discard the result beyond that.
+    """
+    return F.expr(f"approx_top_k({item}, {limit}, {4 * limit})")
+
 
-    Larger groups get a null list: their members stay rows of ``rows``, which is
-    the form in which any number of them can be processed.
+def bounded_lists(rows: DataFrame, keys: list[str], item: str, name: str, limit: int) -> DataFrame:
+    """Per group its row count ``n`` and, up to ``limit`` rows, the sorted texts of ``item``.
+
+    Copies are kept and nulls left out. Larger groups get a null list: their members
+    stay rows of ``rows``, the form in which any number of them can be processed.
     """
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    lists = (
-        small_group_rows(rows, sizes, keys, "n", limit)
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(item)).alias(name))
+    counted = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), bounded_items(item, limit).alias("items")
+    )
+    repeated = F.flatten(
+        F.transform(
+            F.filter("items", lambda e: e["item"].isNotNull()),
+            lambda e: F.array_repeat(e["item"], e["count"].cast("int")),
+        )
+    )
+    return counted.select(
+        *keys, "n", F.when(F.col("n") <= limit, F.array_sort(repeated)).alias(name)
     )
-    return sizes.join(lists, keys, "left")

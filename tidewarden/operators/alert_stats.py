@@ -88,19 +88,20 @@ def alert_statistics(alerts: DataFrame, as_of: Column) -> dict[str, DataFrame]:
 def alert_statistics_row(alerts: DataFrame, as_of: Column) -> DataFrame:
     """The same statistics in one row; the lists are short by nature."""
     parts = alert_statistics(alerts, as_of)
-    top = parts["by_source"].agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("count")).alias("rank"), "source", "count")))
-    ).scalar()
-    return parts["totals"].withColumns(
+    ranked = F.struct((-F.col("count")).alias("rank"), "source", "count")
+    top = parts["by_source"].agg(F.array_sort(F.collect_list(ranked))).scalar()
+    row = parts["totals"].withColumns(
         {
-            "by_source": F.transform(
-                top, lambda s: F.struct(s["source"].alias("source"), s["count"].alias("count"))
-            ),
+            "top": top,
             "by_severity": _nested(parts["by_severity"]),
             "by_status": _nested(parts["by_status"]),
             "hourly": _nested(parts["hourly"]),
         }
     )
+    named = F.transform(
+        "top", lambda s: F.struct(s["source"].alias("source"), s["count"].alias("count"))
+    )
+    return row.withColumn("by_source", named).drop("top")
 
 
 def shares(rollup: DataFrame, scale: int = 100) -> DataFrame:

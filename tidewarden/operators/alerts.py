@@ -53,18 +53,28 @@ def alert_candidates(insights: DataFrame) -> DataFrame:
 
 
 def first_per_anomaly(candidates: DataFrame) -> DataFrame:
-    """Keep the earliest alert per anomaly id; blank ids are never merged."""
+    """Keep the earliest alert per anomaly id; blank ids are never merged.
+
+    Rows with a blank id are grouped by their whole content and written out again
+    as often as they came, later copies under ids of their own.
+    """
     identified = has_text("anomaly_id")
-    others = [c for c in ALERT_COLUMNS if c != "anomaly_id"]
+    content = F.sha2(F.to_json(F.struct(*ALERT_COLUMNS)), 256)
     order = F.struct("detected_at", "id", "title", "description", "recommendation")
-    first = (
-        candidates.where(identified)
-        .groupBy("anomaly_id")
-        .agg(F.min_by(F.struct(*others), order).alias("first"))
-        .select("anomaly_id", "first.*")
-        .select(*ALERT_COLUMNS)
+    grouped = candidates.groupBy(
+        identified.alias("identified"),
+        F.when(identified, F.col("anomaly_id")).otherwise(content).alias("identity"),
+    ).agg(
+        F.min_by(F.struct(*ALERT_COLUMNS), order).alias("first"),
+        F.count(F.lit(1)).alias("copies"),
     )
-    return first.unionByName(candidates.where(~identified).select(*ALERT_COLUMNS))
+    wanted = F.when(F.col("identified"), F.lit(1).cast("bigint")).otherwise(F.col("copies"))
+    rows = grouped.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), wanted)))
+    own_id = F.when(F.col("copy") == 1, F.col("first.id")).otherwise(
+        stable_id(F.col("first.id"), F.col("copy"))
+    )
+    others = [F.col(f"first.{c}") for c in ALERT_COLUMNS if c != "id"]
+    return rows.select(own_id.alias("id"), *others)
 
 
 def create_alerts(insights: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -77,10 +87,25 @@ def create_alerts(insights: DataFrame, existing: DataFrame | None = None) -> Dat
 
 
 class StatusResult(NamedTuple):
+    """``outcomes`` has one row per request and outcome, with the state before it."""
+
     alerts: DataFrame
-    accepted: DataFrame
-    rejected: DataFrame
-    not_found: DataFrame
+    outcomes: DataFrame
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.outcomes.where(F.col("outcome") == ACCEPTED)
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.outcomes.where(F.col("outcome") == REJECTED)
+
+    @property
+    def not_found(self) -> DataFrame:
+        return self.outcomes.where(F.col("outcome") == NOT_FOUND)
+
+
+ACCEPTED, REJECTED, NOT_FOUND = "accepted", "rejected", "not found"
 
 
 def apply_status_updates(alerts: DataFrame, updates: DataFrame) -> StatusResult:
@@ -126,17 +151,26 @@ def apply_status_updates(alerts: DataFrame, updates: DataFrame) -> StatusResult:
     )
     outcome = judged.withColumns({"taken": taken, "before": before})
     exists = F.col("initial").isNotNull()
-    columns = ["alert_id", "new_status", "at"]
-    accepted = outcome.where(exists & F.col("taken")).select(
-        *columns, F.col("before").alias("old_status")
-    )
-    refused_copies = F.col("copies") - F.when(F.col("taken"), 1).otherwise(0)
-    rejected = outcome.where(exists & (refused_copies > 0)).select(
-        *columns,
-        F.when(F.col("taken"), F.col("new_status")).otherwise(F.col("before")).alias("old_status"),
-        refused_copies.alias("copies"),
+    # Of equal requests the first copy is taken and leaves its own status to the others.
+    refused = F.col("copies") - F.when(F.col("taken"), 1).otherwise(0)
+    seen = F.when(F.col("taken"), F.col("new_status")).otherwise(F.col("before"))
+
+    def entry(name: str, old_status: Column, copies: Column, applies: Column) -> Column:
+        made = F.struct(
+            F.lit(name).alias("outcome"), old_status.alias("old_status"), copies.alias("copies")
+        )
+        return F.when(applies, made)
+
+    entries = F.array_compact(
+        F.array(
+            entry(ACCEPTED, F.col("before"), F.lit(1).cast("bigint"), exists & F.col("taken")),
+            entry(REJECTED, seen, refused, exists & (refused > 0)),
+            entry(NOT_FOUND, F.lit(None).cast("string"), F.col("copies"), ~exists),
+        )
     )
-    not_found = outcome.where(~exists).select(*columns, "copies")
+    outcomes = outcome.select(
+        "alert_id", "new_status", "at", F.explode(entries).alias("entry")
+    ).select("alert_id", "new_status", "at", "entry.*")
 
     done = effects.where("initial is not null").select(
         F.col("alert_id").alias("id"), "ack", "resolve"
@@ -153,7 +187,7 @@ def apply_status_updates(alerts: DataFrame, updates: DataFrame) -> StatusResult:
         )
         .select(*alerts.columns)
     )
-    return StatusResult(updated, accepted, rejected, not_found)
+    return StatusResult(updated, outcomes)
 
 
 def _instant(value: str | dt.datetime | Column, like: DataFrame) -> Column:

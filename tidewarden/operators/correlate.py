@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import window_bounds
-from ..functions.skew import bounded_lists, join_groups, small_group_rows
+from ..functions.skew import bounded_items, join_groups, small_group_rows
 from ..functions.text import has_text, json_object
 
 KEYS = ["window_start", "window_end", "correlation_id"]
@@ -114,61 +114,61 @@ def enriched_record(rows: DataFrame) -> DataFrame:
     )
 
 
-def _touched(hits: DataFrame, samples: DataFrame) -> DataFrame:
-    """Correlation groups that contribute a metric event to a firing metric group."""
-    firing = hits.select(
-        "window_start", "window_end", F.col("service").alias("source"), "metric"
-    ).distinct()
-    pairs = samples.select(*METRIC_GROUP, "correlation_id").distinct()
-    return pairs.join(firing, METRIC_GROUP, "left_semi")
-
-
 def context_members(
-    hits: DataFrame, samples: DataFrame, events: DataFrame, bucket: str
+    firing: DataFrame, samples: DataFrame, events: DataFrame, bucket: str
 ) -> DataFrame:
-    """Distinct member ids behind each firing metric group, as rows."""
-    rows = with_window(events, bucket)
-    members = rows.where(F.col("id").isNotNull()).select(*KEYS, "id").distinct()
-    sizes = members.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    # One row per correlation group on the small side, so its hot members can be salted.
-    owners = (
-        _touched(hits, samples)
-        .groupBy(*KEYS)
-        .agg(F.collect_set(F.struct("source", "metric")).alias("owners"))
+    """Distinct members (id, source) of the correlation groups behind each firing metric group.
+
+    ``firing`` holds the keys of metric groups with a hit. The join of members with
+    the metric groups that touch them is left to AQE, which splits a hot correlation
+    id; its small side has one row per correlation group.
+    """
+    touched = (
+        samples.select(*METRIC_GROUP, "correlation_id").distinct()
+        .join(firing.select(*METRIC_GROUP), METRIC_GROUP, "left_semi")
+    )
+    owners = touched.groupBy(*KEYS).agg(
+        F.collect_set(F.struct("source", "metric")).alias("owners")
+    )
+    members = (
+        with_window(events, bucket)
+        .select(*KEYS, F.col("id").alias("member_id"), F.col("source").alias("member_source"))
+        .distinct()
     )
-    weighted = sizes.join(owners, KEYS, "left")
-    found = join_groups(members, weighted, KEYS, "n", ["id"], keep=F.col("owners").isNotNull())
     return (
-        found.select("window_start", "window_end", F.explode("owners").alias("owner"), "id")
-        .select("window_start", "window_end", "owner.source", "owner.metric", "id")
+        members.join(owners, KEYS)
+        .select("window_start", "window_end", F.explode("owners").alias("owner"),
+                "member_id", "member_source")
+        .select("window_start", "window_end", "owner.*", "member_id", "member_source")
         .distinct()
     )
 
 
 def attach_context(
-    hits: DataFrame, samples: DataFrame, events: DataFrame, bucket: str, inline_limit: int
+    hits: DataFrame, firing: DataFrame, samples: DataFrame, events: DataFrame,
+    bucket: str, inline_limit: int,
 ) -> DataFrame:
     """Extend the details of enriched hits with the group-wide ids and services."""
-    ids = bounded_lists(
-        context_members(hits, samples, events, bucket),
-        METRIC_GROUP, F.col("id"), "ids", inline_limit,
-    )
-    services = (
-        _touched(hits, samples)
-        .join(_sizes(with_window(events, bucket)).select(*KEYS, "services_in_chain"), KEYS)
-        .select(*METRIC_GROUP, F.explode("services_in_chain").alias("member_source"))
+    wide = (
+        context_members(firing, samples, events, bucket)
         .groupBy(*METRIC_GROUP)
-        .agg(F.array_sort(F.collect_set("member_source")).alias("services"))
+        .agg(
+            F.count_distinct("member_id").alias("ids"),
+            F.array_sort(F.collect_set("member_source")).alias("services"),
+            bounded_items("member_id", inline_limit).alias("items"),
+        )
+        .withColumnRenamed("source", "service")
+    )
+    listed = F.array_sort(
+        F.filter(F.transform("items", lambda e: e["item"]), lambda i: i.isNotNull())
     )
-    wide = services.join(ids, METRIC_GROUP, "left").withColumnRenamed("source", "service")
-    keys = ["window_start", "window_end", "service", "metric"]
     details = json_object(
         value=F.col("value"), mean=F.col("mean"), stddev=F.col("stddev"),
         zScore=F.col("score"), windowSize=F.col("events"),
-        correlatedEventIds=F.when(F.col("n").isNull(), F.array().cast("array<string>"))
-        .otherwise(F.col("ids")),
+        correlatedEventIds=F.when(F.col("ids") <= inline_limit, listed),
         servicesInChain=F.col("services"),
-        correlatedCount=F.coalesce("n", F.lit(0)),
+        correlatedCount=F.col("ids"),
         uniqueServices=F.size("services"),
     )
+    keys = ["window_start", "window_end", "service", "metric"]
     return hits.join(wide, keys, "left").withColumn("details", details)

@@ -35,9 +35,7 @@ ANOMALY_COLUMNS = [
 
 def metric_samples(events: DataFrame) -> DataFrame:
     """Metric events as narrow rows: who, which metric, and the value if it is a JSON number."""
-    parsed = events.where(F.col("type") == METRIC).withColumn(
-        "fields", P.read_fields(P.METRIC_FIELDS)
-    )
+    parsed = P.with_fields(events.where(F.col("type") == METRIC), P.METRIC_FIELDS)
     return parsed.select(
         F.col("id").alias("event_id"),
         never_null(F.col("source"), F.lit("")).alias("source"),
@@ -85,6 +83,20 @@ def can_fire(threshold: float, min_samples: int, min_stddev: float) -> Column:
     )
 
 
+def firing_groups(
+    samples: DataFrame,
+    threshold: float = Z_THRESHOLD,
+    min_samples: int = MIN_SAMPLES,
+    min_stddev: float = MIN_STDDEV,
+) -> DataFrame:
+    """Keys of the groups that hold at least one hit, from their statistics alone."""
+    return window_stats(samples).where(can_fire(threshold, min_samples, min_stddev)).select(*GROUP)
+
+
+def _thresholds(options: dict) -> dict:
+    return {k: v for k, v in options.items() if k in ("threshold", "min_samples", "min_stddev")}
+
+
 def describe(z: Column) -> Column:
     return F.format_string(
         "Z-score %.2f for %s (value=%.1f, mean=%.1f, stddev=%.1f)",
@@ -166,7 +178,8 @@ def detect_enriched(
     samples = windowed_samples(correlated(events), bucket)
     hits = zscore_hits(samples, "enriched-zscore", **options)
     if context:
-        hits = attach_context(hits, samples, correlated(events), bucket, inline_limit)
+        firing = firing_groups(samples, **_thresholds(options))
+        hits = attach_context(hits, firing, samples, correlated(events), bucket, inline_limit)
     return hits.select(*ANOMALY_COLUMNS)
 
 

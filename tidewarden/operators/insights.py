@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import payload as P
 from ..functions.text import has_text, json_object, stable_id, text_or_null
@@ -99,10 +100,8 @@ def log_prompt(language: str | None = None) -> Column:
 
 
 def log_prompts(events: DataFrame, language: str | None = None) -> DataFrame:
-    rows = (
-        events.where(F.col("type") == "log")
-        .withColumn("fields", P.read_fields(P.LOG_FIELDS))
-        .select("id", "source", "fields.*")
+    rows = P.with_fields(events.where(F.col("type") == "log"), P.LOG_FIELDS).select(
+        "id", "source", "fields.*"
     )
     return rows.select("id", log_prompt(language).alias("prompt"))
 
@@ -150,7 +149,8 @@ def batch_scorer(
                     replies = pd.Series([None] * len(batch), index=batch.index, dtype=object)
                 yield batch.drop(columns="prompt").assign(reply=replies)
 
-        schema = anomalies.schema.add("reply", "string")
+        reply = T.StructField("reply", T.StringType())
+        schema = T.StructType([*anomalies.schema.fields, reply])
         return asked.mapInPandas(run, schema)
 
     return scorer

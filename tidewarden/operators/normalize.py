@@ -42,17 +42,20 @@ def event_rules() -> dict[str, Column]:
     return {"source is blank": has_text("source"), "type is blank": has_text("type")}
 
 
-def with_reasons(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Add ``reject_reasons``; an empty array means the row is valid."""
-    found = F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(why)) for why, ok in rules.items()])
-    return df.withColumn("reject_reasons", F.array_compact(found))
+def _reasons(rules: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(~_holds(ok), F.lit(why)) for why, ok in rules.items()]))
+
+
+def _holds(condition: Column) -> Column:
+    return F.coalesce(condition, F.lit(False))
 
 
 def split_valid(df: DataFrame, rules: dict[str, Column]) -> Split:
-    """Two lazy frames over the same rows: the valid ones and the rejects with reasons."""
-    judged = with_reasons(df, rules)
-    good = F.size("reject_reasons") == 0
-    return Split(judged.where(good).drop("reject_reasons"), judged.where(~good))
+    """Two lazy frames over the same rows: the valid ones, and the rejects with reasons."""
+    good = F.lit(True)
+    for condition in rules.values():
+        good = good & _holds(condition)
+    return Split(df.where(good), df.where(~good).withColumn("reject_reasons", _reasons(rules)))
 
 
 def _optional(df: DataFrame, name: str, kind: str = "string") -> Column:

@@ -24,9 +24,7 @@ class MetricPoints(NamedTuple):
 
 def metric_points(events: DataFrame) -> MetricPoints:
     """Metric events as stored points; a point without any name is rejected."""
-    parsed = events.where(F.col("type") == METRIC).withColumn(
-        "fields", P.read_fields(P.METRIC_FIELDS)
-    )
+    parsed = P.with_fields(events.where(F.col("type") == METRIC), P.METRIC_FIELDS)
     points = parsed.select(
         F.col("ts").alias("time"),
         F.concat(F.col("id"), F.lit("-m")).alias("id"),

@@ -1,11 +1,13 @@
 """Stateless threshold rules as data.
 
-A rule is a set of expressions over the event and its parsed payload, so new
-rules are added to a registry rather than written as code paths.
+A rule is a set of expressions over the parsed payload fields, so new rules are
+added to a registry rather than written as code paths. All rules are evaluated in
+one pass over the events; nothing is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,24 +18,22 @@ from ..functions.text import json_object, stable_id, text_or_null
 from ..schemas import CRITICAL, LOG, TRACE, WARNING
 from .detect import ANOMALY_COLUMNS
 
+Part = Callable[[Column], Column]
+
 
 @dataclass(frozen=True)
 class Rule:
-    """``fields`` are read from the payload once; the other parts refer to them by name."""
+    """``fields`` declares the payload fields; every other part is given their struct."""
 
     name: str
     metric: str
     event_type: str
     fields: str
-    condition: Column | str
-    score: Column | str
-    severity: Column | str
-    description: Column | str
-    details: dict[str, Column]
-
-
-def _expr(part: Column | str) -> Column:
-    return F.expr(part) if isinstance(part, str) else part
+    condition: Part
+    score: Part
+    severity: Part
+    description: Part
+    details: Part
 
 
 # Levels that raise the error rule, latency limits in milliseconds.
@@ -48,28 +48,30 @@ def error_rule() -> Rule:
         metric="error-rate",
         event_type=LOG,
         fields=P.LOG_FIELDS,
-        condition=F.col("level").isin(*ERROR_LEVELS),
-        score=F.lit(1.0),
-        severity=F.lit(WARNING),
-        description=F.format_string("Error detected: %s", text_or_null(F.col("message"))),
-        details={"level": F.col("level"), "message": F.col("message")},
+        condition=lambda f: f["level"].isin(*ERROR_LEVELS),
+        score=lambda f: F.lit(1.0),
+        severity=lambda f: F.lit(WARNING),
+        description=lambda f: F.format_string("Error detected: %s", text_or_null(f["message"])),
+        details=lambda f: json_object(level=f["level"], message=f["message"]),
     )
 
 
 def latency_rule(limit_ms: int = LATENCY_MS, critical_ms: int = LATENCY_CRITICAL_MS) -> Rule:
-    whole_ms = F.col("durationMs").cast("bigint")
+    def whole_ms(f: Column) -> Column:
+        return f["durationMs"].cast("bigint")
+
     return Rule(
         name="latency-rule",
         metric="latency",
         event_type=TRACE,
         fields=P.TRACE_FIELDS,
-        condition=whole_ms >= limit_ms,
-        score=whole_ms / F.lit(1000.0),
-        severity=F.when(whole_ms > critical_ms, CRITICAL).otherwise(WARNING),
-        description=F.format_string(
-            "High latency: %dms for %s", whole_ms, text_or_null(F.col("operation"))
+        condition=lambda f: whole_ms(f) >= limit_ms,
+        score=lambda f: whole_ms(f) / F.lit(1000.0),
+        severity=lambda f: F.when(whole_ms(f) > critical_ms, CRITICAL).otherwise(WARNING),
+        description=lambda f: F.format_string(
+            "High latency: %dms for %s", whole_ms(f), text_or_null(f["operation"])
         ),
-        details={"durationMs": whole_ms, "operation": F.col("operation")},
+        details=lambda f: json_object(durationMs=whole_ms(f), operation=f["operation"]),
     )
 
 
@@ -77,36 +79,41 @@ def default_rules() -> list[Rule]:
     return [error_rule(), latency_rule()]
 
 
-def apply_rule(events: DataFrame, rule: Rule) -> DataFrame:
-    """Anomalies of one rule: scan, filter, project; no shuffle."""
-    rows = (
-        events.where(F.col("type") == rule.event_type)
-        .withColumn("fields", P.read_fields(rule.fields))
-        .select(F.col("id").alias("event_id"), "source", "ts", "correlation_id", "fields.*")
+def _anomaly(rule: Rule, fields: Column) -> Column:
+    """Struct of one rule's anomaly, null where the rule does not fire."""
+    made = {
+        "id": stable_id(F.lit(rule.name), F.col("source"), F.lit(rule.metric), F.col("event_id")),
+        "service": F.col("source"),
+        "metric": F.lit(rule.metric),
+        "score": rule.score(fields).cast("double"),
+        "severity": rule.severity(fields),
+        "description": rule.description(fields),
+        "detected_at": F.col("ts"),
+        "details": rule.details(fields),
+        "correlation_id": F.col("correlation_id"),
+        "detector": F.lit(rule.name),
+        "event_id": F.col("event_id"),
+    }
+    fires = (F.col("type") == rule.event_type) & rule.condition(fields)
+    return F.when(fires, F.struct(*[made[name].alias(name) for name in ANOMALY_COLUMNS]))
+
+
+def detect_rules(events: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """Anomalies of all rules, one row per rule that fires on an event."""
+    rules = rules or default_rules()
+    parsed = {
+        f"fields_{i}": F.when(F.col("type") == rule.event_type, P.read_fields(rule.fields))
+        for i, rule in enumerate(rules)
+    }
+    rows = events.where(F.col("type").isin(*{r.event_type for r in rules})).select(
+        F.col("id").alias("event_id"), "source", "type", "ts", "correlation_id",
+        *[value.alias(name) for name, value in parsed.items()],
     )
-    return (
-        rows.where(_expr(rule.condition))
-        .select(
-            stable_id(F.lit(rule.name), F.col("source"), F.lit(rule.metric), F.col("event_id"))
-            .alias("id"),
-            F.col("source").alias("service"),
-            F.lit(rule.metric).alias("metric"),
-            _expr(rule.score).cast("double").alias("score"),
-            _expr(rule.severity).alias("severity"),
-            _expr(rule.description).alias("description"),
-            F.col("ts").alias("detected_at"),
-            json_object(**rule.details).alias("details"),
-            "correlation_id",
-            F.lit(rule.name).alias("detector"),
-            "event_id",
-        )
-        .select(*ANOMALY_COLUMNS)
+    found = F.array_compact(
+        F.array(*[_anomaly(rule, F.col(name)) for rule, name in zip(rules, parsed, strict=True)])
     )
+    return rows.select(F.explode(found).alias("anomaly")).select("anomaly.*")
 
 
-def detect_rules(events: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
-    """All rules over the same events, as a bag union."""
-    first, *others = [apply_rule(events, r) for r in (rules or default_rules())]
-    for frame in others:
-        first = first.unionByName(frame)
-    return first
+def apply_rule(events: DataFrame, rule: Rule) -> DataFrame:
+    return detect_rules(events, [rule])

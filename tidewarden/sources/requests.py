@@ -31,5 +31,5 @@ def batch_receipts(
 
     The ids of larger batches are null here; they are the rows of ``events``.
     """
-    lists = bounded_lists(events, [batch], F.col("id"), "ids", inline_limit)
+    lists = bounded_lists(events, [batch], "id", "ids", inline_limit)
     return lists.select(batch, F.col("n").alias("count"), "ids")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from ..functions.payload import parse_once
 from ..functions.text import iso_instant
 from ..operators.normalize import Split, event_rules, split_valid
 from ..schemas import ANOMALY_EVENT, ENRICHED_EVENT, INSIGHT, TELEMETRY_EVENT
@@ -56,29 +57,37 @@ def non_empty(messages: DataFrame) -> DataFrame:
     return messages.where(F.length("value") > 0)
 
 
-def decode(messages: DataFrame, schema: T.StructType, names: dict[str, str]) -> Split:
-    """Typed rows, and the messages that are no such record (with reasons)."""
+def decode(
+    messages: DataFrame, schema: T.StructType, names: dict[str, str],
+    rules: dict[str, Column] | None = None,
+) -> Split:
+    """Typed rows, and the messages that are no such record (with reasons).
+
+    ``rules`` are further conditions on the decoded columns.
+    """
     wire = _wire_schema(schema, names).add(_BROKEN, T.StringType())
     text = F.col("value").cast("string")
-    rows = non_empty(messages).select(
-        text.alias("value"),
-        F.from_json(text, wire, {"columnNameOfCorruptRecord": _BROKEN}).alias("record"),
+    record = F.from_json(text, wire, {"columnNameOfCorruptRecord": _BROKEN})
+    rows = parse_once(non_empty(messages).select(text.alias("value")), record, "record").select(
+        "value", _is_whole("record").alias("whole"),
+        *[F.col(f"record.{name}").alias(column) for name, column in names.items()],
+    )
+    further = {why: ok | ~F.col("whole") for why, ok in (rules or {}).items()}
+    judged = split_valid(rows, {"malformed JSON": F.col("whole"), **further})
+    return Split(
+        judged.valid.select(*names.values()), judged.rejected.select("value", "reject_reasons")
     )
-    whole = F.col(f"record.{_BROKEN}").isNull() & F.col("record").isNotNull()
-    judged = split_valid(rows, {"malformed JSON": whole})
-    columns = [F.col(f"record.{name}").alias(column) for name, column in names.items()]
-    return Split(judged.valid.select("value", *columns), judged.rejected.drop("record"))
+
+
+def _is_whole(record: str) -> Column:
+    return F.col(f"{record}.{_BROKEN}").isNull() & F.col(record).isNotNull()
 
 
 def decode_events(messages: DataFrame, as_of: Column | None = None) -> Split:
     """Telemetry events; a missing time becomes ``as_of``, blank source or type is rejected."""
-    decoded = decode(messages, TELEMETRY_EVENT, EVENT_NAMES)
+    decoded = decode(messages, TELEMETRY_EVENT, EVENT_NAMES, event_rules())
     now = F.current_timestamp() if as_of is None else as_of
-    judged = split_valid(decoded.valid.withColumn("ts", F.coalesce("ts", now)), event_rules())
-    rejected = decoded.rejected.select("value", "reject_reasons").unionByName(
-        judged.rejected.select("value", "reject_reasons")
-    )
-    return Split(judged.valid.drop("value"), rejected)
+    return Split(decoded.valid.withColumn("ts", F.coalesce("ts", now)), decoded.rejected)
 
 
 def decode_enriched(messages: DataFrame) -> Split:
@@ -86,17 +95,15 @@ def decode_enriched(messages: DataFrame) -> Split:
     original = F.struct(
         *[F.col(f"original.{wire}").alias(column) for wire, column in EVENT_NAMES.items()]
     )
-    return Split(decoded.valid.drop("value").withColumn("original", original), decoded.rejected)
+    return Split(decoded.valid.withColumn("original", original), decoded.rejected)
 
 
 def decode_anomalies(messages: DataFrame) -> Split:
-    decoded = decode(messages, ANOMALY_EVENT, ANOMALY_NAMES)
-    return Split(decoded.valid.drop("value"), decoded.rejected)
+    return decode(messages, ANOMALY_EVENT, ANOMALY_NAMES)
 
 
 def decode_insights(messages: DataFrame) -> Split:
-    decoded = decode(messages, INSIGHT, INSIGHT_NAMES)
-    return Split(decoded.valid.drop("value"), decoded.rejected)
+    return decode(messages, INSIGHT, INSIGHT_NAMES)
 
 
 def _wire_value(df: DataFrame, names: dict[str, str], prefix: str = "") -> Column:

@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.buckets import window_of
@@ -177,7 +178,7 @@ def store_stream(
 
 def stored_alerts(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """Alerts written by earlier batches. An empty store gives an empty frame."""
-    schema = ALERT.add("batch", "bigint") if "batch" not in ALERT.names else ALERT
+    schema = T.StructType([*ALERT.fields, T.StructField("batch", T.LongType())])
     try:
         rows = spark.read.schema(schema).parquet(root)
         rows.schema  # resolves the path
