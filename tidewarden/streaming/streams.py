@@ -11,7 +11,8 @@ window length plus delay.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -213,10 +214,27 @@ def alert_stream(
     return batch_writer(insights, handle, checkpoint, available_now, every).start()
 
 
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a stateful query with no more state partitions than the cluster has cores.
+
+    The number is fixed in the checkpoint at the first start of a query.
+    """
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(configured), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, configured)
+
+
 def run_to_table(frame: DataFrame, label: str) -> DataFrame:
     """Run an append-mode stream over what is available and return the written rows."""
     spark = frame.sparkSession
     folder = fresh_folder(spark, label)
-    query = append_writer(frame, f"{folder}/rows", f"{folder}/checkpoint", available_now=True).start()
-    query.awaitTermination()
+    writer = append_writer(frame, f"{folder}/rows", f"{folder}/checkpoint", available_now=True)
+    with state_partitions(spark):
+        query = writer.start()
+        query.awaitTermination()
     return spark.read.schema(frame.schema).parquet(f"{folder}/rows")
