@@ -190,26 +190,31 @@ def stored_alerts(spark: SparkSession, root: str, before: int | None = None) ->
     return rows if before is None else rows.where(F.col("batch") < before)
 
 
-def alert_stream(
-    insights: DataFrame, root: str, checkpoint: str, available_now: bool = False,
-    every: str = "5 seconds",
-) -> StreamingQuery:
-    """Create alerts once per anomaly id, across batches and redeliveries.
+def write_alert_batch(batch: DataFrame, number: int, root: str) -> None:
+    """Create the alerts of one micro-batch of insights.
 
     A retried batch looks only at batches before its own, so its own partial
     output cannot hide its alerts, and it overwrites its own files.
     """
+    known = stored_alerts(batch.sparkSession, root, before=number)
+    made = create_alerts(batch, known).select(*ALERT_COLUMNS)
+    (
+        made.withColumn("batch", F.lit(number).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(root)
+    )
+
+
+def alert_stream(
+    insights: DataFrame, root: str, checkpoint: str, available_now: bool = False,
+    every: str = "5 seconds",
+) -> StreamingQuery:
+    """Create alerts once per anomaly id, across batches and redeliveries."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        known = stored_alerts(batch.sparkSession, root, before=number)
-        made = create_alerts(batch, known).select(*ALERT_COLUMNS)
-        (
-            made.withColumn("batch", F.lit(number).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(root)
-        )
+        write_alert_batch(batch, number, root)
 
     return batch_writer(insights, handle, checkpoint, available_now, every).start()
 
