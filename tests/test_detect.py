@@ -82,6 +82,22 @@ def test_context_spans_other_services_of_the_group(make_events):
     assert "log" in details["correlatedEventIds"] and details["correlatedCount"] == 21
 
 
+def test_ids_shared_between_correlation_groups_count_once(make_events):
+    """Copies of an id under several correlation ids, against a plain set union."""
+    rows = [
+        {"id": f"i{i % 25}", "payload": f'{{"metric": "m", "value": {v}}}', "correlation_id": f"c{i % 4}"}
+        for i, v in enumerate([1] * 39 + [99])
+    ]
+    rows.append({"id": "i3", "type": "log", "payload": "{}", "correlation_id": "elsewhere"})
+    rows.append({"id": None, "type": "log", "payload": "{}", "source": "nameless", "correlation_id": "c1"})
+    frame = make_events(*rows)
+    for limit in (10, 25):
+        details = json.loads(detect_enriched(frame, inline_limit=limit).collect()[0].details)
+        assert details["correlatedCount"] == 25 and details["servicesInChain"] == ["engine-1", "nameless"]
+        listed = sorted(f"i{i}" for i in range(25)) if limit == 25 else None
+        assert details["correlatedEventIds"] == listed
+
+
 def test_long_id_lists_keep_exact_counts(metric_events):
     frame = metric_events([100] * 19 + [3000], correlation_id="c")
     details = json.loads(detect_enriched(frame, inline_limit=5).collect()[0].details)

@@ -27,6 +27,12 @@ def heaviest_groups(groups: DataFrame, weight: str) -> DataFrame:
     return groups.orderBy(F.desc(weight)).limit(shuffle_partitions(groups.sparkSession))
 
 
+def slice_of(spread_on: list[str], slices: Column) -> Column:
+    """Slice number of a row. The partition number parts copies of one row as well,
+    and unlike a random number it is the same when a lost task runs again."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *spread_on), slices).cast("int")
+
+
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,
@@ -52,10 +58,7 @@ def join_groups(
     tagged = (
         rows.join(F.broadcast(hot), keys, "left")
         .where(F.coalesce(F.col("_wanted"), F.lit(True)))
-        .withColumn(
-            "_slice",
-            F.coalesce(F.pmod(F.xxhash64(*spread_on), F.col("_slices")).cast("int"), F.lit(0)),
-        )
+        .withColumn("_slice", F.coalesce(slice_of(spread_on, F.col("_slices")), F.lit(0)))
         .drop("_slices", "_wanted")
     )
     copied = (

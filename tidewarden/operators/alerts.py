@@ -55,26 +55,22 @@ def alert_candidates(insights: DataFrame) -> DataFrame:
 def first_per_anomaly(candidates: DataFrame) -> DataFrame:
     """Keep the earliest alert per anomaly id; blank ids are never merged.
 
-    Rows with a blank id are grouped by their whole content and written out again
-    as often as they came, later copies under ids of their own.
+    Rows with a blank id pass through without a shuffle. Each gets an id of its own,
+    also when one insight came twice; reading the same files again gives the same ids.
     """
     identified = has_text("anomaly_id")
-    content = F.sha2(F.to_json(F.struct(*ALERT_COLUMNS)), 256)
+    others = [c for c in ALERT_COLUMNS if c != "anomaly_id"]
     order = F.struct("detected_at", "id", "title", "description", "recommendation")
-    grouped = candidates.groupBy(
-        identified.alias("identified"),
-        F.when(identified, F.col("anomaly_id")).otherwise(content).alias("identity"),
-    ).agg(
-        F.min_by(F.struct(*ALERT_COLUMNS), order).alias("first"),
-        F.count(F.lit(1)).alias("copies"),
+    first = (
+        candidates.where(identified)
+        .groupBy("anomaly_id")
+        .agg(F.min_by(F.struct(*others), order).alias("first"))
+        .select("anomaly_id", "first.*")
+        .select(*ALERT_COLUMNS)
     )
-    wanted = F.when(F.col("identified"), F.lit(1).cast("bigint")).otherwise(F.col("copies"))
-    rows = grouped.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), wanted)))
-    own_id = F.when(F.col("copy") == 1, F.col("first.id")).otherwise(
-        stable_id(F.col("first.id"), F.col("copy"))
-    )
-    others = [F.col(f"first.{c}") for c in ALERT_COLUMNS if c != "id"]
-    return rows.select(own_id.alias("id"), *others)
+    own_id = stable_id(F.col("id"), F.monotonically_increasing_id())
+    blank = candidates.where(~identified).withColumn("id", own_id)
+    return first.unionByName(blank.select(*ALERT_COLUMNS))
 
 
 def create_alerts(insights: DataFrame, existing: DataFrame | None = None) -> DataFrame:
@@ -82,8 +78,18 @@ def create_alerts(insights: DataFrame, existing: DataFrame | None = None) -> Dat
     fresh = first_per_anomaly(alert_candidates(insights))
     if existing is None:
         return fresh
-    known = existing.where(has_text("anomaly_id")).select("anomaly_id")
-    return fresh.join(known, "anomaly_id", "left_anti").select(*ALERT_COLUMNS)
+    # Blank ids take part under their own alert id, so they do not meet in one task.
+    identified = has_text("anomaly_id")
+    known = existing.where(identified).select(
+        F.lit(True).alias("identified"), F.col("anomaly_id").alias("identity")
+    )
+    keyed = fresh.withColumns(
+        {
+            "identified": identified,
+            "identity": F.when(identified, F.col("anomaly_id")).otherwise(F.col("id")),
+        }
+    )
+    return keyed.join(known, ["identified", "identity"], "left_anti").select(*ALERT_COLUMNS)
 
 
 class StatusResult(NamedTuple):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import window_bounds
-from ..functions.skew import bounded_items, join_groups, small_group_rows
+from ..functions.skew import join_groups, small_group_rows
 from ..functions.text import has_text, json_object
 
 KEYS = ["window_start", "window_end", "correlation_id"]
@@ -114,33 +114,59 @@ def enriched_record(rows: DataFrame) -> DataFrame:
     )
 
 
-def context_members(
-    firing: DataFrame, samples: DataFrame, events: DataFrame, bucket: str
-) -> DataFrame:
-    """Distinct members (id, source) of the correlation groups behind each firing metric group.
+def context_links(firing: DataFrame, samples: DataFrame) -> DataFrame:
+    """Correlation groups that contribute to each firing metric group, as rows.
 
-    ``firing`` holds the keys of metric groups with a hit. The join of members with
-    the metric groups that touch them is left to AQE, which splits a hot correlation
-    id; its small side has one row per correlation group.
+    With :func:`correlation_members` this is the whole context in factored form:
+    metric group to correlation group, correlation group to member. Its product
+    (every member once per metric group) is never formed for large groups.
     """
-    touched = (
-        samples.select(*METRIC_GROUP, "correlation_id").distinct()
-        .join(firing.select(*METRIC_GROUP), METRIC_GROUP, "left_semi")
+    links = samples.select(*METRIC_GROUP, "correlation_id").distinct()
+    return links.join(firing.select(*METRIC_GROUP), METRIC_GROUP, "left_semi")
+
+
+def _member_pairs(rows: DataFrame) -> DataFrame:
+    """Distinct (correlation group, id); copies of an event combine before the shuffle."""
+    return rows.where(F.col("id").isNotNull()).select(*KEYS, "id").distinct()
+
+
+def _shared_ids(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ids by where they occur: per correlation group the number of ids found only
+    there, and the (group, id) pairs of ids found in several groups of a window."""
+    window = ["window_start", "window_end"]
+    homes = rows.where(F.col("id").isNotNull()).groupBy(*window, "id").agg(
+        F.min("correlation_id").alias("correlation_id"), F.max("correlation_id").alias("last")
+    )
+    own = (
+        homes.where(F.col("correlation_id") == F.col("last"))
+        .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("own_ids"))
     )
-    owners = touched.groupBy(*KEYS).agg(
-        F.collect_set(F.struct("source", "metric")).alias("owners")
+    several = homes.where(F.col("correlation_id") != F.col("last")).select(*window, "id")
+    pairs = _member_pairs(rows).join(several, [*window, "id"], "left_semi")
+    return own, pairs
+
+
+def context_sizes(links: DataFrame, events: DataFrame, bucket: str) -> DataFrame:
+    """Per firing metric group the exact number of distinct ids behind it and its services."""
+    rows = with_window(events, bucket)
+    own, pairs = _shared_ids(rows)
+    groups = rows.groupBy(*KEYS).agg(F.collect_set("source").alias("services")).join(own, KEYS, "left")
+    services = (
+        links.join(groups, KEYS)
+        .select(*METRIC_GROUP, F.col("own_ids"), F.posexplode("services").alias("place", "member"))
+        .groupBy(*METRIC_GROUP)
+        .agg(
+            F.coalesce(F.sum(F.when(F.col("place") == 0, F.col("own_ids"))), F.lit(0)).alias("own_ids"),
+            F.array_sort(F.collect_set("member")).alias("services"),
+        )
     )
-    members = (
-        with_window(events, bucket)
-        .select(*KEYS, F.col("id").alias("member_id"), F.col("source").alias("member_source"))
-        .distinct()
+    shared = (
+        links.join(pairs, KEYS).select(*METRIC_GROUP, "id").distinct()
+        .groupBy(*METRIC_GROUP).agg(F.count(F.lit(1)).alias("shared_ids"))
     )
-    return (
-        members.join(owners, KEYS)
-        .select("window_start", "window_end", F.explode("owners").alias("owner"),
-                "member_id", "member_source")
-        .select("window_start", "window_end", "owner.*", "member_id", "member_source")
-        .distinct()
+    return services.join(shared, METRIC_GROUP, "left").select(
+        *METRIC_GROUP, "services",
+        (F.col("own_ids") + F.coalesce("shared_ids", F.lit(0))).alias("ids"),
     )
 
 
@@ -148,24 +174,29 @@ def attach_context(
     hits: DataFrame, firing: DataFrame, samples: DataFrame, events: DataFrame,
     bucket: str, inline_limit: int,
 ) -> DataFrame:
-    """Extend the details of enriched hits with the group-wide ids and services."""
-    wide = (
-        context_members(firing, samples, events, bucket)
-        .groupBy(*METRIC_GROUP)
-        .agg(
-            F.count_distinct("member_id").alias("ids"),
-            F.array_sort(F.collect_set("member_source")).alias("services"),
-            bounded_items("member_id", inline_limit).alias("items"),
-        )
-        .withColumnRenamed("source", "service")
+    """Extend the details of enriched hits with the group-wide ids and services.
+
+    Ids are listed for metric groups with at most ``inline_limit`` of them; above
+    that the list is null and :func:`context_links` leads to the ids.
+    """
+    links = context_links(firing, samples)
+    sizes = context_sizes(links, events, bucket)
+    short = links.join(
+        sizes.where(F.col("ids") <= inline_limit).select(*METRIC_GROUP), METRIC_GROUP, "left_semi"
+    )
+    lists = (
+        _member_pairs(with_window(events, bucket)).join(short, KEYS).groupBy(*METRIC_GROUP)
+        .agg(F.array_sort(F.collect_set("id")).alias("listed"))
     )
-    listed = F.array_sort(
-        F.filter(F.transform("items", lambda e: e["item"]), lambda i: i.isNotNull())
+    wide = sizes.join(lists, METRIC_GROUP, "left").withColumnRenamed("source", "service")
+    listed = F.when(
+        F.col("ids") <= inline_limit,
+        F.coalesce("listed", F.array().cast("array<string>")),
     )
     details = json_object(
         value=F.col("value"), mean=F.col("mean"), stddev=F.col("stddev"),
         zScore=F.col("score"), windowSize=F.col("events"),
-        correlatedEventIds=F.when(F.col("ids") <= inline_limit, listed),
+        correlatedEventIds=listed,
         servicesInChain=F.col("services"),
         correlatedCount=F.col("ids"),
         uniqueServices=F.size("services"),

@@ -172,8 +172,8 @@ def detect_enriched(
 
     ``context`` adds to the details which events and services the metric's
     correlation groups hold. The counts are exact; the id list is written out up
-    to ``inline_limit`` ids and left null above, where
-    ``correlate.context_members`` gives the same ids as rows.
+    to ``inline_limit`` ids and left null above, where ``correlate.context_links``
+    leads to the same ids as rows.
     """
     samples = windowed_samples(correlated(events), bucket)
     hits = zscore_hits(samples, "enriched-zscore", **options)

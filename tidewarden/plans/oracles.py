@@ -229,8 +229,8 @@ def oracle_sql() -> dict[str, str]:
                    h.correlation_id, h.event_id, h.n AS window_size, s.ids AS correlated_count,
                    s.services
             FROM hits h JOIN sums s ON h.w = s.w AND h.service = s.source AND h.metric = s.metric""",
-        "enriched_context_members": f"""WITH {_tel()}, {_CONTEXT}
-            SELECT DISTINCT w AS window_start, source, metric, id AS member_id FROM context""",
+        "enriched_context_links": f"""WITH {_tel()}, {_CONTEXT}
+            SELECT w AS window_start, source, metric, correlation_id FROM touched""",
         "rule_error": f"""WITH {_rules()}
             SELECT id, service, metric, score, severity, description, detected_at, correlation_id,
                    level, message FROM ruled WHERE metric = 'error-rate'""",

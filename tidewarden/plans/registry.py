@@ -92,12 +92,11 @@ def enriched_zscore_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_query
-def enriched_context_members(spark: SparkSession, folder: str) -> DataFrame:
+def enriched_context_links(spark: SparkSession, folder: str) -> DataFrame:
     events = correlate.correlated(telemetry(spark, folder))
     samples = detect.windowed_samples(events, "1 day")
-    firing = detect.firing_groups(samples)
-    members = correlate.context_members(firing, samples, events, "1 day")
-    return members.select("window_start", "source", "metric", "member_id")
+    links = correlate.context_links(detect.firing_groups(samples), samples)
+    return links.select("window_start", "source", "metric", "correlation_id")
 
 
 @_query

@@ -56,13 +56,17 @@ def append(rows: DataFrame, path: str, time: str, order: list[str], batch: int)
 
 def write_batch(events: DataFrame, root: str, batch: int, received_at: Column | None = None) -> None:
     """Store the events and the metric points derived from them."""
-    made = stored_batch(events, F.current_timestamp() if received_at is None else received_at)
-    append(made.events, f"{root}/events", "ts", ["source", "type", "ts"], batch)
-    append(made.points, f"{root}/points", "time", ["service", "metric_name", "time"], batch)
-    append(
-        made.rejected.withColumn("seen", F.current_timestamp()),
-        f"{root}/rejected", "seen", ["id"], batch,
-    )
+    received = F.current_timestamp() if received_at is None else received_at
+    kept = events.persist()  # three tables are written from one reading of the batch
+    try:
+        made = stored_batch(kept, received)
+        append(made.events, f"{root}/events", "ts", ["source", "type", "ts"], batch)
+        append(made.points, f"{root}/points", "time", ["service", "metric_name", "time"], batch)
+        append(
+            made.rejected.withColumn("seen", received), f"{root}/rejected", "seen", ["id"], batch
+        )
+    finally:
+        kept.unpersist()
 
 
 def _day_range(rows: DataFrame, start: Column | None, end: Column | None) -> DataFrame:

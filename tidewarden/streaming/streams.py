@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.buckets import window_of
-from ..functions.skew import small_group_rows
+from ..functions.skew import slice_of, small_group_rows
 from ..operators import detect
 from ..operators.alerts import ALERT_COLUMNS, create_alerts
 from ..operators.correlate import KEYS, correlated
@@ -42,7 +42,7 @@ def _join_back(
     rows: DataFrame, stats: DataFrame, keys: list[str], spread_on: list[str], slices: int
 ) -> DataFrame:
     """Rows with the statistics of their window group."""
-    spread = F.pmod(F.xxhash64(*spread_on), F.lit(slices)).cast("int")
+    spread = slice_of(spread_on, F.lit(slices))
     copies = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     return rows.withColumn("_slice", spread).join(
         stats.withColumn("_slice", copies), [*keys, "_slice"]
