@@ -130,38 +130,34 @@ def _member_pairs(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("id").isNotNull()).select(*KEYS, "id").distinct()
 
 
-def _shared_ids(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ids by where they occur: per correlation group the number of ids found only
-    there, and the (group, id) pairs of ids found in several groups of a window."""
-    window = ["window_start", "window_end"]
-    homes = rows.where(F.col("id").isNotNull()).groupBy(*window, "id").agg(
-        F.min("correlation_id").alias("correlation_id"), F.max("correlation_id").alias("last")
-    )
-    own = (
-        homes.where(F.col("correlation_id") == F.col("last"))
-        .groupBy(*KEYS).agg(F.count(F.lit(1)).alias("own_ids"))
-    )
-    several = homes.where(F.col("correlation_id") != F.col("last")).select(*window, "id")
-    pairs = _member_pairs(rows).join(several, [*window, "id"], "left_semi")
-    return own, pairs
-
-
 def context_sizes(links: DataFrame, events: DataFrame, bucket: str) -> DataFrame:
-    """Per firing metric group the exact number of distinct ids behind it and its services."""
+    """Per firing metric group the exact number of distinct ids behind it and its services.
+
+    Ids found in one correlation group only are added up as counts. Just the ids
+    found in several groups of a window are followed one by one.
+    """
     rows = with_window(events, bucket)
-    own, pairs = _shared_ids(rows)
-    groups = rows.groupBy(*KEYS).agg(F.collect_set("source").alias("services")).join(own, KEYS, "left")
+    pairs = _member_pairs(rows)
+    window = ["window_start", "window_end"]
+    several = pairs.groupBy(*window, "id").agg(F.count(F.lit(1)).alias("homes")).where("homes > 1")
+    shared_pairs = pairs.join(several.drop("homes"), [*window, "id"], "left_semi")
+    groups = (
+        rows.groupBy(*KEYS).agg(F.collect_set("source").alias("services"))
+        .join(pairs.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("all_ids")), KEYS, "left")
+        .join(shared_pairs.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("shared")), KEYS, "left")
+        .withColumn("own_ids", F.coalesce("all_ids", F.lit(0)) - F.coalesce("shared", F.lit(0)))
+    )
     services = (
         links.join(groups, KEYS)
         .select(*METRIC_GROUP, F.col("own_ids"), F.posexplode("services").alias("place", "member"))
         .groupBy(*METRIC_GROUP)
         .agg(
-            F.coalesce(F.sum(F.when(F.col("place") == 0, F.col("own_ids"))), F.lit(0)).alias("own_ids"),
+            F.sum(F.when(F.col("place") == 0, F.col("own_ids")).otherwise(0)).alias("own_ids"),
             F.array_sort(F.collect_set("member")).alias("services"),
         )
     )
     shared = (
-        links.join(pairs, KEYS).select(*METRIC_GROUP, "id").distinct()
+        links.join(shared_pairs, KEYS).select(*METRIC_GROUP, "id").distinct()
         .groupBy(*METRIC_GROUP).agg(F.count(F.lit(1)).alias("shared_ids"))
     )
     return services.join(shared, METRIC_GROUP, "left").select(
