@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import T0
 from tidewarden.functions.buckets import bucket_length, bucket_start
-from tidewarden.operators.percentiles import distinct_values, exact_percentiles
+from tidewarden.operators.percentiles import distinct_values, exact_percentiles, value_counts
 from tidewarden.operators.rollup import latest_rollup, metric_points, metric_rollup, select_points
 from tidewarden.operators.search import match_events, search_events, storage_summary
 from tidewarden.schemas import METRIC_POINT
@@ -45,9 +45,7 @@ def test_percentiles_match_interpolation(spark, inline_values):
         [(g, v) for g, vs in groups.items() for v in vs], "g string, v double"
     )
     values = distinct_values(rows, ["g"], "v")
-    sizes = values.groupBy("g").agg(
-        F.sum("n").alias("n"), F.count("value").alias("distinct")
-    )
+    sizes = values.groupBy("g").agg(*value_counts())
     wanted = [0.0, 0.5, 0.95, 0.99, 1.0]
     made = exact_percentiles(values, sizes, ["g"], wanted, inline_values=inline_values).collect()
     assert {r.g for r in made} == set(groups)
@@ -56,8 +54,10 @@ def test_percentiles_match_interpolation(spark, inline_values):
         np.testing.assert_allclose(row.percentiles, expected, rtol=1e-12, atol=1e-13)
 
 
-def test_rollup_ignores_null_values_but_counts_rows(spark):
-    row = metric_rollup(_points(spark, [1.0, None, 3.0])).collect()[0]
+@pytest.mark.parametrize("inline_values", [0, 1000])
+def test_rollup_ignores_null_values_but_counts_rows(spark, inline_values):
+    points = _points(spark, [1.0, None, 3.0])
+    row = metric_rollup(points, inline_values=inline_values).collect()[0]
     assert (row.avg, row.cnt, row.p95) == (2.0, 3, pytest.approx(2.9))
     empty = metric_rollup(_points(spark, [None])).collect()[0]
     assert empty.p95 is None and empty.cnt == 1

@@ -80,7 +80,14 @@ def small_group_rows(
     over = F.col(weight) > F.lit(limit)
     hottest = heaviest_groups(sizes, weight).where(over).select(*keys)
     large = sizes.where(over).select(*keys)
-    return rows.join(F.broadcast(hottest), keys, "left_anti").join(large, keys, "left_anti")
+    return _without(_without(rows, F.broadcast(hottest), keys), large, keys)
+
+
+def _without(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of other groups. An anti join would be moved below an aggregation in
+    ``rows``, which would then be computed once more; an outer join stays in place."""
+    marked = groups.withColumn("_listed", F.lit(True))
+    return rows.join(marked, keys, "left").where(F.col("_listed").isNull()).drop("_listed")
 
 
 def bounded_items(item: str, limit: int) -> Column:

@@ -125,6 +125,21 @@ def distinct_values(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     return rows.groupBy(*keys, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def value_rows() -> Column:
+    """Rows of a distinct value that take part in percentiles: none for null."""
+    return F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+
+
+def value_counts() -> list[Column]:
+    """Aggregates over distinct values: non-null rows and distinct non-null values.
+
+    Both read ``value`` and ``n``, so the distinct values are planned alike wherever
+    they are used and are computed once.
+    """
+    rows = value_rows()
+    return [F.sum(rows).alias("n"), F.count_if(rows > 0).alias("distinct")]
+
+
 def exact_percentiles(
     values: DataFrame,
     groups: DataFrame,
@@ -135,18 +150,19 @@ def exact_percentiles(
 ) -> DataFrame:
     """Keys and an array of interpolated percentiles.
 
-    ``values`` comes from :func:`distinct_values`; ``groups`` holds per key the
-    number ``n`` of non-null rows and ``distinct`` of distinct non-null values.
+    ``values`` comes from :func:`distinct_values`; ``groups`` holds per key the two
+    numbers of :func:`value_counts`. Groups without any value are left out or null.
     """
-    present = values.where(F.col("value").isNotNull())
     sizes = groups.select(*keys, "n", "distinct")
     wanted = F.array(*[F.lit(p) for p in probabilities])
     small = (
-        small_group_rows(present, sizes, keys, "distinct", inline_values)
+        small_group_rows(values, sizes, keys, "distinct", inline_values)
         .groupBy(*keys)
         .agg(F.percentile("value", wanted, F.col("n")).alias(name))
     )
     big = sizes.where(F.col("distinct") > inline_values)
-    large_values = present.join(big.select(*keys, F.col("n").alias("total")), keys)
+    large_values = values.withColumn("n", value_rows()).join(
+        big.select(*keys, F.col("n").alias("total")), keys
+    )
     large = _large_group_percentiles(large_values, keys, probabilities, name)
     return small.unionByName(large)

@@ -11,7 +11,12 @@ from ..functions import payload as P
 from ..functions.buckets import bucket_start
 from ..functions.text import never_null
 from ..schemas import DEFAULT_BUCKET, DEFAULT_LIMIT, METRIC
-from .percentiles import INLINE_VALUES, distinct_values, exact_percentiles
+from .percentiles import (
+    INLINE_VALUES,
+    distinct_values,
+    exact_percentiles,
+    value_counts,
+)
 
 PERCENTILES = [0.95, 0.99]
 KEYS = ["bucket", "service", "metric_name"]
@@ -96,15 +101,13 @@ def metric_rollup(
         )
     elif percentiles == "exact":
         values = distinct_values(keyed, KEYS, "value")
-        rows_with_value = F.when(F.col("value").isNotNull(), F.col("n"))
         groups = values.groupBy(*KEYS).agg(
-            (F.sum(F.col("value") * F.col("n")) / F.sum(rows_with_value)).alias("avg"),
+            F.sum(F.col("value") * F.col("n")).alias("sum"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
             F.sum("n").alias("cnt"),
-            F.coalesce(F.sum(rows_with_value), F.lit(0)).alias("n"),
-            F.count("value").alias("distinct"),
-        )
+            *value_counts(),
+        ).withColumn("avg", F.try_divide("sum", "n"))
         exact = exact_percentiles(values, groups, KEYS, PERCENTILES, inline_values=inline_values)
         wide = groups.join(exact, KEYS, "left")
     else:
