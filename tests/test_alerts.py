@@ -203,4 +203,8 @@ def test_empty_hours_are_absent_and_shares_round(table):
     frame = table({"at": hours(-3)}, {"at": hours(-1)}, {"at": hours(-1)}, {"at": hours(-1)})
     bars = alert_stats.hourly_bars(frame, now()).collect()
     assert [(b["count"], b.share) for b in bars] == [(1, 24), (3, 72)]
-    assert alert_stats.shares(alert_stats.by_severity(frame.limit(0))).count() == 0
+    nothing = frame.limit(0)
+    assert alert_stats.shares(alert_stats.by_severity(nothing)).count() == 0
+    row = alert_stats.alert_statistics_row(nothing, now()).collect()[0]
+    assert (row.total, row.last_day, row.by_source, row.hourly) == (0, 0, [], [])
+    assert tuple(alert_stats.alert_summary(nothing).collect()[0]) == (0, 0, 0, [])

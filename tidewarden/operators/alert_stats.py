@@ -52,16 +52,20 @@ def hourly(alerts: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def totals(alerts: DataFrame, as_of: Column) -> DataFrame:
-    """One row: all, critical, warning, and those strictly after an hour and a day ago."""
+def _total_counts(as_of: Column) -> list[Column]:
     at = F.col("detected_at")
-    return alerts.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("severity") == CRITICAL).alias("critical"),
         F.count_if(F.col("severity") == WARNING).alias("warning"),
         F.count_if(at > as_of - F.expr("INTERVAL 1 HOUR")).alias("last_hour"),
         F.count_if(at > as_of - F.expr("INTERVAL 1 DAY")).alias("last_day"),
-    )
+    ]
+
+
+def totals(alerts: DataFrame, as_of: Column) -> DataFrame:
+    """One row: all, critical, warning, and those strictly after an hour and a day ago."""
+    return alerts.agg(*_total_counts(as_of))
 
 
 def _nested(rollup: DataFrame) -> Column:
@@ -86,22 +90,46 @@ def alert_statistics(alerts: DataFrame, as_of: Column) -> dict[str, DataFrame]:
 
 
 def alert_statistics_row(alerts: DataFrame, as_of: Column) -> DataFrame:
-    """The same statistics in one row; the lists are short by nature."""
-    parts = alert_statistics(alerts, as_of)
-    ranked = F.struct((-F.col("count")).alias("rank"), "source", "count")
-    top = parts["by_source"].agg(F.array_sort(F.collect_list(ranked))).scalar()
-    row = parts["totals"].withColumns(
-        {
-            "top": top,
-            "by_severity": _nested(parts["by_severity"]),
-            "by_status": _nested(parts["by_status"]),
-            "hourly": _nested(parts["hourly"]),
-        }
+    """The same statistics in one row; the lists are short by nature.
+
+    Grouping sets answer everything but the sources in one pass; the sources, of
+    which there may be many, take a second pass that ends in a top-k.
+    """
+    kind = alerts.schema["detected_at"].dataType
+    recent = F.col("detected_at") >= as_of - F.expr("INTERVAL 1 DAY")
+    rows = alerts.select(
+        "severity", "status", "detected_at",
+        F.col("severity").alias("by_severity"),
+        F.col("status").alias("by_status"),
+        F.when(recent, F.date_trunc("hour", "detected_at").cast(kind)).alias("by_hour"),
+    )
+    sets = ["by_severity", "by_status", "by_hour"]
+    counted = rows.groupingSets([[name] for name in sets] + [[]], *sets).agg(
+        *_total_counts(as_of), *[F.grouping(name).alias(f"not_{name}") for name in sets]
     )
+
+    def listed(name: str, label: str) -> Column:
+        item = F.struct(F.col(name).alias(label), F.col("total").alias("count"))
+        applies = (F.col(f"not_{name}") == 0) & F.col(name).isNotNull()
+        return F.array_sort(F.collect_list(F.when(applies, item)))
+
+    overall = F.col("not_by_severity") + F.col("not_by_status") + F.col("not_by_hour") == 3
+    names = ["total", "critical", "warning", "last_hour", "last_day"]
+    row = counted.agg(
+        F.max(F.when(overall, F.struct(*names))).alias("overall"),
+        listed("by_severity", "severity").alias("by_severity"),
+        listed("by_status", "status").alias("by_status"),
+        listed("by_hour", "hour").alias("hourly"),
+    )
+    ranked = F.struct((-F.col("count")).alias("rank"), "source", "count")
+    top = top_sources(alerts).agg(F.array_sort(F.collect_list(ranked))).scalar()
     named = F.transform(
         "top", lambda s: F.struct(s["source"].alias("source"), s["count"].alias("count"))
     )
-    return row.withColumn("by_source", named).drop("top")
+    return row.withColumn("top", top).select(
+        *[F.coalesce(F.col(f"overall.{name}"), F.lit(0)).alias(name) for name in names],
+        named.alias("by_source"), "by_severity", "by_status", "hourly",
+    )
 
 
 def shares(rollup: DataFrame, scale: int = 100) -> DataFrame:
