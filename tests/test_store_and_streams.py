@@ -10,7 +10,7 @@ from tidewarden.operators.correlate import correlate
 from tidewarden.operators.detect import detect_enriched, detect_raw
 from tidewarden.operators.insights import annotate
 from tidewarden.operators.rules import detect_rules
-from tidewarden.schemas import INSIGHT, TELEMETRY_EVENT
+from tidewarden.schemas import INSIGHT, STATUS_UPDATE, TELEMETRY_EVENT
 from tidewarden.sources import store, wire
 from tidewarden.streaming import streams
 
@@ -136,6 +136,33 @@ def test_alerts_once_across_batches_and_retries(spark, tmp_path):
     assert sorted(r.anomaly_id for r in streams.stored_alerts(spark, root).collect()) == ["a", "b", "c"]
 
 
+def test_status_requests_change_stored_alerts(spark, tmp_path):
+    root, changes, inbox = (str(tmp_path / n) for n in ("alerts", "changes", "in"))
+    rows = [(f"i{n}", n, "WARNING", 1.0, "x", "y", [], [], "", T0, {}) for n in "abc"]
+    streams.write_alert_batch(spark.createDataFrame(rows, INSIGHT), 0, root)
+    ids = {r.anomaly_id: r.id for r in streams.stored_alerts(spark, root).collect()}
+
+    def ask(name, status, at):
+        asked = [(ids[name], status, T0 + dt.timedelta(hours=at))]
+        spark.createDataFrame(asked, STATUS_UPDATE).coalesce(1).write.mode("append").parquet(inbox)
+        source = spark.readStream.schema(STATUS_UPDATE).parquet(inbox)
+        query = streams.status_stream(source, root, changes, str(tmp_path / "cp"), available_now=True)
+        query.awaitTermination()
+        found = streams.current_alerts(spark, root, changes).collect()
+        return {r.anomaly_id: (r.status, r.resolved_at) for r in found}
+
+    opened = ("OPEN", None)
+    assert ask("a", "ACK", 1) == {"a": ("ACK", None), "b": opened, "c": opened}
+    done = ("RESOLVED", T0 + dt.timedelta(hours=2))
+    assert ask("a", "RESOLVED", 2) == {"a": done, "b": opened, "c": opened}
+    assert ask("a", "OPEN", 3)["a"] == done
+    again = spark.createDataFrame([(ids["a"], "RESOLVED", T0 + dt.timedelta(hours=2))], STATUS_UPDATE)
+    streams.write_status_batch(again, 1, root, changes)  # a retry of the second batch
+    assert {r.anomaly_id: r.status for r in streams.current_alerts(spark, root, changes).collect()} == {
+        "a": "RESOLVED", "b": "OPEN", "c": "OPEN",
+    }
+
+
 def test_store_stream_and_stateless_rules(spark, make_events, tmp_path):
     events = make_events(
         {"id": "l", "type": "log", "payload": '{"level": "ERROR", "message": "m"}'},

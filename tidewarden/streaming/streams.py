@@ -22,7 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions.buckets import window_of
 from ..functions.skew import slice_of, small_group_rows
 from ..operators import detect
-from ..operators.alerts import ALERT_COLUMNS, create_alerts
+from ..operators.alerts import ALERT_COLUMNS, apply_status_updates, create_alerts
 from ..operators.correlate import KEYS, correlated
 from ..schemas import ALERT
 from ..session import fresh_folder
@@ -190,6 +190,17 @@ def stored_alerts(spark: SparkSession, root: str, before: int | None = None) ->
     return rows if before is None else rows.where(F.col("batch") < before)
 
 
+def _write_alerts(rows: DataFrame, number: int, root: str) -> None:
+    (
+        rows.select(*ALERT_COLUMNS)
+        .withColumn("batch", F.lit(number).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch")
+        .parquet(root)
+    )
+
+
 def write_alert_batch(batch: DataFrame, number: int, root: str) -> None:
     """Create the alerts of one micro-batch of insights.
 
@@ -197,14 +208,7 @@ def write_alert_batch(batch: DataFrame, number: int, root: str) -> None:
     output cannot hide its alerts, and it overwrites its own files.
     """
     known = stored_alerts(batch.sparkSession, root, before=number)
-    made = create_alerts(batch, known).select(*ALERT_COLUMNS)
-    (
-        made.withColumn("batch", F.lit(number).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch")
-        .parquet(root)
-    )
+    _write_alerts(create_alerts(batch, known), number, root)
 
 
 def alert_stream(
@@ -219,6 +223,35 @@ def alert_stream(
     return batch_writer(insights, handle, checkpoint, available_now, every).start()
 
 
+def current_alerts(
+    spark: SparkSession, root: str, changes: str, before: int | None = None
+) -> DataFrame:
+    """Alerts in their latest state: as created, or as of the last batch that changed them."""
+    created = stored_alerts(spark, root).withColumn("batch", F.lit(-1).cast("bigint"))
+    changed = stored_alerts(spark, changes, before)
+    return store.latest_by_key(created.unionByName(changed), ["id"], ["batch"]).drop("batch")
+
+
+def write_status_batch(updates: DataFrame, number: int, root: str, changes: str) -> None:
+    """Append the new state of the alerts that one micro-batch of requests changes."""
+    current = current_alerts(updates.sparkSession, root, changes, before=number)
+    result = apply_status_updates(current, updates)
+    touched = result.accepted.select(F.col("alert_id").alias("id")).distinct()
+    _write_alerts(result.alerts.join(touched, "id", "left_semi"), number, changes)
+
+
+def status_stream(
+    updates: DataFrame, root: str, changes: str, checkpoint: str, available_now: bool = False,
+    every: str = "5 seconds",
+) -> StreamingQuery:
+    """Apply status requests to stored alerts; the alert table itself is never rewritten."""
+
+    def handle(batch: DataFrame, number: int) -> None:
+        write_status_batch(batch, number, root, changes)
+
+    return batch_writer(updates, handle, checkpoint, available_now, every).start()
+
+
 @contextmanager
 def state_partitions(spark: SparkSession) -> Iterator[None]:
     """Start a stateful query with no more state partitions than the cluster has cores.
