@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.oracle_check import compare, connect
+from tidewarden.plans.oracles import oracle_sql
+from tidewarden.plans.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,16 +22,16 @@ def connection():
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
 def test_entry_finds_the_known_hits(spark):
     assert contract.entry(spark).count() == 5
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     difference = compare(
-        spark, connection, contract.queries()[name], contract.oracle_sql()[name], FOLDER
+        spark, connection, QUERIES[name], oracle_sql()[name], FOLDER
     )
     assert difference == ""
