@@ -192,7 +192,8 @@ def _mix(sized: DataFrame, block_words: int, chunks: int, shards: int, seed: int
     """Placed documents, and every slot with the words it takes of every document."""
     placed = _placed(sized, chunks)
     sources = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
-    slots = mix_slots(sources, block_words, shards, seed)
+    # the planner sees the few ranges that slots are made from, not the slots: no broadcast
+    slots = mix_slots(sources, block_words, shards, seed).hint("merge")
     joined = _pieces(placed, block_words).join(slots, ["source_no", "block"])
     taken = joined.where(F.col("low") < F.col("take")).withColumn("high", F.least("high", "take"))
     return placed, taken

@@ -4,24 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, mixing
+import corpus_pipeline
 
+from . import exact, mixing, near, pieces, quality, toxicity
 
-def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet")
+
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def op1_source_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mixed_words(_documents(spark, folder))
+    return mixing.mixed_words(_table(spark, folder, "documents"))
+
+
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_verdicts(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded(_table(spark, folder, "documents"))
 
 
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact.exact_copies(_documents(spark, folder))
+    return exact.exact_copies(_table(spark, folder, "documents"))
+
+
+def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_groups(_table(spark, folder, "documents"))
 
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_quality": op2_quality,
+    "op3_toxicity": op3_toxicity,
+    "op7_pieces": op7_pieces,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_near_dedup": op9_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
