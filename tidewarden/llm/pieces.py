@@ -1,11 +1,16 @@
 """SentencePiece encoding by a streaming Viterbi search, and decoding.
 
 The search runs over the characters of a text with spaces written as U+2581 and one
-put in front. It keeps the best score of the last ``longest`` positions (no piece
-is longer, so no later step looks further back) and the back-pointers since the last
-committed boundary. From time to time the paths of all live positions are followed
-back; where they meet, everything before is the same for every continuation, and its
-ids are committed and forgotten.
+put in front. It looks back over the last ``longest`` positions only (no piece is
+longer) and keeps the back-pointers since the last committed boundary. From time to time
+the paths of all live positions are followed back; where they meet, everything before
+is the same for every continuation, and its ids are committed and forgotten.
+
+With a unigram model a path is as good as the sum of its scores, ties going to the
+longer last piece. With a merge (BPE) model, such as the one at hand, sums of scores
+mean nothing: a path is admissible if every two neighbours are what the merges make of
+the two together. A text has exactly one admissible path, the model's own encoding,
+so the search gives the ids of the SentencePiece library for either kind.
 
 Boundaries that every path has, whatever follows, are known from the vocabulary: no
 piece has a space after another character, and characters outside the alphabet of
@@ -13,7 +18,7 @@ the longer pieces stand alone. The text between two such boundaries always gives
 same ids, so these are kept in a table of bounded size.
 
 Characters without a piece become byte pieces, U+2581 itself included, so decoding
-gives back exactly the text. Ties go to the longer last piece.
+gives back exactly the text.
 """
 
 from __future__ import annotations
@@ -36,23 +41,24 @@ SLICE_ROWS = 256
 class Vocabulary:
     """Pieces and scores of a SentencePiece model."""
 
-    def __init__(self, scores: dict[str, float], ids: dict[str, int], byte_ids: list[int], contents: list[bytes]):
-        self.scores, self.ids, self.byte_ids, self.contents = scores, ids, byte_ids, contents
+    def __init__(self, scores: dict[str, float], ids: dict[str, int], contents: list[bytes], byte_ids: list[int], merges: bool):
+        self.scores, self.ids, self.contents, self.byte_ids, self.merges = scores, ids, contents, byte_ids, merges
         self.longest = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
         inner = {c for p in scores if len(p) > 1 for c in p} - {SPACE}
         letters = "".join(re.escape(c) for c in sorted(inner)) or "\\0"
         self.cut = re.compile(f" *[{letters}]+| +|[^ {letters}]", re.DOTALL)
         self.remembered: dict[str, bytes] = {}
+        self.neighbours: dict[tuple[str, str], bool] = {}
 
     def __getstate__(self):
-        return self.scores, self.ids, self.byte_ids, self.contents
+        return self.scores, self.ids, self.contents, self.byte_ids, self.merges
 
     def __setstate__(self, state):
         self.__init__(*state)
 
     @classmethod
-    def load(cls, path: str = MODEL) -> Vocabulary:
+    def load(cls, path: str = MODEL, merges: bool = True) -> Vocabulary:
         """Normal pieces and byte pieces of a model file; read on the driver."""
         import sentencepiece
 
@@ -70,74 +76,94 @@ class Vocabulary:
                 contents.append(piece.replace(SPACE, " ").encode())
         if min(byte_ids) < 0:
             raise ValueError("the model has no byte pieces, so some texts could not be given back")
-        return cls(scores, ids, byte_ids, contents)
-
-    def stream(self, characters: Iterator[str]) -> Iterator[int]:
-        """Ids of a stream of characters, committed as soon as all paths agree.
-
-        Spaces come as U+2581; an own U+2581 of the text comes as None.
-        """
-        scores, longest = self.scores, self.longest
-        text: list[str] = []  # from the last committed boundary
-        best, back = [0.0], [0]
-        for c in characters:
-            text.append(c)
-            end = len(text)
-            top, start = -1e300, end - 1
-            piece = ""
-            for at in range(end - 1, max(end - longest, 0) - 1, -1):
-                if text[at] is None:
-                    if at == end - 1:
-                        top, start = best[at] + self.unknown, at
-                    break
-                piece = text[at] + piece
-                score = scores.get(piece)
-                if score is None:
-                    if at < end - 1:
-                        continue
-                    score = self.unknown
-                if best[at] + score >= top:
-                    top, start = best[at] + score, at
-            best.append(top)
+        return cls(scores, ids, contents, byte_ids, merges)
+
+    def merged(self, text: str) -> list[str]:
+        """A short text with the best-scored neighbours joined until none can be."""
+        parts, scores = list(text), self.scores
+        while len(parts) > 1:
+            joined = [scores.get(a + b) for a, b in zip(parts, parts[1:])]
+            best = max((x for x in joined if x is not None), default=None)
+            if best is None:
+                break
+            at = joined.index(best)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def _fit(self, left: str, right: str) -> bool:
+        """Whether the merges leave these neighbours as they are."""
+        known = self.neighbours.get((left, right))
+        if known is None:
+            if len(self.neighbours) >= REMEMBERED:
+                self.neighbours.clear()
+            known = self.merged(left + right) == [left, right]
+            self.neighbours[left, right] = known
+        return known
+
+    def _admissible(self, text: str, base: int, end: int, last: list[str]) -> int:
+        """Where the last piece of the encoding of text[base:end] starts."""
+        for start in range(max(base, end - self.longest), end - 1):
+            piece = text[start:end]
+            if piece in self.scores:
+                left = last[start - base]
+                if (self._fit(left, piece) if left else self.merged(piece) == [piece]):
+                    return start
+        return end - 1
+
+    def _best(self, text: str, base: int, end: int, totals: list[float]) -> int:
+        """Where the last piece of the best path to ``end`` starts; appends the path's score."""
+        top, chosen = -1e300, end - 1
+        for start in range(max(base, end - self.longest), end):
+            score = self.scores.get(text[start:end], self.unknown if start == end - 1 else None)
+            if score is not None and totals[start - base] + score > top:
+                top, chosen = totals[start - base] + score, start
+        totals.append(top)
+        return chosen
+
+    def stream(self, text: str) -> Iterator[int]:
+        """Ids of a text, committed as soon as all paths agree."""
+        base, back, last, totals = 0, [0], [""], [0.0]
+        for end in range(1, len(text) + 1):
+            start = self._admissible(text, base, end, last) if self.merges else self._best(text, base, end, totals)
             back.append(start)
-            if end >= 4 * longest and end % longest == 0:
-                met = self._meeting(back, end, longest)
-                if met:
-                    yield from self._path(text, back, met)
-                    base = best[met]
-                    best = [b - base for b in best[met:]]
-                    back = [max(b - met, 0) for b in back[met:]]
-                    text = text[met:]
-        yield from self._path(text, back, len(text))
-
-    @staticmethod
-    def _meeting(back: list[int], end: int, longest: int) -> int:
+            last.append(text[start:end])
+            if end - base >= 4 * self.longest and end % self.longest == 0:
+                met = self._meeting(back, base, end)
+                if met > base:
+                    yield from self._path(text, back, base, met)
+                    back, last, totals = back[met - base :], last[met - base :], totals[met - base :]
+                    base = met
+        yield from self._path(text, back, base, len(text))
+
+    def _meeting(self, back: list[int], base: int, end: int) -> int:
         """The last boundary on the paths of all positions a later piece can start at."""
-        live = set(range(end - longest + 1, end + 1))
+        live = set(range(end - self.longest + 1, end + 1))
         while len(live) > 1:
-            last = max(live)
-            live.discard(last)
-            live.add(back[last])
+            latest = max(live)
+            live.discard(latest)
+            live.add(max(back[latest - base], base))
         return live.pop()
 
-    def _path(self, text: list[str], back: list[int], end: int) -> list[int]:
+    def _path(self, text: str, back: list[int], base: int, end: int) -> list[int]:
         out: list[int] = []
-        while end > 0:
-            start = back[end]
-            piece = None if text[start] is None else "".join(text[start:end])
-            if piece in self.ids:
-                out.append(self.ids[piece])
+        while end > base:
+            start = back[end - base]
+            number = self.ids.get(text[start:end])
+            if number is None:
+                out.extend(self.byte_ids[b] for b in reversed(text[start:end].encode("utf-8", "surrogatepass")))
             else:
-                written = (piece or SPACE).encode("utf-8", "surrogatepass")
-                out.extend(self.byte_ids[b] for b in reversed(written))
+                out.append(number)
             end = start
         return out[::-1]
 
     def _segment(self, segment: str) -> bytes:
         known = self.remembered.get(segment)
         if known is None:
-            characters = (None if c == SPACE else SPACE if c == " " else c for c in segment)
-            known = np.fromiter(self.stream(characters), np.int32).tobytes()
+            if segment == SPACE:
+                numbers = [self.byte_ids[b] for b in SPACE.encode()]
+            else:
+                numbers = list(self.stream(segment.replace(" ", SPACE)))
+            known = np.array(numbers, np.int32).tobytes()
             if len(segment) <= 64:
                 if len(self.remembered) >= REMEMBERED:
                     self.remembered.clear()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import exact, mixing, near, pieces, quality, toxicity
+from . import exact, language, lines, mixing, near, personal, pieces, quality, substrings, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,18 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal.personal_spans(_table(spark, folder, "documents"))
+
+
+def op5_repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.drop_repeated_lines(_table(spark, folder, "documents"))
+
+
+def op6_repeated_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.drop_repeated_substrings(_table(spark, folder, "documents"))
+
+
 def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.encoded(_table(spark, folder, "documents"))
 
@@ -37,13 +49,21 @@ def op9_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_groups(_table(spark, folder, "documents"))
 
 
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
+    "op4_personal_data": op4_personal_data,
+    "op5_repeated_lines": op5_repeated_lines,
+    "op6_repeated_substrings": op6_repeated_substrings,
     "op7_pieces": op7_pieces,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
+    "op10_language": op10_language,
     "pipeline": corpus_pipeline.run,
 }
 
