@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from . import bytescan as B
 from .common import packed, settled
 from .links import components
+from .membership import bitmap_of, possible
 
 WIDTH = 5
 SIMILAR = (75, 100)
@@ -247,10 +248,11 @@ class _Linker:
     def try_pairs(self, pairs: DataFrame) -> bool:
         """Confirm pairs in different components: first the best one of each class, then
         those that are still in different components. True if any was confirmed."""
-        rest = settled(_estimated(pairs, self.classes), "near-pairs")
+        rest = settled(_estimated(pairs if self.links is None else self.apart(pairs), self.classes), "near-pairs")
         found = False
         ends = rest.select(F.col("a").alias("class_id")).union(rest.select("b")).distinct()
-        texts = self.docs.join(ends, "class_id", "left_semi")
+        # no text is shuffled; what the bitmap lets through in vain finds no pair below
+        texts = possible(self.docs, "class_id", bitmap_of(ends, F.col("class_id")))
         sets = settled(texts.mapInArrow(_sets, "class_id long, set array<long>"), "near-sets")
         both = rest.select("a", "b", "score").union(rest.select("b", "a", "score"))
         best = both.groupBy("a").agg(F.max_by("b", F.struct("score", F.hash("a", "b"), "b")).alias("b"))
@@ -270,9 +272,11 @@ class _Linker:
         return pairs.join(left, "a").join(right, "b").where("ca <> cb").select("a", "b")
 
 
-def _finer(classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members of the band groups that hold several components, by a second band as well."""
-    members = classes.select("class_id", F.explode("keys").alias("key"))
+def _finer(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of the band groups that hold several components, by pairs of such bands.
+
+    Two classes that should be linked and are not share such groups only.
+    """
     split = (
         members.join(groups, "class_id")
         .groupBy("key")
@@ -280,13 +284,11 @@ def _finer(classes: DataFrame, groups: DataFrame) -> DataFrame:
         .where("n > 2 AND low <> high")
         .select("key")
     )
-    return (
-        members.join(split, "key")
-        .join(classes.select("class_id", F.explode("keys").alias("other")), "class_id")
-        .where("key <> other")
-        .select("class_id", F.least("key", "other").alias("key"), F.greatest("key", "other").alias("key_2"))
-        .distinct()
-    )
+    # at most one key per band
+    keys = members.join(split, "key").groupBy("class_id").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    first = keys.select("class_id", "keys", F.posexplode("keys").alias("at", "key"))
+    later = F.slice("keys", F.col("at") + 2, F.greatest(F.size("keys") - F.col("at") - 1, F.lit(0)))
+    return first.select("class_id", "key", F.explode(later).alias("key_2"))
 
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -311,7 +313,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     members = classes.select("class_id", F.explode("keys").alias("key"))
     linker.try_pairs(_star_pairs(members, ["key"], 0))
     for salt in range(1, SECOND_ROUNDS + 1):
-        finer = _finer(classes.select("class_id", "keys"), linker.groups)
+        finer = settled(_finer(members, linker.groups), "near-finer")
         if not linker.try_pairs(_star_pairs(finer, ["key", "key_2"], salt)):
             break
     named = classes.select("digest", "n_shingles", "class_id").join(linker.groups, "class_id").drop("class_id")
