@@ -352,7 +352,7 @@ def _edge_starts(contexts: DataFrame) -> DataFrame:
         .mapInArrow(_fine, "g int, held long, weight long, k int, window long")
     )
     often = repeated_rows(settled(fine, "substring-windows"), ["g", "k", "window"], F.col("held"), F.col("weight"))
-    some = often.groupBy("g", "held").agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("k"))).alias("mask"))
+    some = often.groupBy("g", "held").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask"))
     every = groups.where("weight > 1").select("g", "held", F.lit((1 << STARTS) - 1).cast("long").alias("mask"))
     masks = some.union(every).groupBy("g", "held").agg(F.bit_or("mask").alias("mask"))
     of_context = coarse.select("cid", "g", "held").join(masks, ["g", "held"]).select("cid", "g", "mask")
