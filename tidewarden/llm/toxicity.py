@@ -2,7 +2,7 @@
 
 Fit: a bounded sample of labelled rows (``EXAMPLES`` of each label, those with the
 smallest hash of their id) gives the terms whose presence differs most between the
-labels (at most ``TERMS``, by a two-proportion z-score) and, as sparse vectors over
+labels (at most ``TERMS``, by a two-proportion z-score, and ``LEAST_RATIO`` times as common in one) and, as sparse vectors over
 these terms, the examples. Document frequencies come from all documents. Sample,
 terms and index are bounded by these two parameters, whatever the tables' size, and
 are the only things sent to the tasks.
@@ -22,6 +22,7 @@ share of label 1 among such rows.
 from __future__ import annotations
 
 import itertools
+import math
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +36,7 @@ from .common import crc_remainder, settled
 EXAMPLES = 6000
 TERMS = 4096
 LEAST_Z = 5.0
+LEAST_RATIO = 4.0
 LEAST_ROWS = 3
 NEIGHBOURS = 15
 BLOCK = 64
@@ -203,8 +205,8 @@ def _chosen_terms(sample: DataFrame, terms: int) -> list[bytes]:
     z = (F.col("a") / n1 - F.col("b") / n0) / F.sqrt(pool * (1 - pool) * F.lit(1 / n0 + 1 / n1))
     chosen = (
         counts.where(F.col("a") + F.col("b") >= LEAST_ROWS)
-        .withColumn("z", F.abs(z))
-        .where(F.col("z") >= LEAST_Z)
+        .withColumns({"z": F.abs(z), "ratio": F.abs(F.log((F.col("a") + 0.5) / n1) - F.log((F.col("b") + 0.5) / n0))})
+        .where((F.col("z") >= LEAST_Z) & (F.col("ratio") >= math.log(LEAST_RATIO)))
         .orderBy(F.desc("z"), "term")
         .limit(terms)
     )
