@@ -5,8 +5,14 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tests.conftest import T0
-from tidewarden.functions.skew import bounded_lists, join_groups, small_group_rows
-from tidewarden.operators.correlate import correlate, correlation_groups, correlation_members
+from tidewarden.functions.skew import join_groups, small_group_rows
+from tidewarden.operators.correlate import (
+    correlate,
+    correlation_groups,
+    correlation_members,
+    correlation_services,
+    member_chunks,
+)
 
 
 def _three(make_events):
@@ -24,9 +30,8 @@ def _three(make_events):
 def test_groups_by_id_and_minute(make_events):
     rows = {r.id: r for r in correlate(_three(make_events)).collect()}
     assert set(rows) == {"a", "b", "z", "n"}
-    assert rows["a"].correlated_event_ids == ["z", "b", "a"]
-    assert rows["a"].services_in_chain == ["db", "web"] and rows["a"].unique_services == 2
-    assert rows["n"].correlated_event_ids == ["n"] and rows["n"].correlated_count == 1
+    assert rows["a"].correlated_count == 3 and rows["a"].unique_services == 2
+    assert rows["n"].correlated_count == 1
     assert rows["n"].window_start == T0 + dt.timedelta(minutes=1)
     assert rows["n"].window_end == T0 + dt.timedelta(minutes=2)
 
@@ -37,18 +42,30 @@ def test_null_ids_count_but_are_not_listed(make_events):
     )
     rows = correlate(frame).collect()
     assert len(rows) == 2
-    assert all(r.correlated_count == 2 and r.correlated_event_ids == ["b"] for r in rows)
-
-
-def test_oversized_groups_keep_every_event_and_every_member(make_events):
-    frame = _three(make_events)
-    rows = {r.id: r for r in correlate(frame, inline_limit=2).collect()}
-    assert set(rows) == {"a", "b", "z", "n"}
-    assert rows["a"].correlated_event_ids is None
-    assert rows["a"].correlated_count == 3 and rows["a"].services_in_chain == ["db", "web"]
-    assert rows["n"].correlated_event_ids == ["n"]
-    members = correlation_members(frame).where(F.col("window_start") == F.lit(T0)).collect()
-    assert {m.member_id for m in members} == {"a", "b", "z"}
+    assert all(r.correlated_count == 2 for r in rows)
+    assert [m.member_id for m in correlation_members(frame).collect()] == ["b"]
+
+
+def test_a_large_group_loses_nothing(spark, make_events):
+    small = make_events({"id": "x", "correlation_id": "c"})
+    events = spark.range(5000).select(
+        F.concat(F.lit("e"), F.col("id")).alias("id"),
+        F.concat(F.lit("s"), F.col("id") % 7).alias("source"),
+        F.lit("log").alias("type"), F.lit("x").alias("subtype"), F.lit("{}").alias("payload"),
+        F.lit(T0).alias("ts"), F.lit("c").alias("correlation_id"),
+        F.lit(None).cast("map<string,string>").alias("tags"),
+    ).select(*small.columns)
+    rows = correlate(events)
+    assert rows.count() == 5000
+    assert rows.select("correlated_count", "unique_services").distinct().collect() == [(5000, 7)]
+    assert correlation_members(events).count() == 5000
+    assert {(s.source, s.events) for s in correlation_services(events).collect()} == {
+        (f"s{i}", 715 if i < 2 else 714) for i in range(7)
+    }
+    chunks = member_chunks(events, length=100).collect()
+    listed = [m.member_id for c in chunks for m in c.members]
+    assert sorted(listed) == sorted(f"e{i}" for i in range(5000))
+    assert len(chunks) == 50 and max(len(c.members) for c in chunks) < 200
 
 
 def test_group_table(make_events):
@@ -69,14 +86,3 @@ def test_hot_group_is_cut_into_slices_without_losing_rows(spark):
     kept = join_groups(rows, sizes, ["k"], "n", ["id"], keep=F.col("k") != "hot", slice_rows=10)
     assert kept.count() == 2000
     assert small_group_rows(rows, sizes, ["k"], "n", 500).count() == 2000
-
-
-def test_bounded_lists_keep_copies_up_to_the_limit(spark):
-    rows = spark.createDataFrame(
-        [("a", "y"), ("a", "x"), ("a", "x"), ("b", None), *[("c", f"i{i:03}") for i in range(60)]],
-        "g string, x string",
-    )
-    made = {r.g: (r.n, r.xs) for r in bounded_lists(rows, ["g"], "x", "xs", 50).collect()}
-    assert made["a"] == (3, ["x", "x", "y"]) and made["b"] == (1, []) and made["c"] == (60, None)
-    whole = {r.g: r.xs for r in bounded_lists(rows, ["g"], "x", "xs", 60).collect()}
-    assert whole["c"] == [f"i{i:03}" for i in range(60)]

@@ -88,6 +88,19 @@ def test_batch_scorer_sees_prompts_and_survives_errors(anomalies):
     assert "reply" not in anomalies.columns
 
 
+def test_one_failing_prompt_gives_one_fallback(spark, anomalies):
+    several = anomalies.crossJoin(spark.range(8).select(F.concat(F.lit("a"), F.col("id")).alias("n")))
+    several = several.withColumn("id", F.col("n")).withColumn("service", F.concat(F.lit("s"), F.col("n"))).drop("n")
+
+    def model(prompts: pd.Series) -> pd.Series:
+        if prompts.str.contains("SERVICE: sa3").any():
+            raise RuntimeError("down")
+        return pd.Series([GOOD] * len(prompts), index=prompts.index)
+
+    rows = insights.annotate(several.coalesce(1), insights.batch_scorer(model)).collect()
+    assert {r.anomaly_id for r in rows if r.interpretation != "slow"} == {"a3"} and len(rows) == 8
+
+
 def test_prompt_text(anomalies):
     text = anomalies.select(insights.anomaly_prompt("ru").alias("p")).collect()[0].p
     lines = text.split("\n")

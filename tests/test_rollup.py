@@ -143,3 +143,22 @@ def test_storage_summary_counts_the_boundary(make_events):
     as_of = F.lit(T0 + dt.timedelta(hours=1))
     row = storage_summary(frame, metric_points(frame).points, as_of).collect()[0]
     assert tuple(row) == (2, 1, 2, 1)
+
+
+@pytest.mark.parametrize("inline_values", [200_000, 1])
+def test_values_beyond_any_number_keep_the_rollup_alive(spark, inline_values):
+    infinite, nan = float("inf"), float("nan")
+    rows = [(T0, "a", "s", "m", v) for v in (1.0, 2.0, 3.0, infinite)]
+    rows += [(T0, "b", "s", "n", v) for v in (-infinite, 1.0, 5.0, nan)]
+    points = spark.createDataFrame(rows, "time timestamp, id string, service string, metric_name string, value double")
+    made = {r.metric_name: r for r in metric_rollup(points, "1 hour", inline_values=inline_values).collect()}
+    assert (made["m"]["min"], made["m"]["max"], made["m"].cnt) == (1.0, infinite, 4)
+    assert made["n"]["min"] == -infinite and made["n"].cnt == 4
+
+
+def test_one_formula_for_both_percentile_paths(spark):
+    rows = [(T0, str(i), "s", "m", 0.1 * i * i + 1 / (i + 3)) for i in range(97)]
+    points = spark.createDataFrame(rows, "time timestamp, id string, service string, metric_name string, value double")
+    small = metric_rollup(points, "1 hour").collect()[0]
+    large = metric_rollup(points, "1 hour", inline_values=1).collect()[0]
+    assert (small.p95, small.p99) == (large.p95, large.p99)

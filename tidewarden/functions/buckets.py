@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -87,3 +87,15 @@ def bucket_start(ts: Column, bucket: str | None) -> Column:
     index = (F.year(ts) - 2000) * 12 + F.month(ts) - 1
     behind = F.pmod(index, F.lit(months))
     return F.add_months(F.trunc(ts, "month"), -behind)
+
+
+def within(rows: DataFrame, time: str, start: Column | None, end: Column | None) -> DataFrame:
+    """Rows of a time range, by day as well where the rows carry ``event_date``."""
+    dated = "event_date" in rows.columns
+    if start is not None:
+        rows = rows.where(F.col(time) >= start)
+        rows = rows.where(F.col("event_date") >= F.to_date(start)) if dated else rows
+    if end is not None:
+        rows = rows.where(F.col(time) <= end)
+        rows = rows.where(F.col("event_date") <= F.to_date(end)) if dated else rows
+    return rows

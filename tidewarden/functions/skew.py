@@ -1,4 +1,4 @@
-"""Joins and collections that stay balanced when one key holds most rows.
+"""Joins that stay balanced when one key holds most rows.
 
 The row count of a group is known before its rows are shuffled: it comes from an
 aggregation that combines on the map side. The largest groups, one per shuffle
@@ -88,32 +88,3 @@ def _without(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     ``rows``, which would then be computed once more; an outer join stays in place."""
     marked = groups.withColumn("_listed", F.lit(True))
     return rows.join(marked, keys, "left").where(F.col("_listed").isNull()).drop("_listed")
-
-
-def bounded_items(item: str, limit: int) -> Column:
-    """Aggregate: all distinct values of a text column and their counts, in bounded memory.
-
-    The sketch behind ``approx_top_k`` is exact while it tracks every value, which
-    holds up to ``limit`` distinct values; callers discard the result beyond that.
-    """
-    return F.expr(f"approx_top_k({item}, {limit}, {4 * limit})")
-
-
-def bounded_lists(rows: DataFrame, keys: list[str], item: str, name: str, limit: int) -> DataFrame:
-    """Per group its row count ``n`` and, up to ``limit`` rows, the sorted texts of ``item``.
-
-    Copies are kept and nulls left out. Larger groups get a null list: their members
-    stay rows of ``rows``, the form in which any number of them can be processed.
-    """
-    counted = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), bounded_items(item, limit).alias("items")
-    )
-    repeated = F.flatten(
-        F.transform(
-            F.filter("items", lambda e: e["item"].isNotNull()),
-            lambda e: F.array_repeat(e["item"], e["count"].cast("int")),
-        )
-    )
-    return counted.select(
-        *keys, "n", F.when(F.col("n") <= limit, F.array_sort(repeated)).alias(name)
-    )

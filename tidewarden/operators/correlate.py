@@ -1,9 +1,10 @@
 """Correlation groups: events that share an id inside a tumbling window.
 
-A group's member list on every member row is quadratic, so the list is written
-inline only for groups up to ``inline_limit`` members. ``correlation_members``
-holds the members of every group as rows, whatever its size; counts and service
-lists are exact for all groups.
+One shape for groups of any size: an event carries its group's key and exact counts;
+members, services and links are rows (``correlation_members``,
+``correlation_services``, ``context_links``). A list of members on every member would
+be quadratic and is not formed; ``member_chunks`` writes a group's members as
+records of bounded length.
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import window_bounds
-from ..functions.skew import join_groups, small_group_rows
+from ..functions.skew import join_groups
 from ..functions.text import has_text, json_object
 
 KEYS = ["window_start", "window_end", "correlation_id"]
 METRIC_GROUP = ["window_start", "window_end", "source", "metric"]
+CHUNK = 500
 
 
 def correlated(events: DataFrame) -> DataFrame:
@@ -28,19 +30,24 @@ def with_window(events: DataFrame, bucket: str) -> DataFrame:
     return events.select("*", *window_bounds("ts", bucket, events.schema["ts"].dataType))
 
 
+def correlation_services(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
+    """The services of every group as rows, with the number of events of each."""
+    return _services(with_window(correlated(events), bucket)).where(F.col("source").isNotNull())
+
+
+def _services(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS, "source").agg(F.count(F.lit(1)).alias("events"))
+
+
 def correlation_groups(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
-    """One row per group: size, sorted distinct services and their number."""
+    """One row per group: size and number of distinct services."""
     return _sizes(with_window(correlated(events), bucket))
 
 
 def _sizes(rows: DataFrame) -> DataFrame:
-    return (
-        rows.groupBy(*KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("correlated_count"),
-            F.array_sort(F.collect_set("source")).alias("services_in_chain"),
-        )
-        .withColumn("unique_services", F.size("services_in_chain"))
+    return _services(rows).groupBy(*KEYS).agg(
+        F.sum("events").alias("correlated_count"),
+        F.count("source").cast("int").alias("unique_services"),
     )
 
 
@@ -52,49 +59,29 @@ def correlation_members(events: DataFrame, bucket: str = "1 minute") -> DataFram
     )
 
 
-def correlate(events: DataFrame, bucket: str = "1 minute", inline_limit: int = 1000) -> DataFrame:
-    """Each correlated event with its group's members, services, window and counts.
+def member_chunks(events: DataFrame, bucket: str = "1 minute", length: int = CHUNK) -> DataFrame:
+    """All members of every group in records of about ``length`` ids, none left out.
 
-    Member ids are ordered by (ts, id), copies kept, null ids left out. For
-    groups above ``inline_limit`` the id list is null; see module notes.
+    A hash of the id names the chunk, so chunks are made by as many tasks as there are
+    chunks; their number follows from the group's own count of ids.
     """
+    members = correlation_members(events, bucket)
+    sizes = members.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("ids"))
+    numbered = join_groups(members, sizes, KEYS, "ids", ["member_id"]).withColumn(
+        "chunk", F.pmod(F.xxhash64("member_id"), F.ceil(F.col("ids") / F.lit(length))).cast("int")
+    )
+    return numbered.groupBy(*KEYS, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("member_id", "copies"))).alias("members")
+    )
+
+
+def correlate(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
+    """Each correlated event with its group's window, size and number of services."""
     rows = with_window(correlated(events), bucket)
-    columns = [c for c in rows.columns if c not in KEYS]
-    sizes = _sizes(rows)
-
-    members = F.collect_list(F.struct("ts", "id", F.struct(*columns).alias("event")))
-    grouped = (
-        small_group_rows(rows, sizes, KEYS, "correlated_count", inline_limit)
-        .groupBy(*KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("correlated_count"),
-            F.array_sort(F.collect_set("source")).alias("services_in_chain"),
-            members.alias("members"),
-        )
+    joined = join_groups(rows, _sizes(rows), KEYS, "correlated_count", ["id", "ts"])
+    return joined.select(
+        *events.columns, "window_start", "window_end", "correlated_count", "unique_services"
     )
-    # Only the two ordering fields are sorted; the events themselves stay as they are.
-    order = F.array_sort(F.transform("members", lambda m: F.struct(m["ts"], m["id"])))
-    ids = F.filter(F.transform(order, lambda m: m["id"]), lambda i: i.isNotNull())
-    inline = grouped.select(
-        *KEYS,
-        "correlated_count",
-        "services_in_chain",
-        F.size("services_in_chain").alias("unique_services"),
-        ids.alias("correlated_event_ids"),
-        F.explode("members.event").alias("event"),
-    ).select(*KEYS, "event.*", "correlated_count", "services_in_chain", "unique_services",
-             "correlated_event_ids")
-
-    oversized = join_groups(
-        rows, sizes, KEYS, "correlated_count", ["id", "ts"],
-        keep=F.col("correlated_count") > F.lit(inline_limit),
-    ).withColumn("correlated_event_ids", F.lit(None).cast("array<string>"))
-
-    order_of_columns = [
-        *events.columns, "window_start", "window_end", "correlated_count",
-        "services_in_chain", "unique_services", "correlated_event_ids",
-    ]
-    return inline.select(*order_of_columns).unionByName(oversized.select(*order_of_columns))
 
 
 def enriched_record(rows: DataFrame) -> DataFrame:
@@ -103,8 +90,6 @@ def enriched_record(rows: DataFrame) -> DataFrame:
         F.struct(
             "id", "source", "type", "subtype", "payload", "ts", "correlation_id", "tags"
         ).alias("original"),
-        "correlated_event_ids",
-        "services_in_chain",
         "window_start",
         "window_end",
         F.struct(
@@ -125,77 +110,67 @@ def context_links(firing: DataFrame, samples: DataFrame) -> DataFrame:
     return links.join(firing.select(*METRIC_GROUP), METRIC_GROUP, "left_semi")
 
 
-def _member_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct (correlation group, id); copies of an event combine before the shuffle."""
-    return rows.where(F.col("id").isNotNull()).select(*KEYS, "id").distinct()
-
+def context_counts(links: DataFrame, events: DataFrame, bucket: str) -> DataFrame:
+    """Per firing metric group the exact number of distinct ids behind it and of services.
 
-def context_sizes(links: DataFrame, events: DataFrame, bucket: str) -> DataFrame:
-    """Per firing metric group the exact number of distinct ids behind it and its services.
-
-    Ids found in one correlation group only are added up as counts. Just the ids
-    found in several groups of a window are followed one by one.
+    Only events of linked correlation groups are read on. Ids found in one correlation
+    group of a window are added up as counts; just those found in several are followed one by one.
     """
-    rows = with_window(events, bucket)
-    pairs = _member_pairs(rows)
     window = ["window_start", "window_end"]
-    several = pairs.groupBy(*window, "id").agg(F.count(F.lit(1)).alias("homes")).where("homes > 1")
-    shared_pairs = pairs.join(several.drop("homes"), [*window, "id"], "left_semi")
-    groups = (
-        rows.groupBy(*KEYS).agg(F.collect_set("source").alias("services"))
-        .join(pairs.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("all_ids")), KEYS, "left")
-        .join(shared_pairs.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("shared")), KEYS, "left")
-        .withColumn("own_ids", F.coalesce("all_ids", F.lit(0)) - F.coalesce("shared", F.lit(0)))
+    wanted = links.select(*KEYS).distinct()
+    linked = with_window(events, bucket).join(wanted, KEYS, "left_semi")
+    pairs = linked.groupBy(*KEYS, "source", "id").agg(F.count(F.lit(1)).alias("_n"))
+    homes = pairs.where(F.col("id").isNotNull()).groupBy(*window, "id").agg(
+        F.count_distinct("correlation_id").alias("homes"), F.min("correlation_id").alias("home")
     )
-    services = (
-        links.join(groups, KEYS)
-        .select(*METRIC_GROUP, F.col("own_ids"), F.posexplode("services").alias("place", "member"))
-        .groupBy(*METRIC_GROUP)
-        .agg(
-            F.sum(F.when(F.col("place") == 0, F.col("own_ids")).otherwise(0)).alias("own_ids"),
-            F.array_sort(F.collect_set("member")).alias("services"),
-        )
+    own = homes.where("homes = 1").groupBy(*window, F.col("home").alias("correlation_id")).agg(
+        F.count(F.lit(1)).alias("own")
+    )
+    several = pairs.join(homes.where("homes > 1").select(*window, "id"), [*window, "id"], "left_semi")
+    counted = links.join(own, KEYS, "left").groupBy(*METRIC_GROUP).agg(
+        F.sum(F.coalesce("own", F.lit(0))).alias("own")
     )
     shared = (
-        links.join(shared_pairs, KEYS).select(*METRIC_GROUP, "id").distinct()
-        .groupBy(*METRIC_GROUP).agg(F.count(F.lit(1)).alias("shared_ids"))
+        links.join(several.select(*KEYS, "id").distinct(), KEYS)
+        .select(*METRIC_GROUP, "id").distinct()
+        .groupBy(*METRIC_GROUP).agg(F.count(F.lit(1)).alias("shared"))
     )
-    return services.join(shared, METRIC_GROUP, "left").select(
-        *METRIC_GROUP, "services",
-        (F.col("own_ids") + F.coalesce("shared_ids", F.lit(0))).alias("ids"),
+    services = context_services(links, pairs).groupBy(*METRIC_GROUP).agg(F.count("service").alias("services"))
+    return (
+        counted.join(shared, METRIC_GROUP, "left").join(services, METRIC_GROUP, "left")
+        .select(
+            *METRIC_GROUP,
+            (F.col("own") + F.coalesce("shared", F.lit(0))).alias("ids"),
+            F.coalesce("services", F.lit(0)).alias("services"),
+        )
     )
 
 
+def context_services(links: DataFrame, services: DataFrame) -> DataFrame:
+    """The services behind each firing metric group as rows; ``services`` has the groups' sources."""
+    named = services.where(F.col("source").isNotNull()).select(*KEYS, F.col("source").alias("service"))
+    return links.join(named.distinct(), KEYS).select(*METRIC_GROUP, "service").distinct()
+
+
 def attach_context(
-    hits: DataFrame, firing: DataFrame, samples: DataFrame, events: DataFrame,
-    bucket: str, inline_limit: int,
+    hits: DataFrame, firing: DataFrame, samples: DataFrame, events: DataFrame, bucket: str
 ) -> DataFrame:
-    """Extend the details of enriched hits with the group-wide ids and services.
+    """Extend the details of enriched hits with the group-wide counts of ids and services.
 
-    Ids are listed for metric groups with at most ``inline_limit`` of them; above
-    that the list is null and :func:`context_links` leads to the ids.
+    The ids and services themselves are the rows of :func:`context_links`,
+    :func:`correlation_members` and :func:`context_services`.
     """
-    links = context_links(firing, samples)
-    sizes = context_sizes(links, events, bucket)
-    short = links.join(
-        sizes.where(F.col("ids") <= inline_limit).select(*METRIC_GROUP), METRIC_GROUP, "left_semi"
-    )
-    lists = (
-        _member_pairs(with_window(events, bucket)).join(short, KEYS).groupBy(*METRIC_GROUP)
-        .agg(F.array_sort(F.collect_set("id")).alias("listed"))
-    )
-    wide = sizes.join(lists, METRIC_GROUP, "left").withColumnRenamed("source", "service")
-    listed = F.when(
-        F.col("ids") <= inline_limit,
-        F.coalesce("listed", F.array().cast("array<string>")),
+    counts = context_counts(context_links(firing, samples), events, bucket)
+    sizes = hits.groupBy("window_start", "window_end", "service", "metric").agg(F.count(F.lit(1)).alias("_hits"))
+    keys = ["window_start", "window_end", "service", "metric"]
+    wide = sizes.join(
+        counts.withColumnsRenamed({"source": "service", "services": "unique_services"}), keys, "left"
     )
     details = json_object(
         value=F.col("value"), mean=F.col("mean"), stddev=F.col("stddev"),
         zScore=F.col("score"), windowSize=F.col("events"),
-        correlatedEventIds=listed,
-        servicesInChain=F.col("services"),
-        correlatedCount=F.col("ids"),
-        uniqueServices=F.size("services"),
+        correlatedCount=F.coalesce("ids", F.lit(0)),
+        uniqueServices=F.coalesce("unique_services", F.lit(0)),
     )
-    keys = ["window_start", "window_end", "service", "metric"]
-    return hits.join(wide, keys, "left").withColumn("details", details)
+    joined = join_groups(hits, wide, keys, "_hits", ["event_id", "value"])
+    return joined.withColumn("details", details)

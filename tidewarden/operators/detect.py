@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import payload as P
 from ..functions.buckets import window_bounds
 from ..functions.skew import join_groups
-from ..functions.text import json_object, never_null, stable_id
+from ..functions.text import json_object, never_null, stable_id, without_id
 from ..schemas import CRITICAL, METRIC, WARNING
 from .correlate import attach_context, correlated
 
@@ -65,7 +65,12 @@ def window_stats(samples: DataFrame) -> DataFrame:
 
 
 def z_score(value: Column) -> Column:
-    return F.abs((value - F.col("mean")) / F.col("stddev"))
+    return F.abs(F.try_divide(value - F.col("mean"), F.col("stddev")))
+
+
+def exceeds(z: Column, limit: float) -> Column:
+    """NaN, which Spark orders above every number, exceeds nothing."""
+    return ~F.isnan(z) & (z > F.lit(limit))
 
 
 def enough_data(min_samples: int, min_stddev: float) -> Column:
@@ -79,7 +84,7 @@ def enough_data(min_samples: int, min_stddev: float) -> Column:
 def can_fire(threshold: float, min_samples: int, min_stddev: float) -> Column:
     """Exact group test: the largest deviation is always at the minimum or the maximum."""
     return enough_data(min_samples, min_stddev) & (
-        F.greatest(z_score(F.col("low")), z_score(F.col("high"))) > F.lit(threshold)
+        exceeds(z_score(F.col("low")), threshold) | exceeds(z_score(F.col("high")), threshold)
     )
 
 
@@ -107,9 +112,9 @@ def describe(z: Column) -> Column:
 def hits_of(scored: DataFrame, detector: str, threshold: float, critical: float) -> DataFrame:
     """Rows that carry their group statistics to anomaly rows."""
     z = z_score(F.col("value"))
-    return scored.where(z > F.lit(threshold)).select(
+    return scored.where(exceeds(z, threshold)).select(
         stable_id(F.lit(detector), F.col("window_start"), F.col("source"), F.col("metric"),
-                  F.col("event_id")).alias("id"),
+                  F.col("event_id"), without_id(F.col("event_id"), "ts", "value")).alias("id"),
         F.col("source").alias("service"),
         "metric",
         z.alias("score"),
@@ -165,21 +170,19 @@ def detect_enriched(
     events: DataFrame,
     bucket: str = DEFAULT_WINDOW,
     context: bool = True,
-    inline_limit: int = 1000,
     **options,
 ) -> DataFrame:
     """Z-score anomalies on metric events that belong to a correlation group.
 
-    ``context`` adds to the details which events and services the metric's
-    correlation groups hold. The counts are exact; the id list is written out up
-    to ``inline_limit`` ids and left null above, where ``correlate.context_links``
-    leads to the same ids as rows.
+    ``context`` adds to the details how many events and services the metric's
+    correlation groups hold, exact for groups of any size; ``correlate.context_links``
+    leads to them as rows.
     """
     samples = windowed_samples(correlated(events), bucket)
     hits = zscore_hits(samples, "enriched-zscore", **options)
     if context:
         firing = firing_groups(samples, **_thresholds(options))
-        hits = attach_context(hits, firing, samples, correlated(events), bucket, inline_limit)
+        hits = attach_context(hits, firing, samples, correlated(events), bucket)
     return hits.select(*ANOMALY_COLUMNS)
 
 

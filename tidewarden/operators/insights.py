@@ -130,12 +130,20 @@ def rule_scorer(anomalies: DataFrame) -> DataFrame:
     return anomalies.withColumn("reply", reply)
 
 
+def _one_reply(score: Callable[[pd.Series], pd.Series], prompt: pd.Series) -> str | None:
+    try:
+        return score(prompt).iloc[0]
+    except Exception:
+        return None
+
+
 def batch_scorer(
     score: Callable[[pd.Series], pd.Series], language: str | None = None
 ) -> Scorer:
     """Scorer around a Python function from a batch of prompts to a batch of replies.
 
-    An exception in ``score`` gives the batch no reply, which leads to the fallback.
+    Where ``score`` fails for a batch its prompts are scored one by one, and only those
+    that fail again get no reply, which leads to the fallback.
     """
 
     def scorer(anomalies: DataFrame) -> DataFrame:
@@ -146,7 +154,8 @@ def batch_scorer(
                 try:
                     replies = score(batch["prompt"])
                 except Exception:
-                    replies = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+                    single = [_one_reply(score, batch["prompt"].iloc[i : i + 1]) for i in range(len(batch))]
+                    replies = pd.Series(single, index=batch.index, dtype=object)
                 yield batch.drop(columns="prompt").assign(reply=replies)
 
         reply = T.StructField("reply", T.StringType())

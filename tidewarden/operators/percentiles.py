@@ -26,13 +26,19 @@ INLINE_VALUES = 200_000
 _LOG_STEPS = 4096  # bins per factor e
 _LOG_SHIFT = 746 * _LOG_STEPS  # ln of the smallest positive double is about -745
 _PARTS = 1 << 20
+_OUTER = 1 << 40
 
 
 def _log_bin(value: Column) -> Column:
-    """Monotone bin number: negative values mirrored below zero."""
+    """Monotone bin number: negative values mirrored below zero, non-finite ones outermost."""
     size = F.floor(F.ln(F.abs(value)) * _LOG_STEPS) + _LOG_SHIFT
-    return F.when(value == 0, F.lit(0).cast("bigint")).otherwise(
-        (F.signum(value) * size).cast("bigint")
+    return (
+        F.when(F.isnan(value), F.lit(2 * _OUTER))
+        .when(value == float("inf"), F.lit(_OUTER))
+        .when(value == float("-inf"), F.lit(-_OUTER))
+        .when(value == 0, F.lit(0))
+        .otherwise(F.signum(value) * size)
+        .cast("bigint")
     )
 
 
@@ -116,7 +122,9 @@ def _large_group_percentiles(
         below, above = F.floor(position), F.ceil(position)
         low = F.try_element_at("at_rank", below.cast("bigint"))
         high = F.try_element_at("at_rank", above.cast("bigint"))
-        out.append(low + (high - low) * (position - below))
+        # the formula of the built-in function, so that a group's size does not show in the last bits
+        between = low * (above - position) + high * (position - below)
+        out.append(F.when(low == high, low).otherwise(between))
     return by_rank.select(*keys, F.array(*out).alias(name))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import payload as P
-from ..functions.buckets import bucket_start
+from ..functions.buckets import bucket_start, within
 from ..functions.text import never_null
 from ..schemas import DEFAULT_BUCKET, DEFAULT_LIMIT, METRIC
 from .percentiles import (
@@ -61,8 +61,7 @@ def select_points(
     end: Column | None = None,
 ) -> DataFrame:
     """Optional equality filters (blank means none) and an inclusive time range."""
-    if start is not None and end is not None:
-        points = points.where(F.col("time").between(start, end))
+    points = within(points, "time", start, end)
     if _given(service):
         points = points.where(F.col("service") == service)
     if _given(metric_name):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import payload as P
-from ..functions.text import json_object, stable_id, text_or_null
+from ..functions.text import json_object, stable_id, text_or_null, without_id
 from ..schemas import CRITICAL, LOG, TRACE, WARNING
 from .detect import ANOMALY_COLUMNS
 
@@ -40,6 +40,7 @@ class Rule:
 ERROR_LEVELS = ("ERROR", "FATAL")
 LATENCY_MS = 1000
 LATENCY_CRITICAL_MS = 5000
+LARGEST = 2**63 - 1
 
 
 def error_rule() -> Rule:
@@ -58,7 +59,13 @@ def error_rule() -> Rule:
 
 def latency_rule(limit_ms: int = LATENCY_MS, critical_ms: int = LATENCY_CRITICAL_MS) -> Rule:
     def whole_ms(f: Column) -> Column:
-        return f["durationMs"].cast("bigint")
+        """Whole milliseconds, held at the ends of BIGINT like a saturating conversion."""
+        ms = f["durationMs"]
+        return (
+            F.when(ms >= F.lit(float(LARGEST)), F.lit(LARGEST))
+            .when(ms <= F.lit(float(-LARGEST)), F.lit(-LARGEST - 1))
+            .otherwise(ms.cast("bigint"))
+        )
 
     return Rule(
         name="latency-rule",
@@ -82,7 +89,8 @@ def default_rules() -> list[Rule]:
 def _anomaly(rule: Rule, fields: Column) -> Column:
     """Struct of one rule's anomaly, null where the rule does not fire."""
     made = {
-        "id": stable_id(F.lit(rule.name), F.col("source"), F.lit(rule.metric), F.col("event_id")),
+        "id": stable_id(F.lit(rule.name), F.col("source"), F.lit(rule.metric), F.col("event_id"),
+                        without_id(F.col("event_id"), "ts", fields)),
         "service": F.col("source"),
         "metric": F.lit(rule.metric),
         "score": rule.score(fields).cast("double"),

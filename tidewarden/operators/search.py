@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.buckets import within
 from .rollup import effective_limit
 
 RESULT_COLUMNS = [
@@ -21,7 +22,8 @@ def match_events(
     end: Column | None = None,
     text: str | None = None,
 ) -> DataFrame:
-    """Filters only: null switches a filter off; the time range is inclusive.
+    """Filters only: null switches a filter off; the time range is inclusive at both ends and
+    may have one end only. On stored events it also bounds the partitions read.
 
     ``text`` is looked for in the payload and the tags as JSON text, case-sensitive;
     ``%`` and ``_`` in it act as wildcards.
@@ -29,8 +31,7 @@ def match_events(
     for name, wanted in (("source", source), ("type", type), ("subtype", subtype)):
         if wanted is not None:
             events = events.where(F.col(name) == wanted)
-    if start is not None and end is not None:
-        events = events.where(F.col("ts").between(start, end))
+    events = within(events, "ts", start, end)
     if text is not None:
         pattern = f"%{text}%"
         events = events.where(

@@ -30,7 +30,7 @@ def _tel(services: int = 2) -> str:
 
 
 def _id(*parts: str) -> str:
-    return f"substr(sha256(concat_ws('|', {', '.join(parts)})), 1, 32)"
+    return f"substr(sha256(CAST(to_json([{', '.join(parts)}]) AS VARCHAR)), 1, 32)"
 
 
 def _bucket(bucket: str) -> str:
@@ -42,7 +42,7 @@ def _scored(bucket: str, correlated: bool) -> str:
     """CTE ``hits``: z-score hits with their group statistics."""
     extra = "AND correlation_id IS NOT NULL" if correlated else ""
     detector = "enriched-zscore" if correlated else "raw-zscore"
-    anomaly = _id(f"'{detector}'", "CAST(w AS VARCHAR)", "source", "subtype", "id")
+    anomaly = _id(f"'{detector}'", "CAST(w AS VARCHAR)", "source", "subtype", "id", "NULL")
     return f"""samples AS (
       SELECT *, {_bucket(bucket)} AS w FROM tel WHERE type = 'metric' {extra}),
     stats AS (
@@ -70,8 +70,8 @@ _LEVEL = "CASE k % 3 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'FATAL' ELSE 'WARN' END"
 
 def _rules(services: int = 2) -> str:
     """CTE ``ruled``: error and latency anomalies."""
-    error_id = _id("'error-rule'", "source", "'error-rate'", "id")
-    latency_id = _id("'latency-rule'", "source", "'latency'", "id")
+    error_id = _id("'error-rule'", "source", "'error-rate'", "id", "NULL")
+    latency_id = _id("'latency-rule'", "source", "'latency'", "id", "NULL")
     return f"""{_tel(services)},
     ruled AS (
       SELECT {error_id} AS id, source AS service, 'error-rate' AS metric, 1.0::DOUBLE AS score,
@@ -164,12 +164,10 @@ _CORRELATED = f"""{_tel()},
 
 _CORRELATE = f"""WITH {_CORRELATED},
     groups AS (
-      SELECT w, correlation_id, count(*) AS n, string_agg(id, ',' ORDER BY ts, id) AS ids,
-             string_agg(DISTINCT source, ',' ORDER BY source) AS services,
-             count(DISTINCT source) AS kinds
+      SELECT w, correlation_id, count(*) AS n, count(DISTINCT source) AS kinds
       FROM grouped GROUP BY ALL)
     SELECT id, correlation_id, w AS window_start, w + INTERVAL 1 DAY AS window_end,
-           n AS correlated_count, ids AS member_ids, services, CAST(kinds AS INTEGER) AS unique_services
+           n AS correlated_count, CAST(kinds AS INTEGER) AS unique_services
     FROM grouped JOIN groups USING (w, correlation_id)"""
 
 # CTE ``context``: distinct member ids behind each firing metric group.
@@ -222,15 +220,69 @@ def oracle_sql() -> dict[str, str]:
                    round(mean + 1e-9, 6) AS mean, round(sd + 1e-9, 6) AS stddev FROM stats""",
         "enriched_zscore_daily": f"""WITH {_tel()}, {_CONTEXT},
             sums AS (SELECT w, source, metric, count(DISTINCT id) AS ids,
-                            string_agg(DISTINCT member_source, ',' ORDER BY member_source) AS services
+                            count(DISTINCT member_source) AS services
                      FROM context GROUP BY ALL)
             SELECT h.id, h.service, h.metric, round(z + 1e-9, 6) AS score,
                    CASE WHEN z > 5.0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
                    h.correlation_id, h.event_id, h.n AS window_size, s.ids AS correlated_count,
-                   s.services
+                   s.services AS unique_services, round(z + 1e-9, 6) AS z_score
             FROM hits h JOIN sums s ON h.w = s.w AND h.service = s.source AND h.metric = s.metric""",
         "enriched_context_links": f"""WITH {_tel()}, {_CONTEXT}
             SELECT w AS window_start, source, metric, correlation_id FROM touched""",
+        "enriched_context_services": f"""WITH {_tel()}, {_CONTEXT}
+            SELECT DISTINCT w AS window_start, source, metric, member_source AS service FROM context""",
+        "planted_infinity_zscore": f"""SELECT z.* FROM ({_zscore('1 day')}) z ANTI JOIN (
+              SELECT DISTINCT 'svc-' || (user_id % 2) AS service, event_type AS metric,
+                     date_trunc('day', ts) + INTERVAL 1 DAY AS detected_at
+              FROM events WHERE event_id % 101 = 0) p USING (service, metric, detected_at)""",
+        "planted_huge_latency": f"""WITH {_rules()},
+            huge AS (SELECT 'evt-' || event_id AS event_id, 'svc-' || (user_id % 2) AS source
+                     FROM events WHERE event_type = 'purchase' AND event_id % 7 = 0)
+            SELECT id, severity, duration_ms FROM ruled
+            WHERE metric = 'latency' AND event_id NOT IN (SELECT event_id FROM huge)
+            UNION ALL
+            SELECT {_id("'latency-rule'", "source", "'latency'", "event_id", "NULL")}, 'CRITICAL',
+                   9223372036854775807 FROM huge""",
+        "planted_infinity_rollup": f"""WITH {_tel()},
+            planted AS (SELECT *, CASE WHEN CAST(substr(id, 5) AS BIGINT) % 101 = 0
+                               THEN CAST('inf' AS DOUBLE) ELSE value END AS v FROM tel)
+            SELECT {_bucket('1 day')} AS bucket, source AS service, subtype AS metric_name,
+                   min(v) AS min, max(v) AS max, count(*) AS cnt
+            FROM planted WHERE type = 'metric' GROUP BY ALL""",
+        "correlation_services_daily": f"""WITH {_tel(7)}
+            SELECT {_bucket('1 day')} AS window_start, correlation_id, source AS service,
+                   count(*) AS events FROM tel WHERE correlation_id IS NOT NULL GROUP BY ALL""",
+        "correlation_chunks_daily": f"""WITH {_CORRELATED}
+            SELECT w AS window_start, correlation_id, id AS member_id, count(*) AS copies
+            FROM grouped GROUP BY ALL""",
+        "batch_receipt_ids": """
+            SELECT user_id AS batch_id, 'evt-' || event_id AS id, count(*) AS copies
+            FROM events GROUP BY ALL""",
+        "wire_enriched_roundtrip": f"""SELECT id, source, window_start,
+              correlated_count, unique_services FROM ({_CORRELATE})
+              JOIN (SELECT 'evt-' || event_id AS id, 'svc-' || (user_id % 2) AS source FROM events)
+              USING (id)""",
+        "wire_anomaly_roundtrip": f"""WITH {_rules(ALERT_SERVICES)}
+            SELECT id, service, metric, round(score + 1e-9, 6) AS score, severity, detected_at, correlation_id FROM ruled""",
+        "wire_insight_roundtrip": f"""SELECT id, anomaly_id, severity, score,
+              incident_classification FROM ({_insights(varied=False)})""",
+        "wire_message_keys": f"""
+            SELECT 'event' AS kind, source || ':' || type AS key, id FROM (WITH {_tel()} SELECT * FROM tel)
+            UNION ALL
+            SELECT 'anomaly', service || ':' || metric, id FROM (WITH {_rules(ALERT_SERVICES)} SELECT * FROM ruled)
+            UNION ALL SELECT 'insight', anomaly_id, id FROM ({_insights(varied=False)})""",
+        "insight_scorer_failures": f"""WITH {_rules(ALERT_SERVICES)}
+            SELECT id AS anomaly_id,
+                   CASE severity WHEN 'CRITICAL' THEN '{FALLBACK_INTERPRETATION}' ELSE 'fine' END AS interpretation,
+                   CASE severity WHEN 'CRITICAL' THEN 'Unknown' ELSE 'Other' END AS incident_classification
+            FROM ruled""",
+        "alerts_from_all_detectors": f"""
+            WITH found AS (
+              SELECT id, service, severity, detected_at FROM ({_zscore('1 day')}) UNION ALL
+              SELECT id, service, severity, detected_at FROM ({_zscore('1 day', correlated=True)}) UNION ALL
+              SELECT * FROM (WITH {_rules()} SELECT id, service, severity, detected_at FROM ruled))
+            SELECT {_id("'alert'", "id")} AS id, severity, 'OPEN' AS status, service AS source,
+                   id AS anomaly_id, detected_at FROM found""",
         "rule_error": f"""WITH {_rules()}
             SELECT id, service, metric, score, severity, description, detected_at, correlation_id,
                    level, message FROM ruled WHERE metric = 'error-rate'""",
@@ -256,7 +308,6 @@ def oracle_sql() -> dict[str, str]:
             grouped AS (SELECT *, {_bucket('1 day')} AS w FROM tel WHERE correlation_id IS NOT NULL)
             SELECT w AS window_start, w + INTERVAL 1 DAY AS window_end, correlation_id,
                    count(*) AS correlated_count,
-                   string_agg(DISTINCT source, ',' ORDER BY source) AS services,
                    CAST(count(DISTINCT source) AS INTEGER) AS unique_services
             FROM grouped GROUP BY w, correlation_id""",
         "correlation_members_daily": f"""WITH {_CORRELATED}
@@ -334,11 +385,13 @@ def oracle_sql() -> dict[str, str]:
             FROM req WHERE k % 10 IN (4, 5)
             UNION ALL SELECT 'log', id, 'message is blank' FROM req WHERE k % 10 = 3""",
         "batch_receipt": """
-            SELECT user_id AS batch_id, count(*) AS count,
-                   string_agg('evt-' || event_id, ',' ORDER BY 'evt-' || event_id) AS ids
-            FROM events GROUP BY user_id""",
+            SELECT user_id AS batch_id, count(*) AS count FROM events GROUP BY user_id""",
         "wire_json_roundtrip": f"""WITH {_tel()}
-            SELECT id, source, type, subtype, ts, correlation_id, CAST(k AS VARCHAR) AS tag_k
+            SELECT CASE WHEN type = 'metric' THEN value END AS value,
+                   CASE WHEN type = 'trace' THEN CAST(floor(value * 20) AS BIGINT) END AS duration_ms,
+                   CASE WHEN type = 'log' THEN CASE k % 3 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'FATAL'
+                     ELSE 'WARN' END END AS level,
+                   id, source, type, subtype, ts, correlation_id, CAST(k AS VARCHAR) AS tag_k
             FROM tel""",
         "wire_rejects": f"""WITH {_tel()}
             SELECT CASE k % 4 WHEN 0 THEN 'malformed JSON' ELSE 'event' END AS outcome,
@@ -364,6 +417,10 @@ def oracle_sql() -> dict[str, str]:
             """SELECT 'NEW_ALERT' AS type, id, title, severity, status, source, detected_at
                FROM alerts"""
         ),
+        "wire_notices": _alert_query(
+            """SELECT id AS key, id, severity, source,
+                      strftime(detected_at, '%Y-%m-%dT%H:%M:%SZ') AS detected_at FROM alerts"""
+        ),
         "stream_alert_dedup": _alert_query(
             "SELECT id, title, severity, source, detected_at FROM alerts"
         ),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,16 +80,16 @@ def window_statistics_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def enriched_zscore_daily(spark: SparkSession, folder: str) -> DataFrame:
-    found = detect.detect_enriched(telemetry(spark, folder), "1 day", inline_limit=100)
+    found = detect.detect_enriched(telemetry(spark, folder), "1 day")
     context = F.from_json(
-        "details",
-        "windowSize BIGINT, correlatedCount BIGINT, uniqueServices INT, servicesInChain ARRAY<STRING>",
+        "details", "zScore DOUBLE, windowSize BIGINT, correlatedCount BIGINT, uniqueServices BIGINT"
     )
     return found.withColumn("context", context).select(
         "id", "service", "metric", _round("score"), "severity", "correlation_id", "event_id",
         F.col("context.windowSize").alias("window_size"),
         F.col("context.correlatedCount").alias("correlated_count"),
-        F.array_join("context.servicesInChain", ",").alias("services"),
+        F.col("context.uniqueServices").alias("unique_services"),
+        _six(F.col("context.zScore")).alias("z_score"),
     )
 
 
@@ -99,6 +101,47 @@ def enriched_context_links(spark: SparkSession, folder: str) -> DataFrame:
     return links.select("window_start", "source", "metric", "correlation_id")
 
 
+@_query
+def enriched_context_services(spark: SparkSession, folder: str) -> DataFrame:
+    events = correlate.correlated(telemetry(spark, folder))
+    samples = detect.windowed_samples(events, "1 day")
+    links = correlate.context_links(detect.firing_groups(samples), samples)
+    services = correlate.correlation_services(events, "1 day")
+    return correlate.context_services(links, services).select("window_start", "source", "metric", "service")
+
+
+def _planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Telemetry in which some metrics are infinite and some durations beyond any integer."""
+    number = F.substring("id", 5, 20).cast("bigint")
+    infinite = F.concat(F.lit('{"metric": "'), F.col("subtype"), F.lit('", "value": 1e999}'))
+    huge = F.lit('{"operation": "purchase", "durationMs": 1e30}')
+    return telemetry(spark, folder).withColumn(
+        "payload",
+        F.when((F.col("type") == "metric") & (number % 101 == 0), infinite)
+        .when((F.col("type") == "trace") & (number % 7 == 0), huge)
+        .otherwise(F.col("payload")),
+    )
+
+
+@_query
+def planted_infinity_zscore(spark: SparkSession, folder: str) -> DataFrame:
+    return _anomaly_view(detect.detect_raw(_planted(spark, folder), "1 day"))
+
+
+@_query
+def planted_huge_latency(spark: SparkSession, folder: str) -> DataFrame:
+    found = rules.apply_rule(_planted(spark, folder), rules.latency_rule())
+    fields = F.from_json("details", "durationMs BIGINT")
+    return found.select("id", "severity", fields["durationMs"].alias("duration_ms"))
+
+
+@_query
+def planted_infinity_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    points = rollup.metric_points(_planted(spark, folder)).points
+    rows = rollup.metric_rollup(points, "1 day", inline_values=20)
+    return rows.select("bucket", "service", "metric_name", "min", "max", "cnt")
+
+
 @_query
 def rule_error(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.apply_rule(telemetry(spark, folder), rules.error_rule())
@@ -125,7 +168,7 @@ def anomaly_union(spark: SparkSession, folder: str) -> DataFrame:
     events = telemetry(spark, folder)
     return _anomaly_view(
         detect.union_anomalies(
-            detect.detect_enriched(events, "1 day", context=False),
+            detect.detect_enriched(events, "1 day"),
             rules.detect_rules(events),
             detect.detect_raw(events, "1 day"),
         )
@@ -152,8 +195,6 @@ def _correlate_view(rows: DataFrame) -> DataFrame:
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"),
         "correlated_count",
-        F.array_join("correlated_event_ids", ",").alias("member_ids"),
-        F.array_join("services_in_chain", ",").alias("services"),
         "unique_services",
     )
 
@@ -167,8 +208,22 @@ def correlate_daily(spark: SparkSession, folder: str) -> DataFrame:
 def correlation_groups_daily(spark: SparkSession, folder: str) -> DataFrame:
     groups = correlate.correlation_groups(telemetry(spark, folder, services=7), "1 day")
     return groups.select(
-        "window_start", "window_end", "correlation_id", "correlated_count",
-        F.array_join("services_in_chain", ",").alias("services"), "unique_services",
+        "window_start", "window_end", "correlation_id", "correlated_count", "unique_services"
+    )
+
+
+@_query
+def correlation_services_daily(spark: SparkSession, folder: str) -> DataFrame:
+    found = correlate.correlation_services(telemetry(spark, folder, services=7), "1 day")
+    return found.select("window_start", "correlation_id", F.col("source").alias("service"), "events")
+
+
+@_query
+def correlation_chunks_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """The members of all groups out of records of about three ids."""
+    chunks = correlate.member_chunks(telemetry(spark, folder), "1 day", length=3)
+    return chunks.select("window_start", "correlation_id", F.explode("members").alias("m")).select(
+        "window_start", "correlation_id", "m.member_id", "m.copies"
     )
 
 
@@ -393,7 +448,7 @@ def normalize_metric(spark: SparkSession, folder: str) -> DataFrame:
 def normalize_trace(spark: SparkSession, folder: str) -> DataFrame:
     made = normalize.ingest(_trace_requests(spark, folder), "trace", _at(INGEST_AS_OF)).valid
     return _normalized_view(
-        made.withColumn("payload", F.col("payload")),
+        made,
         "traceId STRING, spanId STRING, parentSpanId STRING, operation STRING, "
         "durationMs BIGINT, startTime STRING",
     )
@@ -416,8 +471,15 @@ def batch_receipt(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
         F.col("user_id").alias("batch_id"), F.concat(F.lit("evt-"), F.col("event_id")).alias("id")
     )
-    receipts = requests.batch_receipts(events)
-    return receipts.select("batch_id", "count", F.array_join("ids", ",").alias("ids"))
+    return requests.batch_receipts(events).select("batch_id", "count")
+
+
+@_query
+def batch_receipt_ids(spark: SparkSession, folder: str) -> DataFrame:
+    events = table(spark, folder, "events").select(
+        F.col("user_id").alias("batch_id"), F.concat(F.lit("evt-"), F.col("event_id")).alias("id")
+    )
+    return requests.receipt_ids(events).select("batch_id", "id", "copies")
 
 
 @_query
@@ -425,12 +487,74 @@ def wire_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Events encoded to JSON messages and decoded again."""
     messages = wire.encode_events(telemetry(spark, folder))
     back = wire.decode_events(messages).valid
+    metric = F.from_json("payload", "value DOUBLE, durationMs BIGINT, level STRING")
     return back.select(
+        metric["value"].alias("value"),
+        metric["durationMs"].alias("duration_ms"), metric["level"].alias("level"),
         "id", "source", "type", "subtype", F.col("ts").cast("timestamp_ntz").alias("ts"),
         "correlation_id", F.try_element_at("tags", F.lit("k")).alias("tag_k"),
     )
 
 
+@_query
+def wire_enriched_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched events encoded and decoded again."""
+    rows = correlate.enriched_record(correlate.correlate(telemetry(spark, folder), "1 day"))
+    messages = wire.encode_enriched(rows)
+    back = wire.decode_enriched(messages).valid
+    return back.select(
+        "original.id", "original.source",
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("enrichment_metadata.correlatedCount").alias("correlated_count"),
+        F.col("enrichment_metadata.uniqueServices").alias("unique_services"),
+    )
+
+
+@_query
+def wire_anomaly_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Anomaly messages, decoded again."""
+    messages = wire.encode_anomalies(_rule_anomalies(spark, folder))
+    back = wire.decode_anomalies(messages).valid
+    return back.select(
+        "id", "service", "metric", _round("score"), "severity",
+        F.col("detected_at").cast("timestamp_ntz").alias("detected_at"), "correlation_id",
+    )
+
+
+@_query
+def wire_insight_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Insight messages, decoded again."""
+    messages = wire.encode_insights(insights.annotate(_rule_anomalies(spark, folder)))
+    back = wire.decode_insights(messages).valid
+    return back.select("id", "anomaly_id", "severity", _round("score"), "incident_classification")
+
+
+@_query
+def wire_message_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The key of every event, anomaly and insight message beside the id it carries."""
+    found = _rule_anomalies(spark, folder)
+    kinds = {
+        "event": wire.encode_events(telemetry(spark, folder)),
+        "anomaly": wire.encode_anomalies(found),
+        "insight": wire.encode_insights(insights.annotate(found)),
+    }
+    keyed = [
+        messages.select(F.lit(kind).alias("kind"), "key", F.get_json_object("value", "$.id").alias("id"))
+        for kind, messages in kinds.items()
+    ]
+    return keyed[0].unionByName(keyed[1]).unionByName(keyed[2])
+
+
+@_query
+def wire_notices(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys and contents of the short alert notices."""
+    messages = wire.encode_notices(alerts.broadcast_notices(alert_table(spark, folder)))
+    fields = F.from_json("value", "id STRING, severity STRING, source STRING, detectedAt STRING")
+    return messages.select("key", fields.alias("f")).select(
+        "key", "f.id", "f.severity", "f.source", F.col("f.detectedAt").alias("detected_at")
+    )
+
+
 @_query
 def wire_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Messages cut in half, emptied or left whole; counted by what decoding makes of them."""
@@ -506,6 +630,21 @@ def insight_fallback(spark: SparkSession, folder: str) -> DataFrame:
     return _insight_view(insights.annotate(_rule_anomalies(spark, folder), _varied_replies))
 
 
+def _moody_model(prompts: pd.Series) -> pd.Series:
+    """Fails for any batch that asks about a critical anomaly."""
+    if prompts.str.contains("CRITICAL").any():
+        raise RuntimeError("no answer")
+    reply = {"interpretation": "fine", "classification": "Other", "probableCauses": [], "recommendations": []}
+    return prompts.map(lambda _: json.dumps(reply))
+
+
+@_query
+def insight_scorer_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """A scorer that fails for critical anomalies leaves the insights of all others alone."""
+    made = insights.annotate(_rule_anomalies(spark, folder), insights.batch_scorer(_moody_model))
+    return made.select("anomaly_id", "interpretation", "incident_classification")
+
+
 # Alerts ----------------------------------------------------------------------
 
 
@@ -533,6 +672,17 @@ def alerts_from_insights(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def alerts_from_all_detectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Anomalies of all three detectors through insights to alerts."""
+    events = telemetry(spark, folder)
+    found = detect.union_anomalies(
+        detect.detect_raw(events, "1 day"), detect.detect_enriched(events, "1 day"), rules.detect_rules(events)
+    )
+    made = alerts.create_alerts(insights.annotate(found))
+    return made.select("id", "severity", "status", "source", "anomaly_id", "detected_at")
+
+
 @_query
 def alert_notifications(spark: SparkSession, folder: str) -> DataFrame:
     sent = alerts.notifications(alert_table(spark, folder))
@@ -707,7 +857,7 @@ def stream_enriched_zscore(spark: SparkSession, folder: str) -> DataFrame:
 def stream_correlate(spark: SparkSession, folder: str) -> DataFrame:
     events = telemetry_of(events_stream(spark, folder))
     rows = streams.run_to_table(streams.correlate_stream(events, "1 day"), "correlate")
-    return _correlate_view(streams.with_member_ids(rows))
+    return _correlate_view(rows)
 
 
 @_query

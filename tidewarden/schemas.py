@@ -30,8 +30,6 @@ TELEMETRY_EVENT = _struct(
 
 ENRICHED_EVENT = _struct(
     ("original", TELEMETRY_EVENT),
-    ("correlated_event_ids", T.ArrayType(_S)),
-    ("services_in_chain", T.ArrayType(_S)),
     ("window_start", _TS),
     ("window_end", _TS),
     (

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.skew import bounded_lists
 from ..schemas import EVENT_REQUEST
 
 
@@ -24,12 +23,11 @@ def explode_requests(
     return bodies.select(*others, F.explode(items).alias("item")).select(*others, "item.*")
 
 
-def batch_receipts(
-    events: DataFrame, batch: str = "batch_id", inline_limit: int = 1000
-) -> DataFrame:
-    """Per batch the number of events and, up to ``inline_limit``, their sorted ids.
+def batch_receipts(events: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """Per batch the number of events; their ids are the rows of :func:`receipt_ids`."""
+    return events.groupBy(batch).agg(F.count(F.lit(1)).alias("count"))
+
 
-    The ids of larger batches are null here; they are the rows of ``events``.
-    """
-    lists = bounded_lists(events, [batch], "id", "ids", inline_limit)
-    return lists.select(batch, F.col("n").alias("count"), "ids")
+def receipt_ids(events: DataFrame, batch: str = "batch_id") -> DataFrame:
+    """The ids of every batch as rows, with the number of events that carry each."""
+    return events.where(F.col("id").isNotNull()).groupBy(batch, "id").agg(F.count(F.lit(1)).alias("copies"))

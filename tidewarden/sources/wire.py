@@ -25,8 +25,7 @@ EVENT_NAMES = {
     "timestamp": "ts", "correlationId": "correlation_id", "tags": "tags",
 }
 ENRICHED_NAMES = {
-    "original": "original", "correlatedEventIds": "correlated_event_ids",
-    "servicesInChain": "services_in_chain", "windowStart": "window_start",
+    "original": "original", "windowStart": "window_start",
     "windowEnd": "window_end", "enrichmentMetadata": "enrichment_metadata",
 }
 ANOMALY_NAMES = {
@@ -138,6 +137,15 @@ def encode_enriched(enriched: DataFrame) -> DataFrame:
     return encode(enriched, ENRICHED_NAMES, F.col("original.correlation_id"))
 
 
+def encode_members(chunks: DataFrame) -> DataFrame:
+    """Records of ``correlate.member_chunks``, keyed by correlation id like their events."""
+    names = {
+        "correlationId": "correlation_id", "windowStart": "window_start",
+        "windowEnd": "window_end", "chunk": "chunk", "members": "members",
+    }
+    return encode(chunks, names, F.col("correlation_id"))
+
+
 def encode_anomalies(anomalies: DataFrame) -> DataFrame:
     """Keyed by service and metric."""
     return encode(anomalies, ANOMALY_NAMES, F.concat_ws(":", "service", "metric"))

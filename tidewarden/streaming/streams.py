@@ -11,8 +11,7 @@ window length plus delay.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +19,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..functions.buckets import window_of
-from ..functions.skew import slice_of, small_group_rows
+from ..functions.skew import slice_of
 from ..operators import detect
 from ..operators.alerts import ALERT_COLUMNS, apply_status_updates, create_alerts
-from ..operators.correlate import KEYS, correlated
+from ..operators.correlate import correlated
 from ..schemas import ALERT
 from ..session import fresh_folder
 from ..sources import store
@@ -81,14 +80,15 @@ def raw_zscore_stream(
         )
         .where(detect.can_fire(threshold, detect.MIN_SAMPLES, detect.MIN_STDDEV))
     )
-    numeric = samples.where(F.col("value").isNotNull())
+    # A stream keeps one event-time column through a join; here that is the window.
+    numeric = samples.where(F.col("value").isNotNull()).withColumn("ts", F.col("ts").alias("ts", metadata={}))
     scored = _join_back(numeric, stats, keys, ["event_id"], slices)
     hits = detect.hits_of(_with_bounds(scored), detector, threshold, critical)
     return hits.select(*detect.ANOMALY_COLUMNS)
 
 
 def enriched_zscore_stream(events: DataFrame, **options) -> DataFrame:
-    """Streaming form of ``detect.detect_enriched`` without the context lists.
+    """Streaming form of ``detect.detect_enriched`` without the context counts.
 
     ``correlate.attach_context`` adds those per micro-batch from stored events.
     """
@@ -101,41 +101,24 @@ def correlate_stream(
     delay: str = DEFAULT_DELAY,
     slices: int = DEFAULT_SLICES,
 ) -> DataFrame:
-    """Correlated events with window, group size and services (append mode).
+    """Correlated events with window, group size and number of services (append mode).
 
-    All rows of a group leave in the same micro-batch, so :func:`with_member_ids`
-    can add the id lists inside ``foreachBatch``.
+    Sources are counted first per group and source, so no state holds a list.
     """
     rows = correlated(events.withWatermark("ts", delay)).withColumn(
         "window", window_of("ts", bucket)
     )
     keys = ["window", "correlation_id"]
-    sizes = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("correlated_count"),
-        F.array_sort(F.collect_set("source")).alias("services_in_chain"),
+    sizes = (
+        rows.groupBy(*keys, "source")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*keys)
+        .agg(F.sum("n").alias("correlated_count"), F.count("source").cast("int").alias("unique_services"))
     )
     # A stream keeps one event-time column through a join; here that is the window.
     plain = rows.withColumn("ts", F.col("ts").alias("ts", metadata={}))
     joined = _join_back(plain, sizes, keys, ["id"], slices)
-    return _with_bounds(joined).withColumn("unique_services", F.size("services_in_chain")).drop("window")
-
-
-def with_member_ids(batch: DataFrame, inline_limit: int = 1000) -> DataFrame:
-    """Add the ordered member ids to complete groups; null above ``inline_limit`` members."""
-    # The group size travels with every row, so a group list needs no second count.
-    sizes = batch.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    lists = (
-        small_group_rows(batch, sizes, KEYS, "n", inline_limit)
-        .groupBy(*KEYS)
-        .agg(F.array_sort(F.collect_list(F.struct("ts", "id"))).alias("members"))
-        .select(
-            *KEYS,
-            F.filter(
-                F.transform("members", lambda m: m["id"]), lambda i: i.isNotNull()
-            ).alias("correlated_event_ids"),
-        )
-    )
-    return batch.join(lists, KEYS, "left")
+    return _with_bounds(joined).drop("window")
 
 
 def append_writer(
@@ -252,27 +235,15 @@ def status_stream(
     return batch_writer(updates, handle, checkpoint, available_now, every).start()
 
 
-@contextmanager
-def state_partitions(spark: SparkSession) -> Iterator[None]:
-    """Start a stateful query with no more state partitions than the cluster has cores.
+def run_to_table(frame: DataFrame, label: str) -> DataFrame:
+    """Run an append-mode stream over what is available and return the written rows.
 
-    The number is fixed in the checkpoint at the first start of a query.
+    The query has as many state partitions as the session has shuffle partitions at its
+    first start; the number stays in the checkpoint.
     """
-    name = "spark.sql.shuffle.partitions"
-    configured = spark.conf.get(name)
-    spark.conf.set(name, str(min(int(configured), spark.sparkContext.defaultParallelism)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, configured)
-
-
-def run_to_table(frame: DataFrame, label: str) -> DataFrame:
-    """Run an append-mode stream over what is available and return the written rows."""
     spark = frame.sparkSession
     folder = fresh_folder(spark, label)
     writer = append_writer(frame, f"{folder}/rows", f"{folder}/checkpoint", available_now=True)
-    with state_partitions(spark):
-        query = writer.start()
-        query.awaitTermination()
+    query = writer.start()
+    query.awaitTermination()
     return spark.read.schema(frame.schema).parquet(f"{folder}/rows")
