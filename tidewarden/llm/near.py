@@ -11,7 +11,7 @@ meets two members only, those with the smallest and the largest hash for that
 band. Each band draws its own two, so a pair that shares several bands meets
 directly or through common partners. Groups that still hold several components
 after that are cut finer by a second band and every class meets the two members of
-each finer group; this is repeated with other draws until no new link turns up.
+each finer group, drawn anew.
 The work grows with the number of classes, never with the square of a group.
 
 A candidate pair must pass the Jaccard estimate from the registers, corrected for
@@ -43,7 +43,7 @@ BANDS, BAND_REGISTERS = 40, 4
 REGISTERS = BANDS * BAND_REGISTERS
 MANTISSA_BITS = 10
 SLACK = 4.5
-SECOND_ROUNDS = 2
+SECOND_ROUNDS = 1
 RUNS = 64
 DIGEST_SALTS = (np.uint64(0x5BD1E995D1B54A32), np.uint64(0xC2B2AE3D27D4EB4F))
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -245,9 +245,9 @@ class _Linker:
         self.links: DataFrame | None = None
         self.groups = self.ids.withColumn("component", F.col("class_id"))
 
-    def try_pairs(self, pairs: DataFrame) -> bool:
-        """Confirm pairs in different components: first the best one of each class, then
-        those that are still in different components. True if any was confirmed."""
+    def try_pairs(self, pairs: DataFrame, best_first: bool = True) -> bool:
+        """Confirm pairs in different components; with many pairs the best one of each class
+        first, then those still in different components. True if any was confirmed."""
         rest = settled(_estimated(pairs if self.links is None else self.apart(pairs), self.classes), "near-pairs")
         found = False
         ends = rest.select(F.col("a").alias("class_id")).union(rest.select("b")).distinct()
@@ -257,7 +257,7 @@ class _Linker:
         both = rest.select("a", "b", "score").union(rest.select("b", "a", "score"))
         best = both.groupBy("a").agg(F.max_by("b", F.struct("score", F.hash("a", "b"), "b")).alias("b"))
         first = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        for chosen in (first, rest.select("a", "b")):
+        for chosen in (first, rest.select("a", "b")) if best_first else (rest.select("a", "b"),):
             new = settled(_confirmed(self.apart(chosen), sets), "near-links")
             if new.isEmpty():
                 continue
@@ -314,7 +314,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     linker.try_pairs(_star_pairs(members, ["key"], 0))
     for salt in range(1, SECOND_ROUNDS + 1):
         finer = settled(_finer(members, linker.groups), "near-finer")
-        if not linker.try_pairs(_star_pairs(finer, ["key", "key_2"], salt)):
+        if not linker.try_pairs(_star_pairs(finer, ["key", "key_2"], salt), best_first=False):
             break
     named = classes.select("digest", "n_shingles", "class_id").join(linker.groups, "class_id").drop("class_id")
     spread = usable.select("digest", "n_shingles", "run").distinct().join(named, ["digest", "n_shingles"])

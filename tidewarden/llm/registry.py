@@ -69,7 +69,30 @@ QUERIES = {
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_LINES = r"""
+        WITH lines AS (
+          SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+          FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+        keyed AS (
+          SELECT *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words,
+                 sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY place) - length(line) - 1 AS start
+          FROM lines),
+        ranked AS (
+          SELECT *, len(words) >= 5 AS counts,
+                 len(words) >= 5 AND row_number() OVER (
+                   PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, place) > 1 AS gone
+          FROM keyed)
+        SELECT doc_id, count(*) FILTER (counts) AS n_units, count(*) FILTER (gone) AS n_removed,
+               CAST(coalesce(sum(length(line)) FILTER (gone), 0) AS BIGINT) AS removed_chars,
+               coalesce(string_agg(start || ':' || (start + length(line)), ',' ORDER BY place)
+                 FILTER (gone), '') AS spans,
+               coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text
+        FROM ranked GROUP BY doc_id
+    """
+
 ORACLE_SQL = {
+    "op5_repeated_lines": _LINES,
     "op8_exact_dedup": f"""
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
