@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lowered, packed
+from .common import lowered, packed, settled
 
 RUN_BITS = 8
 FAN_BITS = 4
@@ -54,9 +54,8 @@ def _merged(rows: DataFrame, run_bits: int, fan_bits: int, keep: str) -> DataFra
 
 
 def _marked(rows: DataFrame, run_bits: int, fan_bits: int, keep: str) -> DataFrame:
-    rows = _with_digest(rows, run_bits)
     bare = rows.select(*KEY, "run", "doc_id")
-    marked = rows.drop("text").join(_merged(bare, run_bits, fan_bits, keep), [*KEY, "run"])
+    marked = rows.join(_merged(bare, run_bits, fan_bits, keep), [*KEY, "run"])
     same = Window.partitionBy(*KEY, "run", "doc_id").orderBy(F.lit(1))
     return marked.withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.row_number().over(same) == 1)
@@ -83,7 +82,8 @@ def exact_copies(
         F.col(id_column).cast("long").alias("doc_id"),
         F.col(text_column).cast("string").alias("text"),
     )
-    return _marked(rows, run_bits, fan_bits, keep).select(
+    digests = settled(_with_digest(rows, run_bits).drop("text"), "exact-digests")  # texts are read once
+    return _marked(digests, run_bits, fan_bits, keep).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
 
@@ -97,5 +97,5 @@ def drop_exact_copies(
     fan_bits: int = FAN_BITS,
 ) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_copies` keeps, with their own columns."""
-    rows = packed(docs, id_column, text_column)
+    rows = _with_digest(packed(docs, id_column, text_column), run_bits).drop("text")
     return _marked(rows, run_bits, fan_bits, keep).where("kept").select("row.*")
