@@ -11,7 +11,7 @@ meets two members only, those with the smallest and the largest hash for that
 band. Each band draws its own two, so a pair that shares several bands meets
 directly or through common partners. Groups that still hold several components
 after that are cut finer by a second band and every class meets the two members of
-each finer group, drawn anew.
+each finer group, drawn anew, where one member of each component stands for it.
 The work grows with the number of classes, never with the square of a group.
 
 A candidate pair must pass the Jaccard estimate from the registers, corrected for
@@ -272,10 +272,11 @@ class _Linker:
         return pairs.join(left, "a").join(right, "b").where("ca <> cb").select("a", "b")
 
 
-def _finer(members: DataFrame, groups: DataFrame) -> DataFrame:
+def _finer(members: DataFrame, groups: DataFrame, salt: int) -> DataFrame:
     """Members of the band groups that hold several components, by pairs of such bands.
 
-    Two classes that should be linked and are not share such groups only.
+    Two classes that should be linked and are not share such groups only. Of each
+    component one member, drawn by hash, stands in a finer group.
     """
     split = (
         members.join(groups, "class_id")
@@ -288,7 +289,10 @@ def _finer(members: DataFrame, groups: DataFrame) -> DataFrame:
     keys = members.join(split, "key").groupBy("class_id").agg(F.array_sort(F.collect_list("key")).alias("keys"))
     first = keys.select("class_id", "keys", F.posexplode("keys").alias("at", "key"))
     later = F.slice("keys", F.col("at") + 2, F.greatest(F.size("keys") - F.col("at") - 1, F.lit(0)))
-    return first.select("class_id", "key", F.explode(later).alias("key_2"))
+    finer = first.select("class_id", "key", F.explode(later).alias("key_2")).join(groups, "class_id")
+    drawn = F.struct(F.xxhash64(F.lit(salt), "key", "key_2", "class_id").alias("h"), F.col("class_id").alias("id"))
+    chosen = finer.groupBy("key", "key_2", "component").agg(F.min(drawn)["id"].alias("class_id"))
+    return chosen.select("class_id", "key", "key_2")
 
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -313,7 +317,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     members = classes.select("class_id", F.explode("keys").alias("key"))
     linker.try_pairs(_star_pairs(members, ["key"], 0))
     for salt in range(1, SECOND_ROUNDS + 1):
-        finer = settled(_finer(members, linker.groups), "near-finer")
+        finer = settled(_finer(members, linker.groups, salt), "near-finer")
         if not linker.try_pairs(_star_pairs(finer, ["key", "key_2"], salt), best_first=False):
             break
     named = classes.select("digest", "n_shingles", "class_id").join(linker.groups, "class_id").drop("class_id")
