@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import T0
+from tidewarden.operators.search import match_events
 from tidewarden.operators.correlate import correlate
 from tidewarden.operators.detect import detect_enriched, detect_raw
 from tidewarden.operators.insights import annotate
@@ -48,8 +49,37 @@ def test_last_write_wins(spark, make_events, tmp_path):
     )
     current = store.current_events(store.read_events(spark, root)).collect()
     assert {(r.id, r.subtype) for r in current} == {("a", "new"), ("b", "rpm")}
-    points = store.read_points(spark, root)
-    assert points.count() == 3 and store.current_points(points).count() == 2
+    assert store.read_events(spark, root).count() == 2
+    assert store.read_events(spark, root, every_copy=True).count() == 3
+    assert store.read_points(spark, root, every_copy=True).count() == 3
+    assert store.read_points(spark, root).count() == 2
+
+
+def test_ranges_bound_the_days_read(spark, make_events, tmp_path):
+    root = str(tmp_path / "store")
+    store.write_batch(make_events({"id": "a"}, {"id": "b", "at": 86_400}), root, 0, F.lit(T0))
+    stored = store.read_events(spark, root, every_copy=True)
+    found = match_events(stored, start=F.lit(T0 + dt.timedelta(hours=20)))
+    assert [r.id for r in found.collect()] == ["b"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_a_batch_reads_only_its_alert_buckets(spark, tmp_path):
+    root = str(tmp_path / "alerts")
+    made = spark.range(200).select(
+        F.concat(F.lit("a"), F.col("id")).alias("anomaly_id"), F.lit("x").alias("id"), F.lit("WARNING").alias("severity"),
+        F.lit("t").alias("incident_classification"), F.lit("i").alias("interpretation"),
+        F.array(F.lit("r")).alias("recommendations"), F.lit(T0).alias("analyzed_at"),
+        F.create_map(F.lit("service"), F.lit("s")).alias("metadata"),
+    )
+    streams.write_alert_batch(made, 0, root)
+    assert streams.stored_alerts(spark, root).count() == 200
+    part = streams.stored_alerts(spark, root, 1, [3])
+    assert 0 < part.count() < 20
+    assert "PartitionFilters: [isnotnull(bucket" in part._jdf.queryExecution().executedPlan().toString()
+    streams.write_alert_batch(made.where("anomaly_id < 'a2'"), 1, root)
+    assert streams.stored_alerts(spark, root).count() == 200
 
 
 def _feed(spark, frame, folder):

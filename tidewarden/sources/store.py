@@ -41,15 +41,20 @@ def stored_batch(events: DataFrame, received_at: Column) -> StoredBatch:
     return StoredBatch(judged.valid.withColumn("received_at", received_at), made.points, rejected)
 
 
-def append(rows: DataFrame, path: str, time: str, order: list[str], batch: int) -> None:
-    """Write one batch. The rebalance hint lets AQE size files and split a hot day."""
+def append(rows: DataFrame, path: str, time: str | None, order: list[str], batch: int) -> None:
+    """Write one batch. The rebalance hint lets AQE size files and split a hot day.
+
+    Without a ``time`` the table is partitioned by batch alone.
+    """
+    rows = rows.withColumn("batch", F.lit(batch).cast("bigint"))
+    days = ["event_date"] if time else []
+    if time:
+        rows = rows.withColumn("event_date", F.to_date(time)).hint("rebalance", "event_date")
     (
-        rows.withColumns({"event_date": F.to_date(time), "batch": F.lit(batch).cast("bigint")})
-        .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", *order)
+        rows.sortWithinPartitions(*days, *order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch")
+        .partitionBy(*days, "batch")
         .parquet(path)
     )
 
@@ -62,9 +67,8 @@ def write_batch(events: DataFrame, root: str, batch: int, received_at: Column |
         made = stored_batch(kept, received)
         append(made.events, f"{root}/events", "ts", ["source", "type", "ts"], batch)
         append(made.points, f"{root}/points", "time", ["service", "metric_name", "time"], batch)
-        append(
-            made.rejected.withColumn("seen", received), f"{root}/rejected", "seen", ["id"], batch
-        )
+        # by batch only: a retry on another day must find the folder of the first attempt
+        append(made.rejected.withColumn("seen", received), f"{root}/rejected", None, ["id"], batch)
     finally:
         kept.unpersist()
 
@@ -79,17 +83,23 @@ def _day_range(rows: DataFrame, start: Column | None, end: Column | None) -> Dat
 
 
 def read_events(
-    spark: SparkSession, root: str, start: Column | None = None, end: Column | None = None
+    spark: SparkSession, root: str, start: Column | None = None, end: Column | None = None,
+    every_copy: bool = False,
 ) -> DataFrame:
+    """Stored events of the days in a range, the latest row per id; ``every_copy`` skips that."""
     schema = T.StructType([*EVENT_ROWS.fields, *_PARTITIONS])
-    return _day_range(spark.read.schema(schema).parquet(f"{root}/events"), start, end)
+    rows = _day_range(spark.read.schema(schema).parquet(f"{root}/events"), start, end)
+    return rows if every_copy else current_events(rows)
 
 
 def read_points(
-    spark: SparkSession, root: str, start: Column | None = None, end: Column | None = None
+    spark: SparkSession, root: str, start: Column | None = None, end: Column | None = None,
+    every_copy: bool = False,
 ) -> DataFrame:
+    """Stored points of the days in a range, the latest row per time and id."""
     schema = T.StructType([*METRIC_POINT.fields, *_PARTITIONS])
-    return _day_range(spark.read.schema(schema).parquet(f"{root}/points"), start, end)
+    rows = _day_range(spark.read.schema(schema).parquet(f"{root}/points"), start, end)
+    return rows if every_copy else current_points(rows)
 
 
 def latest_by_key(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:

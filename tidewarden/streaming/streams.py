@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -21,7 +21,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..functions.buckets import window_of
 from ..functions.skew import slice_of
 from ..operators import detect
-from ..operators.alerts import ALERT_COLUMNS, apply_status_updates, create_alerts
+from ..operators.alerts import ALERT_COLUMNS, alert_candidates, apply_status_updates, create_alerts
 from ..operators.correlate import correlated
 from ..schemas import ALERT
 from ..session import fresh_folder
@@ -30,6 +30,7 @@ from ..sources import store
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DEFAULT_DELAY = "1 minute"
 DEFAULT_SLICES = 8
+ALERT_BUCKETS = 64
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -160,9 +161,25 @@ def store_stream(
     return batch_writer(events, handle, checkpoint, available_now, every).start()
 
 
-def stored_alerts(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Alerts written by earlier batches. An empty store gives an empty frame."""
-    schema = T.StructType([*ALERT.fields, T.StructField("batch", T.LongType())])
+def _bucket_of(alert_id: str) -> Column:
+    return F.pmod(F.crc32(F.col(alert_id).cast("binary")), F.lit(ALERT_BUCKETS)).cast("int")
+
+
+def _buckets_of(rows: DataFrame, alert_id: str) -> list[int]:
+    """The alert buckets that a batch touches, at most ``ALERT_BUCKETS``."""
+    found = rows.where(F.col(alert_id).isNotNull()).select(_bucket_of(alert_id).alias("b")).distinct()
+    return [r.b for r in found.collect()]
+
+
+def stored_alerts(
+    spark: SparkSession, root: str, before: int | None = None, buckets: list[int] | None = None
+) -> DataFrame:
+    """Alerts written by earlier batches, of some buckets only if asked for.
+
+    An empty store gives an empty frame.
+    """
+    places = [T.StructField("bucket", T.IntegerType()), T.StructField("batch", T.LongType())]
+    schema = T.StructType([*ALERT.fields, *places])
     try:
         rows = spark.read.schema(schema).parquet(root)
         rows.schema  # resolves the path
@@ -170,16 +187,20 @@ def stored_alerts(spark: SparkSession, root: str, before: int | None = None) ->
         if "PATH_NOT_FOUND" not in str(error):
             raise
         rows = spark.createDataFrame([], schema)
+    if buckets is not None:
+        rows = rows.where(F.col("bucket").isin(buckets))
+    rows = rows.drop("bucket")
     return rows if before is None else rows.where(F.col("batch") < before)
 
 
 def _write_alerts(rows: DataFrame, number: int, root: str) -> None:
     (
         rows.select(*ALERT_COLUMNS)
-        .withColumn("batch", F.lit(number).cast("bigint"))
+        .withColumns({"bucket": _bucket_of("id"), "batch": F.lit(number).cast("bigint")})
+        .repartition("bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch")
+        .partitionBy("bucket", "batch")
         .parquet(root)
     )
 
@@ -190,7 +211,8 @@ def write_alert_batch(batch: DataFrame, number: int, root: str) -> None:
     A retried batch looks only at batches before its own, so its own partial
     output cannot hide its alerts, and it overwrites its own files.
     """
-    known = stored_alerts(batch.sparkSession, root, before=number)
+    touched = _buckets_of(alert_candidates(batch), "id")
+    known = stored_alerts(batch.sparkSession, root, number, touched)
     _write_alerts(create_alerts(batch, known), number, root)
 
 
@@ -207,17 +229,25 @@ def alert_stream(
 
 
 def current_alerts(
-    spark: SparkSession, root: str, changes: str, before: int | None = None
+    spark: SparkSession, root: str, changes: str, before: int | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Alerts in their latest state: as created, or as of the last batch that changed them."""
-    created = stored_alerts(spark, root).withColumn("batch", F.lit(-1).cast("bigint"))
-    changed = stored_alerts(spark, changes, before)
+    """Alerts in their latest state: as created, or as of the last batch that changed them.
+
+    With ``ids`` (a column ``id``) only those alerts, read from their buckets only.
+    """
+    buckets = None if ids is None else _buckets_of(ids, "id")
+    created = stored_alerts(spark, root, buckets=buckets).withColumn("batch", F.lit(-1).cast("bigint"))
+    changed = stored_alerts(spark, changes, before, buckets)
+    if ids is not None:
+        created, changed = (rows.join(ids, "id", "left_semi") for rows in (created, changed))
     return store.latest_by_key(created.unionByName(changed), ["id"], ["batch"]).drop("batch")
 
 
 def write_status_batch(updates: DataFrame, number: int, root: str, changes: str) -> None:
     """Append the new state of the alerts that one micro-batch of requests changes."""
-    current = current_alerts(updates.sparkSession, root, changes, before=number)
+    asked = updates.select(F.col("alert_id").alias("id")).distinct()
+    current = current_alerts(updates.sparkSession, root, changes, number, asked)
     result = apply_status_updates(current, updates)
     touched = result.accepted.select(F.col("alert_id").alias("id")).distinct()
     _write_alerts(result.alerts.join(touched, "id", "left_semi"), number, changes)
