@@ -267,12 +267,12 @@ def test_suffix_ranks_sort_suffixes(spark):
 
 def test_equal_strings_are_cut_alike():
     draw = np.random.default_rng(6)
-    core = draw.integers(97, 120, 400).astype(np.uint8)
+    core = draw.integers(97, 120, 1000).astype(np.uint8)
     texts = [np.concatenate((draw.integers(97, 120, n).astype(np.uint8), core, draw.integers(97, 120, 300).astype(np.uint8))) for n in (0, 37, 500)]
     cuts = []
     for n, text in zip((0, 37, 500), texts, strict=True):
         at, _ = substrings.cuts_of(text, np.array([0, len(text)]))
-        cuts.append({int(c) - n for c in at if n + substrings.WINDOW <= c <= n + 400 - substrings.WINDOW - substrings.GRAM})
+        cuts.append({int(c) - n for c in at if n + substrings.WINDOW <= c <= n + 1000 - substrings.WINDOW - substrings.GRAM})
     assert cuts[0] == cuts[1] == cuts[2] and cuts[0]
 
 
