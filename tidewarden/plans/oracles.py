@@ -266,6 +266,23 @@ def oracle_sql() -> dict[str, str]:
             SELECT id, service, metric, round(score + 1e-9, 6) AS score, severity, detected_at, correlation_id FROM ruled""",
         "wire_insight_roundtrip": f"""SELECT id, anomaly_id, severity, score,
               incident_classification FROM ({_insights(varied=False)})""",
+        "store_roundtrip": f"""WITH {_tel()}
+            SELECT id, source, type, subtype, ts, correlation_id FROM tel""",
+        "store_redelivery": f"""WITH {_tel()}
+            SELECT id, CASE WHEN k % 2 = 0 THEN subtype || '-again' ELSE subtype END AS subtype FROM tel""",
+        "store_points": f"""WITH {_tel()}
+            SELECT ts AS time, id || '-m' AS id, source AS service, subtype AS metric_name, value
+            FROM tel WHERE type = 'metric'""",
+        "anomaly_defaults": f"""WITH {_rules(ALERT_SERVICES)}
+            SELECT id, CASE WHEN ascii(id) % 2 = 0 THEN 'WARNING' ELSE severity END AS severity,
+                   CASE WHEN ascii(id) % 3 = 0 THEN TIMESTAMP '{STATS_AS_OF}' ELSE detected_at END AS detected_at
+            FROM ruled""",
+        "sensor_files": """
+            SELECT 'termo-sensor' AS source, 'temperature' AS subtype, date_trunc('second', ts) AS ts,
+                   event_id AS packet_id, value AS reading, CAST(user_id AS VARCHAR) AS sensor FROM events
+            UNION ALL
+            SELECT 'fuel-sensor', 'fuel-level', date_trunc('second', ts), event_id, value / 2,
+                   CAST(user_id AS VARCHAR) FROM events""",
         "wire_message_keys": f"""
             SELECT 'event' AS kind, source || ':' || type AS key, id FROM (WITH {_tel()} SELECT * FROM tel)
             UNION ALL
@@ -419,7 +436,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "wire_notices": _alert_query(
             """SELECT id AS key, id, severity, source,
-                      strftime(detected_at, '%Y-%m-%dT%H:%M:%SZ') AS detected_at FROM alerts"""
+                      strftime(detected_at, '%Y-%m-%dT%H:%M:%S') ||
+                      CASE WHEN us = 0 THEN '' WHEN us % 1000 = 0 THEN '.' || lpad(CAST(us // 1000 AS VARCHAR), 3, '0')
+                           ELSE '.' || lpad(CAST(us AS VARCHAR), 6, '0') END || 'Z' AS detected_at
+               FROM (SELECT *, microsecond(detected_at) % 1000000 AS us FROM alerts)"""
         ),
         "stream_alert_dedup": _alert_query(
             "SELECT id, title, severity, source, detected_at FROM alerts"

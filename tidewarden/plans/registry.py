@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import alert_stats, alerts, correlate, detect, insights, normalize, rollup, rules, search
-from ..sources import requests, store, wire
+from ..sources import requests, sensors, store, wire
 from ..session import fresh_folder
 from ..streaming import streams
 from .streams_over_tables import events_stream
@@ -354,9 +354,65 @@ def latest_event(spark: SparkSession, folder: str) -> DataFrame:
     return current.select("id", "subtype", "received_at")
 
 
+def _stored(spark: SparkSession, folder: str, again: bool) -> str:
+    """A store that holds the events of the table; ``again`` delivers all of them once more,
+    every second one changed."""
+    home = fresh_folder(spark, "store")
+    events = telemetry(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    store.write_batch(events, home, 0, F.lit("2024-02-01 00:00:00").cast("timestamp"))
+    if again:
+        changed = F.when(F.col("tags")["k"].cast("bigint") % 2 == 0, F.concat("subtype", F.lit("-again")))
+        later = events.withColumn("subtype", F.coalesce(changed, F.col("subtype")))
+        store.write_batch(later, home, 1, F.lit("2024-02-01 00:00:01").cast("timestamp"))
+    return home
+
+
+@_query
+def store_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    rows = store.read_events(spark, _stored(spark, folder, again=False))
+    ts = F.col("ts").cast("timestamp_ntz").alias("ts")
+    return rows.select("id", "source", "type", "subtype", ts, "correlation_id")
+
+
+@_query
+def store_redelivery(spark: SparkSession, folder: str) -> DataFrame:
+    return store.read_events(spark, _stored(spark, folder, again=True)).select("id", "subtype")
+
+
+@_query
+def store_points(spark: SparkSession, folder: str) -> DataFrame:
+    rows = store.read_points(spark, _stored(spark, folder, again=False))
+    return rows.select(F.col("time").cast("timestamp_ntz").alias("time"), "id", "service", "metric_name", "value")
+
+
 # Ingest ----------------------------------------------------------------------
 
 
+@_query
+def sensor_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The events written as two kinds of sensor files and read back."""
+    home = fresh_folder(spark, "sensors")
+    time = F.date_format(F.date_trunc("second", "ts"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("event_time")
+    rows = table(spark, folder, "events")
+    rows.select(
+        F.col("event_id").alias("packet_id"), time, F.lit(1).alias("tr_id"), F.lit(2).alias("unit_id"),
+        F.col("user_id").alias("sensor_id"), F.col("value").alias("val"), F.lit(1).alias("status"),
+    ).write.option("header", True).csv(f"{home}/termo")
+    rows.select(
+        F.col("event_id").alias("packet_id"), time, F.col("user_id").alias("sensor_id"), F.lit(1).alias("tr_id"),
+        F.col("value").alias("level_mm"), (F.col("value") / 2).alias("level_l"), F.lit(20.0).alias("temperature"),
+        F.lit(True).alias("switched_on"),
+    ).write.option("header", True).csv(f"{home}/fuel")
+    events = sensors.sensor_events(
+        sensors.read_sensor_csv(spark, f"{home}/termo", "termo"), sensors.read_sensor_csv(spark, f"{home}/fuel", "fuel")
+    )
+    fields = F.from_json("payload", "packet_id BIGINT, val DOUBLE, level_l DOUBLE")
+    return events.select(
+        "source", "subtype", F.col("ts").cast("timestamp_ntz").alias("ts"), fields["packet_id"].alias("packet_id"),
+        F.coalesce(fields["val"], fields["level_l"]).alias("reading"), F.col("tags")["sensor_id"].alias("sensor"),
+    )
+
+
 def _request_time() -> Column:
     return F.when(k_of_props().cast("bigint") % 10 != 0, F.col("ts"))
 
@@ -577,6 +633,19 @@ def _rule_anomalies(spark: SparkSession, folder: str, services: int = ALERT_SERV
     return rules.detect_rules(telemetry(spark, folder, services))
 
 
+@_query
+def anomaly_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """Severity and time taken from some anomalies and filled in again."""
+    found = _rule_anomalies(spark, folder).withColumns(
+        {
+            "severity": F.when(F.ascii("id") % 2 != 0, F.col("severity")),
+            "detected_at": F.when(F.ascii("id") % 3 != 0, F.col("detected_at")),
+        }
+    )
+    filled = normalize.with_anomaly_defaults(found, _at(STATS_AS_OF))
+    return filled.select("id", "severity", "detected_at")
+
+
 @_query
 def prompt_text(spark: SparkSession, folder: str) -> DataFrame:
     found = _rule_anomalies(spark, folder)
