@@ -91,22 +91,22 @@ class Vocabulary:
         return parts
 
     def _fit(self, left: str, right: str) -> bool:
-        """Whether the merges leave these neighbours as they are."""
+        """Whether the merges leave these neighbours, or a first piece alone, as they are."""
         known = self.neighbours.get((left, right))
         if known is None:
             if len(self.neighbours) >= REMEMBERED:
                 self.neighbours.clear()
-            known = self.merged(left + right) == [left, right]
+            known = self.merged(left + right) == ([left, right] if left else [right])
             self.neighbours[left, right] = known
         return known
 
     def _admissible(self, text: str, base: int, end: int, last: list[str]) -> int:
         """Where the last piece of the encoding of text[base:end] starts."""
+        scores, fit = self.scores, self._fit
         for start in range(max(base, end - self.longest), end - 1):
             piece = text[start:end]
-            if piece in self.scores:
-                left = last[start - base]
-                if (self._fit(left, piece) if left else self.merged(piece) == [piece]):
+            if piece in scores:
+                if fit(last[start - base], piece):
                     return start
         return end - 1
 
