@@ -7,7 +7,6 @@ import hashlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from tests.llm.corpus import FOLDER, HAVE_TABLES, LOWER, awkward, awkward_rows, empty, words
 from tidewarden.llm import exact, lines, near, registry, substrings
