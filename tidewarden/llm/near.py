@@ -8,8 +8,8 @@ whose registers are all empty gives no key.
 Candidates: documents with the same set of shingles are one class first, so copies
 never meet each other. In the group of classes that share a band key every class
 meets two members only, those with the smallest and the largest hash of their id;
-bands hold different classes, so a pair that shares several bands meets directly or
-through common partners. Groups that still hold several components
+groups hold different classes and draw one of ``DRAWS`` hashes, so a pair that shares
+several bands meets directly or through common partners. Groups that still hold several components
 after that are cut finer by a second band and every class meets the two members of
 each finer group, where one member of each component, drawn by group, stands for it;
 this is done once more with another draw if it linked anything.
@@ -45,6 +45,7 @@ REGISTERS = BANDS * BAND_REGISTERS
 MANTISSA_BITS = 10
 SLACK = 4.5
 SECOND_ROUNDS = 2
+DRAWS = 8
 RUNS = 64
 DIGEST_SALTS = (np.uint64(0x5BD1E995D1B54A32), np.uint64(0xC2B2AE3D27D4EB4F))
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -194,10 +195,11 @@ def sketched(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 def _star_pairs(members: DataFrame, key: list[str], salt: int) -> DataFrame:
     """Every member of a group beside the two members with the extreme hashes.
 
-    The hash is the same for every group, so classes that share many bands meet the
-    same few others in all of them and make few distinct pairs.
+    There are ``DRAWS`` hashes, and a group has one of them. Classes that share many
+    bands so meet the same few others in most of them and make few distinct pairs.
     """
-    drawn = F.struct(F.xxhash64(F.lit(salt), "class_id").alias("h"), F.col("class_id").alias("id"))
+    draw = F.pmod(F.xxhash64(*key), F.lit(DRAWS))
+    drawn = F.struct(F.xxhash64(F.lit(salt), draw, "class_id").alias("h"), F.col("class_id").alias("id"))
     hubs = (
         members.groupBy(*key)
         .agg(F.min(drawn)["id"].alias("low"), F.max(drawn)["id"].alias("high"))
