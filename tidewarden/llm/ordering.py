@@ -14,14 +14,17 @@ from .common import settled
 RUNS = 256
 
 
-def running_totals(rows: DataFrame, keys: list[str], totals: dict[str, str], label: str) -> DataFrame:
-    """``rows`` with the sums of integer columns (``totals``: column to name of its sum) over
+def running_totals(
+    rows: DataFrame, keys: list[str], totals: dict[str, str], keep: list[str], label: str
+) -> DataFrame:
+    """The columns ``keep`` of ``rows`` with the sums of integer columns (``totals``: column to name of its sum) over
     all rows up to and including this one in the order of ``keys``.
 
     Rows are sorted by range, summed inside each partition, and shifted by the sums of the
     partitions before. Only one row per partition is gathered.
     """
-    plain = rows.withColumns({name: F.lit(0).cast("long") for name in totals.values()})
+    used = dict.fromkeys([*keys, *totals, *keep])
+    plain = rows.select(*used).withColumns({name: F.lit(0).cast("long") for name in totals.values()})
     plain = plain.withColumn("_part", F.lit(0))
     names = plain.columns
 
@@ -35,10 +38,11 @@ def running_totals(rows: DataFrame, keys: list[str], totals: dict[str, str], lab
                 sums = np.cumsum(columns[names.index(step)].to_numpy(zero_copy_only=False)).astype(np.int64) + ends[step]
                 ends[step] = int(sums[-1])
                 columns[names.index(name)] = pa.array(sums)
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            yield pa.RecordBatch.from_arrays([columns[names.index(n)] for n in kept], names=kept)
 
+    kept = [*keep, *totals.values(), "_part"]
     ordered = plain.orderBy(*keys).withColumn("_part", F.spark_partition_id())
-    written = settled(ordered.mapInArrow(add_up, ordered.schema), label)
+    written = settled(ordered.mapInArrow(add_up, ordered.select(*kept).schema), label)
     parts = written.groupBy("_part").agg(*[F.max(n).alias(n) for n in totals.values()]).orderBy("_part").collect()
     before, shifts = [0] * len(totals), []
     for part in parts:

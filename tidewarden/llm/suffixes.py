@@ -65,9 +65,10 @@ def _named(rows: DataFrame) -> tuple[DataFrame, bool]:
     """``rows`` (with a triple) and the rank of the triple among the distinct ones; whether
     every triple occurs once."""
     counted = rows.groupBy(*TRIPLE).agg(F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1))
-    names = running_totals(counted, TRIPLE, {"one": "name"}, "suffix-names")
+    names = running_totals(counted, TRIPLE, {"one": "name"}, [*TRIPLE, "n"], "suffix-names")
     unique = names.where("n > 1").isEmpty()
-    return rows.join(names.select(*TRIPLE, "name"), TRIPLE), unique
+    named = rows.join(names.select(*TRIPLE, "name"), TRIPLE)
+    return named.select("sid", "j", "name", (F.col("s2") != 0).cast("int").alias("open")), unique
 
 
 def _next_strings(named: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def _next_strings(named: DataFrame) -> DataFrame:
             )
 
     grouped = named.groupBy("sid").agg(
-        F.collect_list(F.struct("j", "name", (F.col("s2") != 0).cast("int").alias("open"))).alias("found")
+        F.collect_list(F.struct("j", "name", "open")).alias("found")
     )
     return settled(grouped.mapInArrow(build, "sid long, symbols array<long>, at array<long>"), "suffix-strings")
 
@@ -123,13 +124,12 @@ def _merged(positions: DataFrame, ranks: DataFrame) -> DataFrame:
         "suffix-nexts",
     )
     is_rest = (F.col("residue") == 0).cast("int")
-    own = running_totals(sampled.withColumn("one", F.lit(1)), ["rank", "sid", "j"], {"one": "own"}, "suffix-own")
-    own = own.select("sid", "j", "own")
+    own = running_totals(sampled.withColumn("one", F.lit(1)), ["rank", "sid", "j"], {"one": "own"}, ["sid", "j"], "suffix-own")
 
     def counted(other: int, keys: list[str]) -> DataFrame:
         both = nexts.where(F.col("residue").isin(0, other)).withColumns({"rest": is_rest, "other": 1 - is_rest})
         sums = {"rest": f"rests_{other}", "other": f"others_{other}"}
-        return running_totals(both, [*keys, "sid", "j"], sums, "suffix-merge")
+        return running_totals(both, [*keys, "sid", "j"], sums, ["sid", "j", "rest"], "suffix-merge")
 
     with_1, with_2 = counted(1, ["s0", "r1"]), counted(2, ["s0", "s1", "r2"])
     rest = with_1.where("rest = 1").join(with_2.where("rest = 1").select("sid", "j", "others_2"), ["sid", "j"])
