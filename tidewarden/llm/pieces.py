@@ -24,6 +24,7 @@ gives back exactly the text.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,7 @@ class Vocabulary:
         letters = "".join(re.escape(c) for c in sorted(inner)) or "\\0"
         self.cut = re.compile(f" *[{letters}]+| +|[^ {letters}]", re.DOTALL)
         self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.neighbours: dict[tuple[str, str], bool] = {}
 
     def __getstate__(self):
@@ -157,24 +159,30 @@ class Vocabulary:
         return out[::-1]
 
     def _segment(self, segment: str) -> bytes:
-        known = self.remembered.get(segment)
+        """Ids of the text between two certain boundaries. Two tables remember them; when one is
+        full it becomes the older one, so that what is in use survives."""
+        known = self.remembered.get(segment) or self.older.get(segment)
         if known is None:
             if segment == SPACE:
                 numbers = [self.byte_ids[b] for b in SPACE.encode()]
             else:
                 numbers = list(self.stream(segment.replace(" ", SPACE)))
-            known = np.array(numbers, np.int32).tobytes()
-            if len(segment) <= 64:
-                if len(self.remembered) >= REMEMBERED:
-                    self.remembered.clear()
-                self.remembered[segment] = known
+            known = array("i", numbers).tobytes()
+        if len(segment) <= 64:
+            if len(self.remembered) >= REMEMBERED:
+                self.older, self.remembered = self.remembered, {}
+            self.remembered[segment] = known
         return known
 
     def encode(self, text: str | None) -> bytes:
         """Ids as packed 32-bit integers; null and empty texts have none."""
         if not text:
             return b""
-        return b"".join(map(self._segment, self.cut.findall(" " + text)))
+        segments = self.cut.findall(" " + text)
+        found = list(map(self.remembered.get, segments))
+        if None in found:
+            found = [f or self._segment(s) for f, s in zip(found, segments, strict=True)]
+        return b"".join(found)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids that :meth:`encode` made."""
