@@ -135,6 +135,33 @@ def test_near_groups_of_awkward_rows(spark):
     assert near.near_groups(empty(spark)).count() == 0 == near.drop_near_copies(empty(spark)).count()
 
 
+def family(n=2000, length=604, changes=11):
+    """One template with changed words: most pairs lie just below the limit, few above it."""
+    draw = np.random.default_rng(11)
+    changed = np.zeros((n, length), bool)
+    rows = []
+    for i in range(n):
+        changed[i, draw.choice(length, changes, replace=False)] = True
+        rows.append((i, " ".join(f"c{i}x{k}" if c else f"b{k}" for k, c in enumerate(changed[i]))))
+    whole = ~np.lib.stride_tricks.sliding_window_view(changed, 5, axis=1).any(axis=2)
+    both = (whole.astype(np.float32) @ whole.T.astype(np.float32)).astype(np.int64)
+    left, right = np.nonzero(np.triu(100 * both >= 75 * (2 * (length - 4) - both), 1))
+    label = np.arange(n)
+    while True:
+        least = label.copy()
+        np.minimum.at(least, left, label[right])
+        np.minimum.at(least, right, label[left])
+        if (least == label).all():
+            return rows, label.tolist()
+        label = least
+
+
+def test_a_family_near_the_limit_is_linked_whole(spark):
+    rows, expected = family()
+    found = near.near_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(expected))
+
+
 def test_estimates_are_close_and_corrected():
     draw = np.random.default_rng(1)
     pool = draw.integers(1, 1 << 63, 4000).astype(np.uint64)

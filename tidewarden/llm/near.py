@@ -9,11 +9,13 @@ Candidates: documents with the same set of shingles are one class first, so copi
 never meet each other. In the group of classes that share a band key every class
 meets two members only, those with the smallest and the largest hash of their id;
 groups hold different classes and draw one of ``DRAWS`` hashes, so a pair that shares
-several bands meets directly or through common partners. Groups that still hold several components
-after that are cut finer by a second band and every class meets the two members of
-each finer group, where one member of each component, drawn by group, stands for it;
-this is done once more with another draw if it linked anything.
-The work grows with the number of classes, never with the square of a group.
+several bands meets directly or through common partners.
+
+Rest: this may miss links between classes that are no hubs. In every band group that
+still holds several components, all pairs across components are compared: the classes
+outside the group's largest component with all others, in tiles of bounded size, every pair in
+the first band that it shares. This step grows with the product of both sides; it
+ends with no pair that shares a band left open.
 
 A candidate pair must pass the Jaccard estimate from the registers, corrected for
 the chance that unlike sets have equal compressed registers and lowered by
@@ -44,8 +46,10 @@ BANDS, BAND_REGISTERS = 40, 4
 REGISTERS = BANDS * BAND_REGISTERS
 MANTISSA_BITS = 10
 SLACK = 4.5
-SECOND_ROUNDS = 2
 DRAWS = 8
+TILE = 1024
+TILE_SHINGLES = 1 << 20
+CROWD = 32
 RUNS = 64
 DIGEST_SALTS = (np.uint64(0x5BD1E995D1B54A32), np.uint64(0xC2B2AE3D27D4EB4F))
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -252,11 +256,10 @@ class _Linker:
         self.links: DataFrame | None = None
         self.groups = self.ids.withColumn("component", F.col("class_id"))
 
-    def try_pairs(self, pairs: DataFrame, best_first: bool = True) -> bool:
-        """Confirm pairs in different components; with many pairs the best one of each class
-        first, then those still in different components. True if any was confirmed."""
+    def try_pairs(self, pairs: DataFrame) -> None:
+        """Confirm pairs in different components; the best one of each class first, then
+        those still in different components."""
         rest = settled(_estimated(pairs if self.links is None else self.apart(pairs), self.classes), "near-pairs")
-        found = False
         ends = rest.select(F.col("a").alias("class_id")).union(rest.select("b")).distinct()
         # no text is shuffled; what the bitmap lets through in vain finds no pair below
         texts = possible(self.docs, "class_id", bitmap_of(ends, F.col("class_id")))
@@ -264,14 +267,37 @@ class _Linker:
         both = rest.select("a", "b", "score").union(rest.select("b", "a", "score"))
         best = both.groupBy("a").agg(F.max_by("b", F.struct("score", F.hash("a", "b"), "b")).alias("b"))
         first = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        for chosen in (first, rest.select("a", "b")) if best_first else (rest.select("a", "b"),):
+        for chosen in (first, rest.select("a", "b")):
             new = settled(_confirmed(self.apart(chosen), sets), "near-links")
             if new.isEmpty():
                 continue
-            found = True
             self.links = new if self.links is None else self.links.union(new)
             self.groups = settled(_labelled(self.ids, self.links, "class_id"), "near-groups")
-        return found
+
+    def try_rest(self, members: DataFrame) -> None:
+        """Confirm all pairs in different components that share a band."""
+        tile = ["key", "i", "j"]
+        met = _tiles(members, self.groups, self.classes).groupBy(*tile).applyInArrow(_tile_pairs, _TILE_PAIRS)
+        rest = settled(met, "near-rest")
+        if rest.isEmpty():
+            return
+        ends = rest.select(*tile, "crowd", F.explode(F.array("a", "b")).alias("class_id")).distinct()
+        known = ends.select("class_id").distinct()
+        texts = possible(self.docs, "class_id", bitmap_of(known, F.col("class_id")))
+        sets = settled(texts.mapInArrow(_sets, "class_id long, set array<long>"), "near-rest-sets")
+        # the few pairs of a thin tile bring their own sets, a crowd shares those of its tile
+        thin = _confirmed(rest.where(F.col("crowd") < CROWD).select("a", "b"), sets)
+        shared = ends.where(F.col("crowd") >= CROWD).join(sets, "class_id").select(
+            *[F.col(c).alias(f"set_{c}") for c in tile], "class_id", "set"
+        )
+        crowded = (
+            rest.where(F.col("crowd") >= CROWD).select(*tile, "a", "b").groupBy(*tile)
+            .cogroup(shared.groupBy(*[f"set_{c}" for c in tile])).applyInArrow(_tile_links, "a long, b long")
+        )
+        new = settled(thin.union(crowded), "near-links")
+        if not new.isEmpty():
+            self.links = new if self.links is None else self.links.union(new)
+            self.groups = settled(_labelled(self.ids, self.links, "class_id"), "near-groups")
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         left = self.groups.select(F.col("class_id").alias("a"), F.col("component").alias("ca"))
@@ -279,27 +305,136 @@ class _Linker:
         return pairs.join(left, "a").join(right, "b").where("ca <> cb").select("a", "b")
 
 
-def _finer(members: DataFrame, groups: DataFrame, salt: int) -> DataFrame:
-    """Members of the band groups that hold several components, by pairs of such bands.
+def _tiles(members: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """Sketches of the band groups with several components, dealt to tiles (key, i, j).
 
-    Two classes that should be linked and are not share such groups only. Of each
-    component one member, drawn by hash, stands in a finer group.
+    Side 0 holds a slice of the classes outside the group's largest component, side 1 a
+    slice of all. Groups of three are left out: there the two hubs have met everyone.
     """
+    sizes = classes.groupBy("class_id").agg(F.max("n_shingles").alias("n_shingles"))
+    placed = members.join(groups, "class_id").join(sizes, "class_id")
+    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
+
+    def slices(n: Column, w: Column) -> Column:
+        return F.greatest(F.ceil(n / F.lit(TILE)), F.ceil(w / F.lit(TILE_SHINGLES))).cast("int")
+
+    main = F.max(F.struct("n", "component", "w"))
     split = (
-        members.join(groups, "class_id")
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("n > 2 AND low <> high")
-        .select("key")
+        parts.groupBy("key")
+        .agg(F.sum("n").alias("n"), F.sum("w").alias("w"), main.alias("main"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1 AND n > 3")
+        .select(
+            "key",
+            F.col("main.component").alias("main"),
+            slices(F.col("n") - F.col("main.n"), F.col("w") - F.col("main.w")).alias("rows"),
+            slices(F.col("n"), F.col("w")).alias("columns"),
+        )
     )
-    # at most one key per band
-    keys = members.join(split, "key").groupBy("class_id").agg(F.array_sort(F.collect_list("key")).alias("keys"))
-    first = keys.select("class_id", "keys", F.posexplode("keys").alias("at", "key"))
-    later = F.slice("keys", F.col("at") + 2, F.greatest(F.size("keys") - F.col("at") - 1, F.lit(0)))
-    finer = first.select("class_id", "key", F.explode(later).alias("key_2")).join(groups, "class_id")
-    drawn = F.struct(F.xxhash64(F.lit(salt), "key", "key_2", "class_id").alias("h"), F.col("class_id").alias("id"))
-    chosen = finer.groupBy("key", "key_2", "component").agg(F.min(drawn)["id"].alias("class_id"))
-    return chosen.select("class_id", "key", "key_2")
+    dealt = members.join(split, "key").join(groups, "class_id")
+    slot = F.xxhash64(F.lit("tile"), "class_id")
+    i, j = F.pmod(slot, "rows").cast("int"), F.pmod(slot, "columns").cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    outside = F.col("component") != F.col("main")
+    few = dealt.where(outside).select("key", i.alias("i"), every("columns").alias("j"), F.lit(0).alias("side"), "class_id", "component", outside.alias("outside"))
+    many = dealt.select("key", every("rows").alias("i"), j.alias("j"), F.lit(1).alias("side"), "class_id", "component", outside.alias("outside"))
+    return few.unionByName(many).join(classes, "class_id")
+
+
+_TILE_PAIRS = "key long, i int, j int, a long, b long, score double, crowd long"
+
+
+def _tile_pairs(tile: pa.Table) -> pa.Table:
+    """The pairs of a tile in different components that pass the estimate, each in its first common band."""
+    key = tile.column("key")[0].as_py()
+    sketch = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    keys, used = band_keys(sketch)
+    own = (keys.view(np.int64) == key) & used
+    has = own.any(axis=1)
+    band = int(np.argmax(own.any(axis=0)))
+    side, ids, component, size, outside = (
+        tile.column(c).to_numpy() for c in ("side", "class_id", "component", "n_shingles", "outside")
+    )
+    rows, columns = np.flatnonzero(has & (side == 0)), np.flatnonzero(has & (side == 1))
+    left, right, scores = [], [], []
+    for r in rows:
+        least, most = np.minimum(size[r], size[columns]), np.maximum(size[r], size[columns])
+        # two classes outside meet in two tiles
+        meet = (component[columns] != component[r]) & (~outside[columns] | (ids[r] < ids[columns]))
+        c = columns[meet & (least * SIMILAR[1] >= most * SIMILAR[0])]
+        if not len(c):
+            continue
+        banded = (sketch[c, : band * BAND_REGISTERS] == sketch[r, : band * BAND_REGISTERS]).reshape(len(c), band, BAND_REGISTERS)
+        c = c[~(banded.all(axis=2) & used[r, :band]).any(axis=1)]
+        if not len(c):
+            continue
+        score, error = estimate(np.broadcast_to(sketch[r], (len(c), REGISTERS)), sketch[c], np.full(len(c), size[r]), size[c])
+        keep = score + SLACK * error >= SIMILAR[0] / SIMILAR[1]
+        c, score = c[keep], score[keep]
+        left.append(np.minimum(ids[r], ids[c]))
+        right.append(np.maximum(ids[r], ids[c]))
+        scores.append(score)
+    a, b, score = (np.concatenate(x) if x else np.zeros(0) for x in (left, right, scores))
+    return pa.table(
+        {
+            "key": pa.array(np.full(len(a), key, np.int64)),
+            "i": pa.array(np.full(len(a), tile.column("i")[0].as_py(), np.int32)),
+            "j": pa.array(np.full(len(a), tile.column("j")[0].as_py(), np.int32)),
+            "a": pa.array(a.astype(np.int64)),
+            "b": pa.array(b.astype(np.int64)),
+            "score": pa.array(score.astype(np.float64)),
+            "crowd": pa.array(np.full(len(a), len(a), np.int64)),
+        }
+    )
+
+
+def _tile_links(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    """The pairs of one tile whose full sets are similar enough, without those that others of the tile imply."""
+    if not pairs.num_rows or not sets.num_rows:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    shingle = sets.column("set").combine_chunks()
+    flat = np.unique(shingle.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    lengths = np.array([len(x) for x in shingle], np.int64)
+    starts = np.cumsum(lengths) - lengths
+    homes: dict[int, list[int]] = {}
+    for n, c in enumerate(sets.column("class_id").to_pylist()):
+        homes.setdefault(c, []).append(n)
+    partners: dict[int, list[int]] = {}
+    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+        partners.setdefault(a, []).append(b)
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
+    left, right = [], []
+    for a, all_others in partners.items():
+        others = [b for b in all_others if find(a) != find(b)]
+        at = np.array([n for b in others for n in homes.get(b, ())], np.int64)
+        owner = [b for b in others for _ in homes.get(b, ())]
+        if not len(at):
+            continue
+        ends = np.cumsum(lengths[at])
+        where = np.repeat(starts[at] - (ends - lengths[at]), lengths[at]) + np.arange(ends[-1])
+        tokens = flat[where]
+        for n in homes.get(a, ()):
+            mine = flat[starts[n] : starts[n] + lengths[n]]
+            mark[mine] = True
+            both = np.add.reduceat(mark[tokens], ends - lengths[at], dtype=np.int64)
+            mark[mine] = False
+            for k in np.flatnonzero(both * SIMILAR[1] >= (lengths[n] + lengths[at] - both) * SIMILAR[0]):
+                x, y = find(a), find(owner[k])
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    left.append(a)
+                    right.append(owner[k])
+    return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
 def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -323,10 +458,7 @@ def _grouped(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     linker = _Linker(texts, classes.select("class_id", "n_shingles", "sketch"))
     members = classes.select("class_id", F.explode("keys").alias("key"))
     linker.try_pairs(_star_pairs(members, ["key"], 0))
-    for salt in range(1, SECOND_ROUNDS + 1):
-        finer = settled(_finer(members, linker.groups, salt), "near-finer")
-        if not linker.try_pairs(_star_pairs(finer, ["key", "key_2"], salt), best_first=False):
-            break
+    linker.try_rest(members)
     named = classes.select("digest", "n_shingles", "class_id").join(linker.groups, "class_id").drop("class_id")
     spread = usable.select("digest", "n_shingles", "run").distinct().join(named, ["digest", "n_shingles"])
     return rows.select("doc_id", "digest", "n_shingles", "run").join(spread, ["digest", "n_shingles", "run"], "left")
