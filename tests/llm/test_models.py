@@ -201,6 +201,18 @@ def test_sure_contexts_discover_unseen_numbers(spark):
     assert found[101].n_added == 0
 
 
+def test_open_candidates_do_not_count_against_a_context(spark):
+    """A third of the numbers of one context are unseen; another context holds addresses as well."""
+    rows = [(i, f"please phone me on +1 389 555 {5000 + i} today or later") for i in range(20)]
+    rows += [(100 + i, f"please phone me on 389 555 {7000 + i} today or later") for i in range(10)]
+    rows += [(200 + i, f"see entry for +1 389 556 {5000 + i} below") for i in range(20)]
+    rows += [(300 + i, f"see entry for 10.0.0.{i} below") for i in range(10)]
+    rows += [(400, "see entry for 389 556 7777 below")]
+    found = {r.doc_id: r for r in personal.personal_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[100 + i].spans == "phone:19:31" and found[100 + i].n_added == 1 for i in range(10))
+    assert found[400].n_added == 0
+
+
 # Language --------------------------------------------------------------------
 
 

@@ -4,8 +4,10 @@ The fixed patterns find the base spans, which are also the seeds. Every seed, an
 candidate (a number group or an @-word that no base span covers), is an instance with
 the lexical patterns around it: the two words before, and the word before with the word
 after. Patterns and instances form a graph that Spark scores in rounds: a pattern is as
-sure of a kind as the mean score of its distinct instances, if at least
-``LEAST_SEEDS`` of them are sure; a candidate's score is the chance that one of its sure
+sure of a kind as the mean score of its judged distinct instances, if at least
+``LEAST_SEEDS`` of them are sure. Judged are seeds of any kind, candidates whose shape
+rules the kind out (score 0) and candidates that have a score; open candidates say
+nothing against a pattern. A candidate's score is the chance that one of its sure
 patterns is right. Candidates that end at ``LEAST_SCORE`` or more, of a shape that the
 kind allows, become spans of their own.
 """
@@ -162,7 +164,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
                 seeds = [_instance(text, s, e, k) for s, k, e in spans]
                 others = [_instance(text, s, e, -1) for s, e in candidates(text, spans)]
-                instances.append(seeds + [i for i in others if i["allowed"]])
+                instances.append(seeds + others)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(base, pa.list_(_SPAN)), pa.array(instances, pa.list_(_INSTANCE))],
                 names=["doc_id", "base", "instances"],
@@ -179,7 +181,7 @@ def discovered(instances: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         instances.select("name", F.explode("patterns").alias("pattern")).distinct(), "pii-edges"
     )
     sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    seeds = instances.where("kind >= 0").select("name", "kind").distinct().withColumn("score", F.lit(1.0))
+    seeds = instances.where("kind >= 0").select("name", "kind").distinct().withColumns({"score": F.lit(1.0), "seed": F.lit(True)})
     seeds = settled(seeds, "pii-seeds")
     fits = settled(
         instances.where("kind < 0")
@@ -188,15 +190,23 @@ def discovered(instances: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         .join(seeds.select("name"), "name", "left_anti"),
         "pii-fits",
     )
+    fitting = edges.join(fits, "name").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("fitting"))
+    open_before = settled(fitting, "pii-fitting")
     scores = seeds
     for _ in range(rounds):
         sure = (
             edges.join(scores, "name")
             .groupBy("pattern", "kind")
-            .agg(F.sum("score").alias("mass"), F.count_if(F.col("score") >= LEAST_SCORE).alias("sure"))
+            .agg(
+                F.sum("score").alias("mass"),
+                F.count_if(F.col("score") >= LEAST_SCORE).alias("sure"),
+                F.count_if(~F.col("seed")).alias("scored"),
+            )
             .where(F.col("sure") >= LEAST_SEEDS)
             .join(sizes, "pattern")
-            .withColumn("confidence", F.col("mass") / (F.col("n") + 1))
+            .join(open_before, ["pattern", "kind"], "left")
+            .withColumn("judged", F.col("n") - F.coalesce("fitting", F.lit(0)) + F.col("scored"))
+            .withColumn("confidence", F.col("mass") / (F.col("judged") + 1))
             .where(F.col("confidence") >= LEAST_CONFIDENCE)
             .select("pattern", "kind", "confidence")
         )
@@ -205,6 +215,7 @@ def discovered(instances: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .groupBy("name", "kind")
             .agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
             .join(fits, ["name", "kind"])
+            .withColumn("seed", F.lit(False))
         )
         scores = settled(seeds.unionByName(found), "pii-scores")
     best = scores.join(fits, ["name", "kind"]).where(F.col("score") >= LEAST_SCORE)
