@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 21
+#: Longer tables of powers are not kept for the next call.
+KEPT_POWERS = 1 << 16
 
 #: The bytes that separate words.
 SPACE = np.zeros(256, bool)
@@ -35,6 +37,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def _powers_of(n: int) -> np.ndarray:
+    table = np.full(n + 1, _STEP, np.uint64)
+    table[0] = 1
+    return np.multiply.accumulate(table)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number modulo 2**64 and their inverses, n + 1 each."""
     if len(_powers.get("up", ())) <= n:
@@ -97,6 +105,22 @@ def span_hashes(content: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mixed(raw ^ ((ends - starts).astype(np.uint64) * MULTIPLIER))
 
 
+def word_hashes(content: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of :func:`span_hashes` for rising spans that do not overlap and are not empty.
+
+    The powers start anew with every span, so their table is as long as the longest one.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    lengths = ends - starts
+    firsts = np.cumsum(lengths) - lengths
+    within = np.arange(firsts[-1] + lengths[-1]) - np.repeat(firsts, lengths)
+    longest = int(lengths.max())
+    up = powers(longest)[0] if longest <= KEPT_POWERS else _powers_of(longest)
+    values = (content[within + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)) * up[within]
+    return mixed(np.add.reduceat(values, firsts) ^ (lengths.astype(np.uint64) * MULTIPLIER))
+
+
 def windows_of(hashes: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every run of ``width`` words within one row, in order."""
     n = len(hashes) - width + 1

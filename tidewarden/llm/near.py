@@ -62,7 +62,7 @@ def shingles(content: np.ndarray, bounds: np.ndarray, width: int = WIDTH) -> tup
     """
     content = B.TO_LOWER[content]
     starts, ends, rows = B.word_bounds(content, bounds)
-    words = B.span_hashes(content, starts, ends)
+    words = B.word_hashes(content, starts, ends)
     found, owner = B.windows_of(words, rows, width)
     counts = np.bincount(rows, minlength=len(bounds) - 1)
     short = np.flatnonzero((counts > 0) & (counts < width))

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import exact, language, lines, mixing, near, personal, pieces, quality, substrings, toxicity
+from . import (
+    exact, language, lines, mixing, near, negatives, parity, personal, pieces, quality, substrings,
+    toxicity, whitening,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -53,6 +57,21 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(_table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(_table(spark, folder, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    anchors = rows.where("vec_id % 100 = 0").select("vec_id")
+    return negatives.hard_negatives(rows.withColumn("label", moved), anchors)
+
+
+def op13_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return parity.jaccard_groups(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_quality": op2_quality,
@@ -64,6 +83,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_jaccard_join": op13_jaccard_join,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -91,7 +113,29 @@ _LINES = r"""
         FROM ranked GROUP BY doc_id
     """
 
+_NEGATIVES = """
+        WITH whole AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda c: floor(CAST(c AS DOUBLE) * 256)) AS x
+          FROM embeddings
+          WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        scored AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                 CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+          FROM whole a JOIN whole b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+          SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank
+        FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT same
+          AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """
+
 ORACLE_SQL = {
+    "op12_hard_negatives": _NEGATIVES,
     "op5_repeated_lines": _LINES,
     "op8_exact_dedup": f"""
         SELECT doc_id,
