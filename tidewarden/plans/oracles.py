@@ -209,24 +209,25 @@ _STATUS_STEPS = f"""asked AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    enriched = f"""WITH {_tel()}, {_CONTEXT},
+        sums AS (SELECT w, source, metric, count(DISTINCT id) AS ids,
+                        count(DISTINCT member_source) AS services
+                 FROM context GROUP BY ALL)
+        SELECT h.id, h.service, h.metric, round(z + 1e-9, 6) AS score,
+               CASE WHEN z > 5.0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+               h.correlation_id, h.event_id, h.n AS window_size, s.ids AS correlated_count,
+               s.services AS unique_services, round(z + 1e-9, 6) AS z_score
+        FROM hits h JOIN sums s ON h.w = s.w AND h.service = s.source AND h.metric = s.metric"""
     z = {
         "raw_zscore_daily": _zscore("1 day"),
         "raw_zscore_weekly": _zscore("7 days"),
         "raw_zscore_two_step": _zscore("1 day"),
         "stream_raw_zscore": _zscore("1 day"),
-        "stream_enriched_zscore": _zscore("1 day", correlated=True),
+        "stream_enriched_zscore": enriched,
         "window_statistics_daily": f"""WITH {_tel()}, {_scored('1 day', False)}
             SELECT w AS window_start, source, subtype AS metric, n AS events, n AS samples,
                    round(mean + 1e-9, 6) AS mean, round(sd + 1e-9, 6) AS stddev FROM stats""",
-        "enriched_zscore_daily": f"""WITH {_tel()}, {_CONTEXT},
-            sums AS (SELECT w, source, metric, count(DISTINCT id) AS ids,
-                            count(DISTINCT member_source) AS services
-                     FROM context GROUP BY ALL)
-            SELECT h.id, h.service, h.metric, round(z + 1e-9, 6) AS score,
-                   CASE WHEN z > 5.0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
-                   h.correlation_id, h.event_id, h.n AS window_size, s.ids AS correlated_count,
-                   s.services AS unique_services, round(z + 1e-9, 6) AS z_score
-            FROM hits h JOIN sums s ON h.w = s.w AND h.service = s.source AND h.metric = s.metric""",
+        "enriched_zscore_daily": enriched,
         "enriched_context_links": f"""WITH {_tel()}, {_CONTEXT}
             SELECT w AS window_start, source, metric, correlation_id FROM touched""",
         "enriched_context_services": f"""WITH {_tel()}, {_CONTEXT}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import alert_stats, alerts, correlate, detect, insights, normalize, rollup, rules, search
 from ..sources import requests, sensors, store, wire
 from ..session import fresh_folder
-from ..streaming import streams
+from ..streaming import streams, windows
 from .streams_over_tables import events_stream
 from .views import k_of_props, log_level, table, telemetry, telemetry_of
 
@@ -78,9 +78,7 @@ def window_statistics_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_query
-def enriched_zscore_daily(spark: SparkSession, folder: str) -> DataFrame:
-    found = detect.detect_enriched(telemetry(spark, folder), "1 day")
+def _context_view(found: DataFrame) -> DataFrame:
     context = F.from_json(
         "details", "zScore DOUBLE, windowSize BIGINT, correlatedCount BIGINT, uniqueServices BIGINT"
     )
@@ -93,6 +91,11 @@ def enriched_zscore_daily(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def enriched_zscore_daily(spark: SparkSession, folder: str) -> DataFrame:
+    return _context_view(detect.detect_enriched(telemetry(spark, folder), "1 day"))
+
+
 @_query
 def enriched_context_links(spark: SparkSession, folder: str) -> DataFrame:
     events = correlate.correlated(telemetry(spark, folder))
@@ -915,11 +918,14 @@ def stream_raw_zscore(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def stream_enriched_zscore(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched hits of a stream with the counts of the events and services behind them."""
+    home = fresh_folder(spark, "enriched")
     events = telemetry_of(events_stream(spark, folder))
-    found = streams.run_to_table(
-        streams.enriched_zscore_stream(events, bucket="1 day"), "enriched-zscore"
+    query = windows.enriched_context_stream(
+        events, home, f"{home}/checkpoint", bucket="1 day", available_now=True
     )
-    return _anomaly_view(found)
+    query.awaitTermination()
+    return _context_view(windows.window_rows(spark, home))
 
 
 @_query
