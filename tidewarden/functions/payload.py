@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 METRIC_FIELDS = "metric STRING, value DOUBLE"
 LOG_FIELDS = "level STRING, message STRING"
 TRACE_FIELDS = "durationMs DOUBLE, operation STRING"
 
 
-def read_fields(fields: str, payload: Column | str = "payload") -> Column:
+def read_fields(fields: str | T.StructType, payload: Column | str = "payload") -> Column:
     """Struct of the named fields; all null where the payload is no JSON object."""
     return F.from_json(payload, fields, {"allowNonNumericNumbers": "false"})
 

@@ -271,6 +271,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT id, source, type, subtype, ts, correlation_id FROM tel""",
         "store_redelivery": f"""WITH {_tel()}
             SELECT id, CASE WHEN k % 2 = 0 THEN subtype || '-again' ELSE subtype END AS subtype FROM tel""",
+        "store_compacted": f"""WITH {_tel()}
+            SELECT id, source, type, subtype, ts, correlation_id,
+                   CASE WHEN type = 'metric' THEN subtype END AS metric_name,
+                   CASE WHEN type = 'metric' THEN value END AS value FROM tel""",
         "store_points": f"""WITH {_tel()}
             SELECT ts AS time, id || '-m' AS id, source AS service, subtype AS metric_name, value
             FROM tel WHERE type = 'metric'""",
@@ -308,6 +312,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT id, service, metric, round(score + 1e-9, 6) AS score, severity, description,
                    detected_at, correlation_id, duration_ms, 'purchase' AS operation
             FROM ruled WHERE metric = 'latency'""",
+        "rule_table": f"""WITH {_rules()}
+            SELECT id, service, metric, round(score + 1e-9, 6) AS score, severity, description, detected_at,
+                   correlation_id, detector, event_id FROM ruled""",
+        "rule_versions": f"""WITH {_rules()}
+            SELECT service, metric, round(score + 1e-9, 6) AS score,
+                   CASE WHEN detected_at < TIMESTAMP '2024-01-15' THEN severity
+                        WHEN duration_ms > 1800 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+                   description, detector, event_id
+            FROM ruled WHERE metric = 'latency'
+              AND (detected_at < TIMESTAMP '2024-01-15' OR duration_ms >= 1500)
+            UNION ALL
+            SELECT source, 'load', round(value + 1e-9, 6), CASE WHEN value > 99 THEN 'CRITICAL' ELSE 'WARNING' END,
+                   subtype || ' ' || id, 'busy', id
+            FROM tel WHERE type = 'metric' AND value > 90 AND source = 'svc-1' AND k = 3""",
         "anomaly_union": f"""
             SELECT * FROM ({_zscore('1 day')}) UNION ALL
             SELECT * FROM ({_zscore('1 day', correlated=True)}) UNION ALL

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 from collections.abc import Callable
 
@@ -10,7 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import alert_stats, alerts, correlate, detect, insights, normalize, rollup, rules, search
-from ..sources import requests, sensors, store, wire
+from ..operators import rule_table as rule_tables
+from ..schemas import METRIC_POINT
+from ..sources import compaction, requests, sensors, store, wire
 from ..session import fresh_folder
 from ..streaming import streams, windows
 from .streams_over_tables import events_stream
@@ -166,6 +169,39 @@ def rule_latency(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def rule_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Both rules from rows, beside one with an unknown field and one that divides by zero."""
+    unknown = ("unknown-field", "m", "trace", "operation STRING", "nowhere > 1", "1.0D", "'WARNING'", "'d'", "'{}'", None, None)
+    divides = ("divides", "m", "trace", "durationMs DOUBLE", "1 / (durationMs - durationMs) > 0", "1.0D", "'WARNING'", "'d'", "'{}'", None, None)
+    rows = rule_tables.rule_rows(spark, [*rule_tables.default_rule_rows(), unknown, divides])
+    found = rule_tables.detect_rule_rows(telemetry(spark, folder), rule_tables.compile_rules(rows))
+    return found.select(
+        "id", "service", "metric", _round("score"), "severity", "description",
+        F.col("detected_at").cast("timestamp_ntz").alias("detected_at"), "correlation_id", "detector", "event_id",
+    )
+
+
+RULE_CHANGE = "2024-01-15 00:00:00"
+
+
+@_query
+def rule_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """A latency rule whose limits rise in the middle of the month, and a rule on the event's own columns."""
+    slow = rule_tables.default_rule_rows()[1]
+    change = dt.datetime.fromisoformat(RULE_CHANGE)
+    before = (*slow[:9], None, change)
+    after = tuple(part.replace(">= 1000", ">= 1500").replace("> 5000", "> 1800") for part in slow[:9])
+    busy = (
+        "busy", "load", "metric", "value DOUBLE", "value > 90 AND event.source = 'svc-1' AND event.tags['k'] = '3'", "value",
+        "if(value > 99, 'CRITICAL', 'WARNING')", "concat_ws(' ', event.subtype, event.id)", "to_json(named_struct('value', value))",
+        None, None,
+    )
+    rows = rule_tables.rule_rows(spark, [(*after, change, None), before, busy])
+    found = rule_tables.detect_rule_rows(telemetry(spark, folder), rule_tables.compile_rules(rows))
+    return found.select("service", "metric", _round("score"), "severity", "description", "detector", "event_id")
+
+
 @_query
 def anomaly_union(spark: SparkSession, folder: str) -> DataFrame:
     events = telemetry(spark, folder)
@@ -382,6 +418,26 @@ def store_redelivery(spark: SparkSession, folder: str) -> DataFrame:
     return store.read_events(spark, _stored(spark, folder, again=True)).select("id", "subtype")
 
 
+@_query
+def store_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Events stored in four batches; three are compacted, one of them is retried afterwards, one
+    comes later, and what the compaction covers is deleted."""
+    root = fresh_folder(spark, "compacted")
+    events = telemetry(spark, folder)
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    part = F.pmod(F.xxhash64("id"), F.lit(4))
+    for number in (0, 1, 2):
+        store.write_batch(events.where(part == number), root, number, _at(STORE_AS_OF))
+    store.compact(spark, root, up_to=2, least_batches=2, rows_per_file=20_000)
+    store.write_batch(events.where(part == 1), root, 1, _at(STORE_AS_OF))
+    store.write_batch(events.where(part == 3), root, 3, _at(STORE_AS_OF))
+    for name, schema in (("events", store.EVENT_ROWS), ("points", METRIC_POINT)):
+        compaction.drop_covered(spark, f"{root}/{name}", schema)
+    found = store.read_events(spark, root).select("id", "source", "type", "subtype", "correlation_id", "ts")
+    points = store.read_points(spark, root).select(F.regexp_replace("id", "-m$", "").alias("id"), "metric_name", "value")
+    return found.join(points, "id", "left").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @_query
 def store_points(spark: SparkSession, folder: str) -> DataFrame:
     rows = store.read_points(spark, _stored(spark, folder, again=False))

@@ -2,7 +2,8 @@
 
 Writers append. A batch writes only the partitions that carry its own number, so
 writing it again replaces its own files and nothing else. Readers see the latest
-row per key.
+row per key. :mod:`.compaction` rewrites the many small batches of a day; readers
+then take the rewritten day and the batches after it.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from ..functions.text import has_text
 from ..operators.normalize import split_valid
 from ..operators.rollup import metric_points
 from ..schemas import METRIC_POINT, TELEMETRY_EVENT
+from . import compaction
 
-_PARTITIONS = [T.StructField("event_date", T.DateType()), T.StructField("batch", T.LongType())]
 EVENT_ROWS = T.StructType([*TELEMETRY_EVENT.fields, T.StructField("received_at", T.TimestampType())])
 
 
@@ -87,8 +88,7 @@ def read_events(
     every_copy: bool = False,
 ) -> DataFrame:
     """Stored events of the days in a range, the latest row per id; ``every_copy`` skips that."""
-    schema = T.StructType([*EVENT_ROWS.fields, *_PARTITIONS])
-    rows = _day_range(spark.read.schema(schema).parquet(f"{root}/events"), start, end)
+    rows = _day_range(compaction.stored_rows(spark, f"{root}/events", EVENT_ROWS), start, end)
     return rows if every_copy else current_events(rows)
 
 
@@ -97,11 +97,26 @@ def read_points(
     every_copy: bool = False,
 ) -> DataFrame:
     """Stored points of the days in a range, the latest row per time and id."""
-    schema = T.StructType([*METRIC_POINT.fields, *_PARTITIONS])
-    rows = _day_range(spark.read.schema(schema).parquet(f"{root}/points"), start, end)
+    rows = _day_range(compaction.stored_rows(spark, f"{root}/points", METRIC_POINT), start, end)
     return rows if every_copy else current_points(rows)
 
 
+def compact(
+    spark: SparkSession, root: str, up_to: int, least_batches: int = compaction.LEAST_BATCHES,
+    rows_per_file: int = compaction.ROWS_PER_FILE,
+) -> None:
+    """Rewrite the days of events and points that hold many batches numbered up to ``up_to``.
+
+    Those batches must be complete: while batch N runs, all below N are.
+    """
+    compaction.compact_days(
+        spark, f"{root}/events", EVENT_ROWS, up_to, ["source", "type", "ts"], least_batches, rows_per_file
+    )
+    compaction.compact_days(
+        spark, f"{root}/points", METRIC_POINT, up_to, ["service", "metric_name", "time"], least_batches, rows_per_file
+    )
+
+
 def latest_by_key(rows: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
     """The last written row per key; equal write times are settled by row content.
 

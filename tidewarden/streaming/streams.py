@@ -151,12 +151,18 @@ def batch_writer(
 
 def store_stream(
     events: DataFrame, root: str, checkpoint: str, available_now: bool = False,
-    every: str = "5 seconds",
+    every: str = "5 seconds", compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Store events and metric points of every micro-batch."""
+    """Store events and metric points of every micro-batch.
+
+    With ``compact_every`` the days with that many batches are rewritten each time so many
+    batches have passed; by then all earlier batches are complete.
+    """
 
     def handle(batch: DataFrame, number: int) -> None:
         store.write_batch(batch, root, number)
+        if compact_every and number and number % compact_every == 0:
+            store.compact(batch.sparkSession, root, number - 1, compact_every)
 
     return batch_writer(events, handle, checkpoint, available_now, every).start()
 
