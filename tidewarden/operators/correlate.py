@@ -4,7 +4,8 @@ One shape for groups of any size: an event carries its group's key and exact cou
 members, services and links are rows (``correlation_members``,
 ``correlation_services``, ``context_links``). A list of members on every member would
 be quadratic and is not formed; ``member_chunks`` writes a group's members as
-records of bounded length.
+records of bounded length, ``ordered_member_chunks`` and ``context_id_chunks`` so that the
+records of a group, one after the other, are its list in order.
 """
 
 from __future__ import annotations
@@ -13,12 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import window_bounds
+from ..functions.positions import with_positions
 from ..functions.skew import join_groups
 from ..functions.text import has_text, json_object
 
 KEYS = ["window_start", "window_end", "correlation_id"]
 METRIC_GROUP = ["window_start", "window_end", "source", "metric"]
 CHUNK = 500
+#: Pieces of each correlation group that meet its links apart, so a hot group is shared out.
+LINK_SLICES = 16
 
 
 def correlated(events: DataFrame) -> DataFrame:
@@ -75,6 +79,31 @@ def member_chunks(events: DataFrame, bucket: str = "1 minute", length: int = CHU
     )
 
 
+def ordered_member_chunks(
+    events: DataFrame, bucket: str = "1 minute", length: int = CHUNK, order: str = "ts", partitions: int | None = None
+) -> DataFrame:
+    """The members of every group in the order of ``order`` and id, in records of exactly ``length`` entries.
+
+    ``order`` names a column, such as the time of receipt. Entries are (member_id, copies); equal
+    rows are one entry with a count. The records of a group in the order of ``chunk`` are its
+    list; only the last may be shorter. Members without an id are left out.
+    """
+    rows = with_window(correlated(events), bucket).where(F.col("id").isNotNull())
+    entries = rows.groupBy(*KEYS, F.col(order).alias("placed_by"), F.col("id").alias("member_id")).agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+    placed = with_positions(entries, KEYS, ["placed_by", "member_id"], partitions)
+    return _records(placed, KEYS, length, "members", ["member_id", "copies"])
+
+
+def _records(placed: DataFrame, keys: list[str], length: int, name: str, content: list[str]) -> DataFrame:
+    """Rows with positions as records of ``length`` entries in order."""
+    chunk = F.floor(F.col("position") / F.lit(length)).cast("long").alias("chunk")
+    listed = F.array_sort(F.collect_list(F.struct("position", *content)))
+    entry = (lambda e: e[content[0]]) if len(content) == 1 else (lambda e: F.struct(*[e[c].alias(c) for c in content]))
+    return placed.groupBy(*keys, chunk).agg(F.transform(listed, entry).alias(name))
+
+
 def correlate(events: DataFrame, bucket: str = "1 minute") -> DataFrame:
     """Each correlated event with its group's window, size and number of services."""
     rows = with_window(correlated(events), bucket)
@@ -110,6 +139,23 @@ def context_links(firing: DataFrame, samples: DataFrame) -> DataFrame:
     return links.join(firing.select(*METRIC_GROUP), METRIC_GROUP, "left_semi")
 
 
+def context_id_chunks(
+    links: DataFrame, events: DataFrame, bucket: str, length: int = CHUNK, partitions: int | None = None
+) -> DataFrame:
+    """The distinct ids behind every firing metric group, sorted, in records of exactly ``length`` ids.
+
+    The records of a metric group in the order of ``chunk`` are its list. Ids of a
+    correlation group meet its metric groups in ``LINK_SLICES`` pieces.
+    """
+    members = correlation_members(events, bucket).select(
+        *KEYS, "member_id", F.pmod(F.xxhash64("member_id"), F.lit(LINK_SLICES)).cast("int").alias("_slice")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.lit(LINK_SLICES - 1))).alias("_slice")
+    ids = links.select("*", every).join(members, [*KEYS, "_slice"]).select(*METRIC_GROUP, "member_id").distinct()
+    placed = with_positions(ids, METRIC_GROUP, ["member_id"], partitions)
+    return _records(placed, METRIC_GROUP, length, "ids", ["member_id"])
+
+
 def context_counts(links: DataFrame, events: DataFrame, bucket: str) -> DataFrame:
     """Per firing metric group the exact number of distinct ids behind it and of services.
 

@@ -256,6 +256,17 @@ def oracle_sql() -> dict[str, str]:
         "correlation_chunks_daily": f"""WITH {_CORRELATED}
             SELECT w AS window_start, correlation_id, id AS member_id, count(*) AS copies
             FROM grouped GROUP BY ALL""",
+        "correlation_chunks_ordered": f"""WITH {_tel()},
+            placed AS (SELECT {_bucket('7 days')} AS window_start, correlation_id, id, ts,
+                              row_number() OVER (PARTITION BY {_bucket('7 days')}, correlation_id ORDER BY ts, id) - 1 AS p
+                       FROM tel WHERE correlation_id IS NOT NULL)
+            SELECT window_start, correlation_id, p // 4 AS chunk, array_to_string(list(id ORDER BY ts, id), ',') AS members
+            FROM placed GROUP BY ALL""",
+        "context_id_chunks": f"""WITH {_tel()}, {_CONTEXT},
+            ids AS (SELECT DISTINCT w, source, metric, id FROM context),
+            placed AS (SELECT *, row_number() OVER (PARTITION BY w, source, metric ORDER BY id) - 1 AS p FROM ids)
+            SELECT w AS window_start, source, metric, p // 10 AS chunk, array_to_string(list(id ORDER BY id), ',') AS ids
+            FROM placed GROUP BY ALL""",
         "batch_receipt_ids": """
             SELECT user_id AS batch_id, 'evt-' || event_id AS id, count(*) AS copies
             FROM events GROUP BY ALL""",

@@ -116,6 +116,26 @@ def enriched_context_services(spark: SparkSession, folder: str) -> DataFrame:
     return correlate.context_services(links, services).select("window_start", "source", "metric", "service")
 
 
+@_query
+def correlation_chunks_ordered(spark: SparkSession, folder: str) -> DataFrame:
+    """Members of weekly groups in order of time and id, four to a record."""
+    rows = correlate.ordered_member_chunks(telemetry(spark, folder), "7 days", length=4)
+    return rows.select(
+        "window_start", "correlation_id", "chunk",
+        F.array_join(F.transform("members", lambda m: m["member_id"]), ",").alias("members"),
+    )
+
+
+@_query
+def context_id_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Sorted distinct ids behind every firing metric group, ten to a record."""
+    events = correlate.correlated(telemetry(spark, folder))
+    samples = detect.windowed_samples(events, "1 day")
+    links = correlate.context_links(detect.firing_groups(samples), samples)
+    rows = correlate.context_id_chunks(links, events, "1 day", length=10)
+    return rows.select("window_start", "source", "metric", "chunk", F.array_join("ids", ",").alias("ids"))
+
+
 def _planted(spark: SparkSession, folder: str) -> DataFrame:
     """Telemetry in which some metrics are infinite and some durations beyond any integer."""
     number = F.substring("id", 5, 20).cast("bigint")
