@@ -50,7 +50,7 @@ TILE = 1024
 PAIRS = 1 << 19
 RUNS = 64
 #: One class in so many is counted to find words that a great part of the sets share.
-SAMPLED, HOT, PARTS = 64, 256, 64
+SAMPLED, HOT, PARTS = 16, 64, 64
 SLICE_BYTES = 1 << 19
 _ONE = np.uint64(1)
 _SALTS = B.mixed(np.arange(1, DRAWS + 2, dtype=np.uint64) * B.MULTIPLIER)
@@ -236,7 +236,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if other != last[0]:
                     last = (other, shingles(*B.utf8(pa.array([other])), WIDTH)[0])
                 keep[row + k] = similar_sets(found[offsets[k] : offsets[k + 1]], last[1])
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+        yield batch.select(["ca", "cb"]).filter(pa.array(keep))
 
 
 def _size_fits(a: Column, b: Column) -> Column:
@@ -248,30 +248,31 @@ class _Linker:
 
     def __init__(self, docs: DataFrame, classes: DataFrame):
         self.docs, self.classes = docs, classes
-        self.ids = classes.select("class_id").distinct()
-        self.links: DataFrame | None = None
-        self.groups = self.ids.withColumn("component", F.col("class_id"))
+        self.groups = classes.select("class_id").distinct().withColumn("component", F.col("class_id"))
 
-    def try_pairs(self, pairs: DataFrame, label: str) -> None:
-        """Verify pairs (a, b, far) in different components, the nearest one of each class first."""
+    def try_pairs(self, pairs: DataFrame, label: str, nearest_first: bool) -> None:
+        """Verify pairs (a, b, far) in different components, if wanted the nearest one of each class first."""
         rest = settled(pairs, f"parity-{label}")
         ends = settled(self._texts(rest.select(F.col("a").alias("class_id")).union(rest.select("b")).distinct()), f"parity-{label}-texts")
-        both = rest.select("a", "b", "far").union(rest.select("b", "a", "far"))
-        near = both.groupBy("a").agg(F.min(F.struct("far", "b")).alias("best"))
-        first = near.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
-        for chosen in (first, rest.select("a", "b")):
+        steps = [rest.select("a", "b")]
+        if nearest_first:
+            both = rest.select("a", "b", "far").union(rest.select("b", "a", "far"))
+            near = both.groupBy("a").agg(F.min(F.struct("far", "b")).alias("best"))
+            steps.insert(0, near.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct())
+        for chosen in steps:
             one = ends.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
             other = ends.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
-            met = self.apart(chosen).join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
-            new = settled(met.mapInArrow(_verified, "a long, b long"), f"parity-{label}-links")
-            if new.isEmpty():
-                continue
-            self.links = new if self.links is None else self.links.union(new)
-            named = components(self.links).withColumnRenamed("node", "class_id")
-            self.groups = settled(
-                self.ids.join(named, "class_id", "left").withColumn("component", F.coalesce("component", "class_id")),
-                f"parity-{label}-groups",
-            )
+            met = self._apart(chosen).join(one, "a").join(other, "b").select("ca", "cb", "text_a", "text_b")
+            new = settled(met.mapInArrow(_verified, "ca long, cb long"), f"parity-{label}-links")
+            if not new.isEmpty():
+                self._merge(new, label)
+
+    def _merge(self, new: DataFrame, label: str) -> None:
+        """Join the components that new links connect; only their names take part in the rounds."""
+        merged = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        named = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
+        moved = self.groups.join(named, "component", "left")
+        self.groups = settled(moved.select("class_id", F.coalesce("into", "component").alias("component")), f"parity-{label}-groups")
 
     def _texts(self, ends: DataFrame) -> DataFrame:
         """One text of each class; rows that cannot be one are left out before any shuffle where the bitmap tells."""
@@ -279,10 +280,10 @@ class _Linker:
         wanted = self.classes.select("class_id", "mark").join(ends, "class_id")
         return texts.join(wanted, ["class_id", "mark"]).dropDuplicates(["class_id", "mark"]).select("class_id", "text")
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
+    def _apart(self, pairs: DataFrame) -> DataFrame:
         left = self.groups.select(F.col("class_id").alias("a"), F.col("component").alias("ca"))
         right = self.groups.select(F.col("class_id").alias("b"), F.col("component").alias("cb"))
-        return pairs.join(left, "a").join(right, "b").where("ca <> cb").select("a", "b")
+        return pairs.join(left, "a").join(right, "b").where("ca <> cb")
 
 
 def _members(rows: DataFrame) -> DataFrame:
@@ -415,8 +416,8 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     sequence of a shorter text. Sets with 100 * intersection >= 85 * union are
     linked, components are those of the links and named after their smallest id. Null and empty texts have
     no shingles and are linked with nothing. Rows that repeat an id are judged by their own
-    texts, and texts with the same smallest id count as one document. Rows with a null id get the component of equal texts
-    or none. An empty table gives an empty result. Columns besides id and text play no part.
+    texts, and texts with the same smallest id count as one document. Rows with a null id link
+    with nothing and have no component. An empty table gives an empty result. Columns besides id and text play no part.
 
     Exact up to collisions of 64-bit shingle hashes.
     """
@@ -435,12 +436,13 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = settled(one(one(usable, "run")).withColumnRenamed("doc_id", "class_id"), "parity-classes")
     linker = _Linker(marked.withColumnRenamed("doc_id", "class_id").select("class_id", "text", "mark"), classes)
     members = settled(_members(rows), "parity-members")
-    linker.try_pairs(_passed(_first_pairs(members), classes, "coarse"), "first")
+    linker.try_pairs(_passed(_first_pairs(members), classes, "coarse"), "first", nearest_first=True)
     tiles = _tiles(members, linker.groups, classes).repartition(*_TILE_ORDER[:3]).sortWithinPartitions(*_TILE_ORDER)
     wide = tiles.select(*_TILE_ORDER, "class_id", "component", "outside", "n_shingles", "sketch")
     rest = wide.mapInArrow(_tile_pairs, "a long, b long, far double").distinct()
-    linker.try_pairs(rest, "rest")
+    linker.try_pairs(rest, "rest", nearest_first=False)
     named = classes.select(*kind, "class_id").join(linker.groups, "class_id").drop("class_id")
     spread = usable.select(*kind, "run").distinct().join(named, kind)
     grouped = rows.select("doc_id", *kind, "run").join(spread, [*kind, "run"], "left")
-    return grouped.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return grouped.select("doc_id", "n_shingles", component.alias("component_id"))
