@@ -95,8 +95,11 @@ def test_similar_sets_share_a_word(size):
         if len(a) == len(b) == both:
             continue
         found, offsets = np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)])
-        keys, owner = parity.word_keys(found, offsets)
-        assert np.intersect1d(keys[owner == 0], keys[owner == 1]).size
+        keys, owner, beyond = parity.word_keys(found, offsets)
+        shared = np.intersect1d(keys[owner == 0], keys[owner == 1])
+        assert np.isin(keys[~beyond], shared).any()
+        codes = parity.size_codes(np.array([len(a), len(b)])).astype(int)
+        assert abs(codes[0] - codes[1]) <= parity.CODES_APART
 
 
 def test_bands_reach_every_match():

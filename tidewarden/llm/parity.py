@@ -12,13 +12,13 @@ A set with at most ``spare`` words that are zero has a word that is equal and no
 of its matches, and leaves its zero words out. The few other sets take part under
 further hashes, with all words under the last one; so the zero word, which unlike sets share, makes no crowd.
 
-Candidates share a word. In every group of a word all sets first meet the two with the
-smallest and the largest name; groups of two and three are complete with that. In larger groups that still
-hold several components, the sets outside the largest component then meet all others, in tiles
-of bounded size. Groups with a great part of the rows are cut by name before, and their parts' smallest names meet.
+Candidates share a word, and one of them has its own band there. In every group of a word all sets first meet one set of the band;
+with that, groups with a single such set are complete. Groups with a great part of the rows are cut by name before, and
+their parts' smallest names meet. In the other groups every two sets of different components are then compared,
+large groups in tiles of bounded size: the nearest partner of each set goes on first, and where that leaves pairs out,
+the group is gone through again with all that are still in different components.
 
-A candidate pair must pass the Hamming bound of a coarser or finer sketch and is then verified on
-the full shingle sets, taken from the texts.
+A candidate pair must pass the Hamming bound of a sketch and is then verified on the full shingle sets, taken from the texts.
 """
 
 from __future__ import annotations
@@ -48,6 +48,8 @@ LEAST_SIZE = 6
 DRAWS = 4
 TILE = 1024
 PAIRS = 1 << 19
+#: Names end in a code of the set's size, one per SIZE_STEP, and a bit that tells the next band from the own one.
+NAME_BITS, SIZE_STEP = 8, 1.08
 RUNS = 64
 #: One class in so many is counted to find words that a great part of the sets share.
 SAMPLED, HOT, PARTS = 16, 64, 64
@@ -89,15 +91,24 @@ def _scattered(found: np.ndarray, offsets: np.ndarray, rows: np.ndarray, words:
     return table, base
 
 
-def word_keys(found: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the words that each row takes part with, and the row of each key."""
+def size_codes(sizes: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log(np.maximum(sizes, 1)) / np.log(SIZE_STEP), (1 << (NAME_BITS - 1)) - 1).astype(np.uint64)
+
+
+#: Codes of sizes that can match differ by no more; codes round down and sizes beyond the last code share it.
+CODES_APART = int(np.log(SIMILAR[1] / SIMILAR[0]) / np.log(SIZE_STEP)) + 1
+
+
+def word_keys(found: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the words that each row takes part with, the row of each key, and whether it is of the next band."""
     sizes = np.diff(offsets)
     tops = band_tops(int(sizes.max(initial=0)))
     band = np.searchsorted(tops, sizes)
     own = np.flatnonzero(sizes > LEAST_SIZE)
     upper = np.flatnonzero((sizes >= LEAST_SIZE) & (SIMILAR[1] * sizes >= SIMILAR[0] * (tops[band] + 1)))
     rows, bands = np.concatenate((own, upper)), np.concatenate((band[own], band[upper] + 1))
-    keys, owner = [], []
+    next_band = np.arange(len(rows)) >= len(own)
+    keys, owner, beyond = [], [], []
     # the next band's top follows from the same rule, also above the largest size here
     tops = band_tops(int(tops[-1]) + 1)
     for draw in range(DRAWS):
@@ -113,10 +124,11 @@ def word_keys(found: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         label = B.mixed((bands[of].astype(np.uint64) * np.uint64(DRAWS) + np.uint64(draw)) * B.MULTIPLIER + place)
         keys.append(B.mixed(table * B.MULTIPLIER ^ label)[kept])
         owner.append(rows[of[kept]])
-        rows, bands = rows[poor], bands[poor]
+        beyond.append(next_band[of[kept]])
+        rows, bands, next_band = rows[poor], bands[poor], next_band[poor]
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate(keys), np.concatenate(owner)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    return np.concatenate(keys), np.concatenate(owner), np.concatenate(beyond)
 
 
 def folding_sketches(found: np.ndarray, offsets: np.ndarray, bits_each: float) -> tuple[np.ndarray, np.ndarray]:
@@ -160,7 +172,7 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-_ROWS = "doc_id long, mark long, n_shingles long, digest binary, name long, coarse binary, fine binary, keys array<long>"
+_ROWS = "doc_id long, mark long, n_shingles long, digest binary, name long, coarse binary, fine binary, keys array<long>, n_own int"
 #: Classes that a task remembers, to give the sketches and words of copies once.
 REMEMBERED = 1 << 18
 
@@ -172,7 +184,8 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found, offsets = shingles(content, bounds, WIDTH)
             sizes = np.diff(offsets)
             digest = np.stack([_sums(B.mixed(found ^ salt), offsets) for salt in DIGEST_SALTS], axis=1)
-            name = B.mixed(digest[:, 0] * B.MULTIPLIER ^ digest[:, 1])
+            name = B.mixed(digest[:, 0] * B.MULTIPLIER ^ digest[:, 1]) >> np.uint64(NAME_BITS) << np.uint64(NAME_BITS)
+            name |= size_codes(sizes) << _ONE
             held = [d.tobytes() for d in digest]
             ids = batch.column("doc_id").slice(row, len(sizes))
             first = np.zeros(len(sizes), bool)
@@ -182,10 +195,10 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     seen.add(held[k])
             if len(seen) > REMEMBERED:
                 seen.clear()
-            keys, owner = word_keys(found, offsets)
+            keys, owner, beyond = word_keys(found, offsets)
             used = first[owner]
-            keys, owner = keys[used], owner[used]
-            order = np.argsort(owner, kind="stable")
+            keys, owner, beyond = keys[used], owner[used], beyond[used]
+            order = np.lexsort((beyond, owner))
             ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(sizes)))))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -197,8 +210,9 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     _binaries(*folding_sketches(found, offsets, COARSE), first),
                     _binaries(*folding_sketches(found, offsets, FINE), first),
                     pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(keys[order].view(np.int64))),
+                    pa.array(np.bincount(owner[~beyond], minlength=len(sizes)).astype(np.int32)),
                 ],
-                names=["doc_id", "mark", "n_shingles", "digest", "name", "coarse", "fine", "keys"],
+                names=["doc_id", "mark", "n_shingles", "digest", "name", "coarse", "fine", "keys", "n_own"],
             )
 
 
@@ -286,31 +300,49 @@ class _Linker:
         return pairs.join(left, "a").join(right, "b").where("ca <> cb")
 
 
+def _base(name: str) -> Column:
+    """A name without the bit of the band."""
+    return F.col(name).bitwiseAND(F.lit(~1))
+
+
 def _members(rows: DataFrame) -> DataFrame:
-    """key, name, low, high and size of the group for every word that several classes share.
+    """key, name, hub, owns and n for every word that several classes share.
 
-    Words that a great part of the classes share are found in a sample of the classes,
-    one per shuffle partition at most, and their groups cut into parts by name.
+    ``hub`` is the smallest name of the word's own band, ``owns`` counts the rows of that band, ``n`` all. Words that
+    a great part of the classes share are found in a sample of the classes, one per shuffle partition at
+    most, and their groups cut into parts by name (``hot``).
     """
-    keys = rows.where(F.size("keys") > 0).select(F.explode("keys").alias("key"), "name")
-    sample = rows.where((F.size("keys") > 0) & (F.pmod("name", F.lit(SAMPLED)) == 0)).select(F.explode("keys").alias("key"))
+    at = rows.where(F.size("keys") > 0).select(F.posexplode("keys").alias("at", "key"), "name", "n_own")
+    keys = at.select("key", F.col("name").bitwiseOR((F.col("at") >= F.col("n_own")).cast("long")).alias("name"))
+    sample = keys.where(F.pmod(F.shiftright("name", NAME_BITS), F.lit(SAMPLED)) == 0)
     counts = sample.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HOT)
     hot = counts.orderBy(F.desc("n")).limit(shuffle_partitions(rows.sparkSession)).select("key", F.lit(True).alias("hot"))
     part = F.when(F.col("hot"), F.pmod(F.xxhash64("name"), F.lit(PARTS))).otherwise(F.lit(0)).cast("short")
     dealt = keys.join(F.broadcast(hot), "key", "left").select("key", "name", part.alias("part"), F.coalesce("hot", F.lit(False)).alias("hot"))
     group = Window.partitionBy("key", "part")
-    ends = dealt.select("*", F.min("name").over(group).alias("low"), F.max("name").over(group).alias("high"), F.count(F.lit(1)).over(group).alias("n"))
-    return ends.where("hot OR low <> high")
+    own = F.when(F.col("name").bitwiseAND(F.lit(1)) == 0, F.col("name"))
+    counted = dealt.select(
+        "key", "name", "hot", F.min(own).over(group).alias("least"), F.count(own).over(group).cast("int").alias("owns"),
+        F.count(F.lit(1)).over(group).cast("int").alias("n"),
+        F.min(_base("name")).over(group).alias("low"), F.max(_base("name")).over(group).alias("high"),
+    )
+    hub = F.coalesce("least", F.when(F.col("hot"), F.col("low"))).alias("hub")
+    return counted.where("hot OR low <> high AND least IS NOT NULL").select("key", "name", hub, "owns", "n", "hot")
+
+
+def _sizes_fit(x: Column, y: Column) -> Column:
+    """By the codes in the names; lets too many through, never too few."""
+    code = lambda name: F.shiftright(name, 1).bitwiseAND(F.lit((1 << (NAME_BITS - 1)) - 1))
+    return F.abs(code(x) - code(y)) <= CODES_APART
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
-    """Every member beside the smallest and the largest name of its group; parts of a group beside each other's."""
-    hubs = F.explode(F.array("low", "high")).alias("other")
-    met = members.select("name", hubs)
-    heads = members.where("hot").select("key", F.col("low").alias("name")).distinct()
+    """Every member beside the hub of its group; parts of a group beside each other's hubs."""
+    met = members.select(_base("name").alias("name"), F.col("hub").alias("other"))
+    heads = members.where("hot").select("key", F.col("hub").alias("name")).distinct()
     head = heads.groupBy("key").agg(F.min("name").alias("other"))
     both = met.union(heads.join(head, "key").select("name", "other"))
-    return both.where("name <> other").select(
+    return both.where((F.col("name") != F.col("other")) & _sizes_fit(F.col("name"), F.col("other"))).select(
         F.least("name", "other").alias("x"), F.greatest("name", "other").alias("y")
     ).distinct()
 
@@ -328,13 +360,44 @@ def _passed(pairs: DataFrame, classes: DataFrame, sketch: str) -> DataFrame:
     return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "far")
 
 
-def _tiles(members: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members of the groups with several components, dealt to tiles (key, i, j).
+_WIDE = ["key", "i", "j", "side", "class_id", "component", "outside", "upper", "n_shingles", "sketch"]
+_FOUND = "a long, b long, far double, key long, more boolean"
+
+
+def _known(classes: DataFrame, groups: DataFrame, sketch: str) -> DataFrame:
+    return classes.select("name", "class_id", "n_shingles", F.col(sketch).alias("sketch")).join(groups, "class_id")
+
+
+def _rest(members: DataFrame, groups: DataFrame, classes: DataFrame, sketch: str, every: bool) -> DataFrame:
+    """Pairs of the groups with several components that pass the bound: all, or the nearest partner of each.
+
+    ``more`` tells that a group has pairs which were left out.
+    """
+    known = _known(classes, groups, sketch)
+    upper = (F.col("name").bitwiseAND(F.lit(1)) == 1).alias("upper")
+    open_groups = members.where("hot OR owns > 1 AND n > 2").select("key", "n", "hot", _base("name").alias("name"), upper)
+    small = open_groups.where((F.col("n") <= TILE) & ~F.col("hot")).join(known, "name")
+    one_tile = small.select(
+        "key", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "class_id", "component",
+        F.lit(True).alias("outside"), "upper", "n_shingles", "sketch",
+    )
+    large = open_groups.where((F.col("n") > TILE) | F.col("hot")).join(known.drop("sketch", "n_shingles"), "name")
+    tiled = _tiles(large).join(classes.select("class_id", "n_shingles", F.col(sketch).alias("sketch")), "class_id").select(*_WIDE)
+    order = _WIDE[:4]
+    dealt = one_tile.unionByName(tiled).repartition(*order[:3]).sortWithinPartitions(*order)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _tile_pairs(batches, every)
+
+    return dealt.mapInArrow(pairs, _FOUND)
 
-    Side 0 holds a slice of the classes outside the group's largest component, side 1 a slice of all.
+
+def _tiles(large: DataFrame) -> DataFrame:
+    """Members of large groups with several components, dealt to tiles (key, i, j).
+
+    Side 1 holds a slice of the classes outside the group's largest component, side 2 a slice of all.
     """
-    larger = members.where("hot OR n > 3").select("key", "name")
-    placed = larger.join(classes.select("name", "class_id"), "name").join(groups, "class_id").select("key", "class_id", "component").distinct()
+    placed = large.groupBy("key", "class_id", "component").agg(F.min("upper").alias("upper"))
     parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
     slices = lambda n: F.greatest(F.ceil(n / F.lit(TILE)), F.lit(1)).cast("int")
     split = (
@@ -343,19 +406,16 @@ def _tiles(members: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFra
         .where("parts > 1")
         .select("key", F.col("main.component").alias("main"), slices(F.col("n") - F.col("main.n")).alias("rows"), slices(F.col("n")).alias("columns"))
     )
-    dealt = placed.join(split, "key")
     slot = F.xxhash64(F.lit("tile"), "class_id")
+    dealt = placed.join(split, "key").withColumn("outside", F.col("component") != F.col("main"))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    outside = F.col("component") != F.col("main")
-    few = dealt.where(outside).select("key", F.pmod(slot, "rows").cast("int").alias("i"), every("columns").alias("j"), F.lit(0).alias("side"), "class_id", "component", outside.alias("outside"))
-    many = dealt.select("key", every("rows").alias("i"), F.pmod(slot, "columns").cast("int").alias("j"), F.lit(1).alias("side"), "class_id", "component", outside.alias("outside"))
-    return few.unionByName(many).join(classes.select("class_id", "n_shingles", F.col("fine").alias("sketch")), "class_id")
-
+    same = ["class_id", "component", "outside", "upper"]
+    few = dealt.where("outside").select("key", F.pmod(slot, "rows").cast("int").alias("i"), every("columns").alias("j"), F.lit(1).alias("side"), *same)
+    many = dealt.select("key", every("rows").alias("i"), F.pmod(slot, "columns").cast("int").alias("j"), F.lit(2).alias("side"), *same)
+    return few.unionByName(many)
 
-_TILE_ORDER = ["key", "i", "j", "side"]
 
-
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tile_pairs(batches: Iterator[pa.RecordBatch], every: bool) -> Iterator[pa.RecordBatch]:
     """Pairs across components that pass the bound, from rows sorted by tile; a tile may span batches."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -365,48 +425,70 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(held).combine_chunks()
         change = _tile_starts(whole)
         if len(change) > 1:
-            yield from _pairs_of(whole.slice(0, change[-1]), change[:-1])
+            yield from _pairs_of(whole.slice(0, change[-1]), change[:-1], every)
             held = whole.slice(change[-1]).to_batches()
     if held:
         whole = pa.Table.from_batches(held).combine_chunks()
-        yield from _pairs_of(whole, _tile_starts(whole))
+        yield from _pairs_of(whole, _tile_starts(whole), every)
 
 
 def _tile_starts(whole: pa.Table) -> np.ndarray:
-    key, i, j = (whole.column(c).to_numpy() for c in _TILE_ORDER[:3])
+    key, i, j = (whole.column(c).to_numpy() for c in _WIDE[:3])
     return np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1]))))
 
 
-def _pairs_of(whole: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    side, ids, component, size, outside = (whole.column(c).to_numpy() for c in ("side", "class_id", "component", "n_shingles", "outside"))
-    sketch = whole.column("sketch").to_pylist()
-    length = np.array([len(x) for x in sketch], np.int64)
+def _pairs_of(whole: pa.Table, starts: np.ndarray, every: bool) -> Iterator[pa.RecordBatch]:
+    """A small group is one tile of rows on side 0, which meet the rows behind them; side 1 meets side 2."""
+    side, ids, component, size, outside, upper, key = (
+        whole.column(c).to_numpy() for c in ("side", "class_id", "component", "n_shingles", "outside", "upper", "key")
+    )
     ends = np.append(starts[1:], len(ids))
     tile = np.repeat(np.arange(len(starts)), ends - starts)
-    firsts = starts + np.bincount(tile[side == 0], minlength=len(starts))  # where side 1 begins
-    rows = np.flatnonzero(side == 0)
-    partners = (ends - firsts)[tile[rows]]
-    block = np.cumsum(partners) // PAIRS
-    for part in np.split(rows, np.flatnonzero(np.diff(block)) + 1) if len(rows) else []:
-        count = (ends - firsts)[tile[part]]
-        left = np.repeat(part, count)
-        right = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - firsts[tile[part]], count)
-        meet = (component[left] != component[right]) & (~outside[right] | (ids[left] < ids[right]))
+    second = starts + np.bincount(tile[side == 1], minlength=len(starts))
+    mixed = np.maximum.reduceat(component, starts) != np.minimum.reduceat(component, starts)
+    rows = np.flatnonzero((side < 2) & mixed[tile])
+    begin = np.where(side[rows] == 0, rows + 1, second[tile[rows]])
+    count = ends[tile[rows]] - begin
+    sketch = length = None
+    for part in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(np.cumsum(count) // PAIRS)) + 1) if len(rows) else []:
+        n = count[part]
+        left = np.repeat(rows[part], n)
+        right = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - begin[part], n)
+        # two classes outside the largest component meet in two tiles; two of the next band meet in their own
+        meet = (component[left] != component[right]) & ~(upper[left] & upper[right])
+        meet &= (side[left] == 0) | ~outside[right] | (ids[left] < ids[right])
         meet &= np.minimum(size[left], size[right]) * SIMILAR[1] >= np.maximum(size[left], size[right]) * SIMILAR[0]
         left, right = left[meet], right[meet]
         if not len(left):
             continue
-        pair = np.unique(np.stack((np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right]))), axis=1, return_index=True)[1]
-        left, right = left[pair], right[pair]
+        if sketch is None:
+            sketch = whole.column("sketch").to_pylist()
+            length = np.array([len(x) for x in sketch], np.int64)
+        near, far = [], []
         for at in range(0, len(left), 1 << 14):
             a, b = left[at : at + (1 << 14)], right[at : at + (1 << 14)]
-            far = distances([sketch[k] for k in a], [sketch[k] for k in b], length[a], length[b])
-            both = size[a] + size[b]
-            keep = far <= apart_at_most(both)
-            a, b = a[keep], b[keep]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b])), pa.array(far[keep] / both[keep])], names=["a", "b", "far"]
-            )
+            d = distances([sketch[k] for k in a], [sketch[k] for k in b], length[a], length[b])
+            keep = np.flatnonzero(d <= apart_at_most(size[a] + size[b]))
+            near.append(keep + at)
+            far.append(d[keep] / (size[a[keep]] + size[b[keep]]))
+        passed = np.concatenate(near)
+        left, right, far = left[passed], right[passed], np.concatenate(far)
+        more = np.zeros(len(left), bool)
+        if not every and len(left):
+            kept = np.unique(np.concatenate((_nearest(left, far), _nearest(right, far))))
+            lost = np.bincount(tile[left], minlength=len(starts)) > np.bincount(tile[left[kept]], minlength=len(starts))
+            left, right, far = left[kept], right[kept], far[kept]
+            more = lost[tile[left]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(ids[left], ids[right])), pa.array(np.maximum(ids[left], ids[right])), pa.array(far), pa.array(key[left]), pa.array(more)],
+            names=["a", "b", "far", "key", "more"],
+        )
+
+
+def _nearest(end: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Position of the nearest pair of each row."""
+    order = np.lexsort((far, end))
+    return order[np.concatenate(([True], end[order][1:] != end[order][:-1]))]
 
 
 def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -437,10 +519,11 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     linker = _Linker(marked.withColumnRenamed("doc_id", "class_id").select("class_id", "text", "mark"), classes)
     members = settled(_members(rows), "parity-members")
     linker.try_pairs(_passed(_first_pairs(members), classes, "coarse"), "first", nearest_first=True)
-    tiles = _tiles(members, linker.groups, classes).repartition(*_TILE_ORDER[:3]).sortWithinPartitions(*_TILE_ORDER)
-    wide = tiles.select(*_TILE_ORDER, "class_id", "component", "outside", "n_shingles", "sketch")
-    rest = wide.mapInArrow(_tile_pairs, "a long, b long, far double").distinct()
-    linker.try_pairs(rest, "rest", nearest_first=False)
+    found = settled(_rest(members, linker.groups, classes, "coarse", every=False), "parity-nearest")
+    linker.try_pairs(found.select("a", "b", "far").distinct(), "nearest", nearest_first=False)
+    unfinished = members.join(found.where("more").select("key").distinct(), "key", "left_semi")
+    rest = _rest(unfinished, linker.groups, classes, "fine", every=True)
+    linker.try_pairs(rest.select("a", "b", "far").distinct(), "rest", nearest_first=False)
     named = classes.select(*kind, "class_id").join(linker.groups, "class_id").drop("class_id")
     spread = usable.select(*kind, "run").distinct().join(named, kind)
     grouped = rows.select("doc_id", *kind, "run").join(spread, [*kind, "run"], "left")
