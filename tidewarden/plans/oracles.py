@@ -389,6 +389,9 @@ def oracle_sql() -> dict[str, str]:
         "event_matches": f"""WITH {_tel()}
             SELECT id, source, type, ts FROM tel
             WHERE source = 'svc-0' AND k BETWEEN 70 AND 79""",
+        "indexed_search": f"""WITH {_tel()}
+            SELECT id, source, type, ts FROM tel
+            WHERE source = 'svc-0' AND k BETWEEN 70 AND 79""",
         "conversation_search": """
             SELECT concat_ws('-', 'turn', conv_id, turn) AS id, role AS source
             FROM conversations WHERE text LIKE '%the%a%'""",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import alert_stats, alerts, correlate, detect, insights, normalize, rollup, rules, search
 from ..operators import rule_table as rule_tables
 from ..schemas import METRIC_POINT
-from ..sources import compaction, requests, sensors, store, wire
+from ..sources import compaction, requests, sensors, store, text_index, wire
 from ..session import fresh_folder
 from ..streaming import streams, windows
 from .streams_over_tables import events_stream
@@ -378,6 +378,20 @@ def event_matches(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("id", "source", "type", "ts")
 
 
+@_query
+def indexed_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows from a store, through its text index; one batch comes after the indexing."""
+    root = fresh_folder(spark, "indexed")
+    events = telemetry(spark, folder)
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    late = F.pmod(F.xxhash64("id"), F.lit(3)) == 0
+    store.write_batch(events.where(~late), root, 0, _at(STORE_AS_OF))
+    text_index.update_index(spark, root)
+    store.write_batch(events.where(late), root, 1, _at(STORE_AS_OF))
+    found = text_index.indexed_matches(spark, root, 'k":"7_"', source="svc-0")
+    return found.select("id", "source", "type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
 @_query
 def conversation_search(spark: SparkSession, folder: str) -> DataFrame:
     """Whole conversation texts as log payloads, searched case-sensitively."""

@@ -60,6 +60,11 @@ def _rewritten(spark: SparkSession, table: str, schema: T.StructType) -> DataFra
     return read_or_empty(spark, f"{table}-compacted", T.StructType([*schema.fields, _BATCH, _VERSION, _DAY]))
 
 
+def stored_parts(spark: SparkSession, table: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Batches and rewritten days, all of them."""
+    return _raw(spark, table, schema), _rewritten(spark, table, schema)
+
+
 def stored_rows(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
     """All stored copies of a table's rows, with ``event_date`` and ``batch``."""
     known = manifest(spark, table)
