@@ -366,6 +366,8 @@ def oracle_sql() -> dict[str, str]:
         "metric_rollup_hourly": _rollup("1 hour"),
         "metric_rollup_daily": _rollup("1 day"),
         "metric_rollup_weekly": _rollup("7 days"),
+        "rollup_from_minutes": f"""SELECT bucket, service, metric_name, avg, min, max, cnt,
+                   true AS p95_near, true AS p99_near FROM ({_rollup('7 days')})""",
         "metric_rollup_monthly": _rollup("1 month"),
         "metric_rollup_large_groups": _rollup("7 days"),
         "metric_rollup_orders": """

@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import alert_stats, alerts, correlate, detect, insights, normalize, rollup, rules, search
+from ..functions.buckets import bucket_start
+from ..operators import alert_stats, alerts, correlate, detect, insights, minutes, normalize, rollup, rules, search
 from ..operators import rule_table as rule_tables
 from ..schemas import METRIC_POINT
 from ..sources import compaction, requests, sensors, store, text_index, wire
@@ -353,6 +354,25 @@ def metric_rollup_orders(spark: SparkSession, folder: str) -> DataFrame:
     return _rollup_view(rollup.metric_rollup(points, "1 month"))
 
 
+@_query
+def rollup_from_minutes(spark: SparkSession, folder: str) -> DataFrame:
+    """Weekly rollup from rows per minute; of the percentiles it is compared whether their rank is
+    within the stated error."""
+    points = _points(spark, folder)
+    made = minutes.merged_rollup(minutes.base_rows(points), "7 days")
+    week = bucket_start(F.col("time"), "7 days").cast("timestamp_ntz").alias("bucket")
+    values = points.select(week, "service", "metric_name", "value")
+    keys = ["bucket", "service", "metric_name"]
+    below = lambda p: (F.sum((F.col("value") < F.col(p)).cast("long")) / F.count(F.lit(1)))
+    upto = lambda p: (F.sum((F.col("value") <= F.col(p)).cast("long")) / F.count(F.lit(1)))
+    near = [
+        ((below(p) <= share + F.max("rank_error")) & (upto(p) >= share - F.max("rank_error"))).alias(f"{p}_near")
+        for p, share in (("p95", 0.95), ("p99", 0.99))
+    ]
+    checked = values.join(made.select(*keys, "p95", "p99", "rank_error"), keys).groupBy(*keys).agg(*near)
+    return made.join(checked, keys).select(*keys, _round("avg"), "min", "max", "cnt", "p95_near", "p99_near")
+
+
 @_query
 def metric_rollup_latest(spark: SparkSession, folder: str) -> DataFrame:
     rows = rollup.latest_rollup(
