@@ -510,6 +510,16 @@ def oracle_sql() -> dict[str, str]:
                UNION ALL SELECT 'x' || id, 'ACK', detected_at, NULL, 'not found', 1 FROM alerts""",
             _STATUS_STEPS,
         ),
+        "stream_alert_status": _alert_query(
+            """SELECT id AS alert_id, ask1 AS new_status, at1 AS at, status AS old_status,
+                      CASE WHEN ok1 THEN 'accepted' ELSE 'rejected' END AS outcome,
+                      1::BIGINT AS copies FROM steps
+               UNION ALL
+               SELECT id, ask2, at2, status1, CASE WHEN ok2 THEN 'accepted' ELSE 'rejected' END, 1
+               FROM steps
+               UNION ALL SELECT 'x' || id, 'ACK', detected_at, NULL, 'not found', 1 FROM alerts""",
+            _STATUS_STEPS,
+        ),
         "alerts_open_by_severity": _alert_query(
             "SELECT severity, count(*) AS count FROM alerts WHERE status = 'OPEN' GROUP BY severity"
         ),

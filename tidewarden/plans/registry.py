@@ -16,7 +16,7 @@ from ..operators import rule_table as rule_tables
 from ..schemas import METRIC_POINT
 from ..sources import compaction, requests, sensors, store, text_index, wire
 from ..session import fresh_folder
-from ..streaming import streams, windows
+from ..streaming import status, streams, windows
 from .streams_over_tables import events_stream
 from .views import k_of_props, log_level, table, telemetry, telemetry_of
 
@@ -910,8 +910,8 @@ def alert_list_hour(spark: SparkSession, folder: str) -> DataFrame:
     return _listed(alerts.alerts_of_hour(alert_table(spark, folder), "2024-01-10 10:00:00"))
 
 
-def _status_updates(rows: DataFrame) -> DataFrame:
-    """Two requests per alert, and one request for an alert nobody has."""
+def _status_requests(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two requests per alert, and with the first ones a request for an alert nobody has."""
     turn = F.ascii(F.substring("id", 2, 1)) % 4
     wanted = F.when(turn == 0, "ACK").when(turn == 1, "RESOLVED").when(turn == 2, "OPEN").otherwise("ACK")
     first = rows.select(
@@ -927,7 +927,12 @@ def _status_updates(rows: DataFrame) -> DataFrame:
         F.concat(F.lit("x"), F.col("id")).alias("alert_id"), F.lit("ACK").alias("new_status"),
         F.col("detected_at").alias("at"),
     )
-    return first.unionByName(second).unionByName(unknown)
+    return first.unionByName(unknown), second
+
+
+def _status_updates(rows: DataFrame) -> DataFrame:
+    first, second = _status_requests(rows)
+    return first.unionByName(second)
 
 
 @_query
@@ -1060,3 +1065,28 @@ def stream_alert_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "id", "title", "severity", "source",
         F.col("detected_at").cast("timestamp_ntz").alias("detected_at"),
     )
+
+
+@_query
+def stream_alert_status(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts and their requests as streams; the second requests come with a later micro-batch."""
+    home = fresh_folder(spark, "status")
+    at = F.col("at").cast("timestamp")
+    rows = alert_table(spark, folder).withColumn("detected_at", F.col("detected_at").cast("timestamp"))
+    rows.coalesce(1).write.parquet(f"{home}/alerts")
+    stored = spark.read.parquet(f"{home}/alerts")
+    for requests_of_turn in _status_requests(stored):
+        requests_of_turn.withColumn("at", at).coalesce(1).write.mode("append").parquet(f"{home}/requests")
+
+    def stream(name: str) -> DataFrame:
+        path = f"{home}/{name}"
+        return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    query = status.status_state_stream(
+        stream("alerts"), stream("requests"), f"{home}/judged", f"{home}/checkpoint", available_now=True
+    )
+    query.awaitTermination()
+    judged = spark.read.parquet(f"{home}/judged")
+    return judged.select(
+        "alert_id", "new_status", F.col("at").cast("timestamp_ntz").alias("at"), "old_status", "outcome", "copies"
+    )
