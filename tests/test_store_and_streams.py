@@ -82,6 +82,22 @@ def test_a_batch_reads_only_its_alert_buckets(spark, tmp_path):
     assert streams.stored_alerts(spark, root).count() == 200
 
 
+def test_a_retried_batch_gives_alerts_without_an_anomaly_the_same_ids(spark, tmp_path):
+    """Also when the retry is partitioned otherwise: nothing is stored twice."""
+    made = spark.range(40).select(
+        F.lit(" ").alias("anomaly_id"), F.concat(F.lit("i"), F.col("id") % 8).alias("id"), F.lit("WARNING").alias("severity"),
+        F.lit("t").alias("incident_classification"), F.lit("i").alias("interpretation"),
+        F.array(F.lit("r")).alias("recommendations"), F.lit(T0).alias("analyzed_at"),
+        F.create_map(F.lit("service"), F.lit("s")).alias("metadata"),
+    )
+    root, found = str(tmp_path / "alerts"), []
+    for parts in (1, 7, 3):
+        streams.write_alert_batch(made.repartition(parts), 4, root)
+        found.append({r.id for r in streams.stored_alerts(spark, root).collect()})
+    assert len(found[0]) == 40 and found[0] == found[1] == found[2]
+    assert streams.stored_alerts(spark, root).count() == 40
+
+
 def _feed(spark, frame, folder):
     """Write a frame as one new input file of a stream folder."""
     frame.coalesce(1).write.mode("append").parquet(str(folder))

@@ -55,8 +55,9 @@ def alert_candidates(insights: DataFrame) -> DataFrame:
 def first_per_anomaly(candidates: DataFrame) -> DataFrame:
     """Keep the earliest alert per anomaly id; blank ids are never merged.
 
-    Rows with a blank id pass through without a shuffle. Each gets an id of its own,
-    also when one insight came twice; reading the same files again gives the same ids.
+    Each row with a blank id gets an id of its own, also when one insight came twice: from
+    its content and its number among equal rows, so a retry gives the same ids
+    however the rows are partitioned.
     """
     identified = has_text("anomaly_id")
     others = [c for c in ALERT_COLUMNS if c != "anomaly_id"]
@@ -68,8 +69,10 @@ def first_per_anomaly(candidates: DataFrame) -> DataFrame:
         .select("anomaly_id", "first.*")
         .select(*ALERT_COLUMNS)
     )
-    own_id = stable_id(F.col("id"), F.monotonically_increasing_id())
-    blank = candidates.where(~identified).withColumn("id", own_id)
+    equal = candidates.where(~identified).groupBy(*ALERT_COLUMNS).agg(F.count(F.lit(1)).alias("_copies"))
+    numbered = equal.withColumn("_number", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    own_id = stable_id(*[F.col(c) for c in ALERT_COLUMNS], F.col("_number"))
+    blank = numbered.withColumn("id", own_id)
     return first.unionByName(blank.select(*ALERT_COLUMNS))
 
 

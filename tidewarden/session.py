@@ -30,21 +30,25 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_private: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing a local master gets a private folder; a
-    cluster must name one, because a machine-local folder would be lost with
-    its machine.
+    Where the setting is missing a local master, whose tasks all run in this process, gets
+    a private folder per application; a cluster must name one, because a machine-local
+    folder would be lost with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tidewarden-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _private:
+        _private[context.applicationId] = tempfile.mkdtemp(prefix="tidewarden-")
+    return _private[context.applicationId]
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
