@@ -51,6 +51,8 @@ TILE = 1024
 TILE_SHINGLES = 1 << 20
 CROWD = 32
 RUNS = 64
+#: Text looked at in one go; scans take some fifty bytes of memory for each.
+SLICE_BYTES = 1 << 19
 DIGEST_SALTS = (np.uint64(0x5BD1E995D1B54A32), np.uint64(0xC2B2AE3D27D4EB4F))
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -139,7 +141,7 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, content, bounds in B.slices(batch.column("text")):
+        for row, content, bounds in B.slices(batch.column("text"), SLICE_BYTES):
             found, offsets = shingles(content, bounds)
             sketch = registers(found, offsets)
             keys, used = band_keys(sketch)
@@ -161,7 +163,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row, content, bounds in B.slices(batch.column("text")):
+        for row, content, bounds in B.slices(batch.column("text"), SLICE_BYTES):
             found, offsets = shingles(content, bounds)
             yield pa.RecordBatch.from_arrays(
                 [
