@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import fresh_folder
+from ..session import written_once
 
 #: Generated row numbers hold the partition above these bits.
 _PLACE_BITS = 33
@@ -23,7 +23,6 @@ def with_positions(rows: DataFrame, keys: list[str], order: list[Column | str],
 
     Rows equal in keys and order share a task and come in any order; reduce them to counts before.
     """
-    spark = rows.sparkSession
     names = [f"_by{i}" for i in range(len(order))]
     given = rows.withColumns({n: F.col(o) if isinstance(o, str) else o for n, o in zip(names, order, strict=True)})
     by = [*keys, *names]
@@ -32,9 +31,7 @@ def with_positions(rows: DataFrame, keys: list[str], order: list[Column | str],
     numbered = ranged.sortWithinPartitions(*by).drop(*names).withColumns(
         {"_part": F.shiftright(number, _PLACE_BITS), "_place": number.bitwiseAND((1 << _PLACE_BITS) - 1)}
     )
-    folder = fresh_folder(spark, "positions")
-    numbered.write.parquet(folder)
-    placed = spark.read.schema(numbered.schema).parquet(folder)
+    placed = written_once(numbered, "positions")
     parts = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     # a group has one row here for each partition that it reaches into

@@ -17,6 +17,7 @@ from ..functions.buckets import window_bounds
 from ..functions.positions import with_positions
 from ..functions.skew import join_groups
 from ..functions.text import has_text, json_object
+from ..session import written_once
 
 KEYS = ["window_start", "window_end", "correlation_id"]
 METRIC_GROUP = ["window_start", "window_end", "source", "metric"]
@@ -165,7 +166,7 @@ def context_counts(links: DataFrame, events: DataFrame, bucket: str) -> DataFram
     window = ["window_start", "window_end"]
     wanted = links.select(*KEYS).distinct()
     linked = with_window(events, bucket).join(wanted, KEYS, "left_semi")
-    pairs = linked.groupBy(*KEYS, "source", "id").agg(F.count(F.lit(1)).alias("_n"))
+    pairs = written_once(linked.groupBy(*KEYS, "source", "id").agg(F.count(F.lit(1)).alias("_n")), "linked-pairs")
     homes = pairs.where(F.col("id").isNotNull()).groupBy(*window, "id").agg(
         F.count_distinct("correlation_id").alias("homes"), F.min("correlation_id").alias("home")
     )
@@ -198,15 +199,14 @@ def context_services(links: DataFrame, services: DataFrame) -> DataFrame:
     return links.join(named.distinct(), KEYS).select(*METRIC_GROUP, "service").distinct()
 
 
-def attach_context(
-    hits: DataFrame, firing: DataFrame, samples: DataFrame, events: DataFrame, bucket: str
-) -> DataFrame:
+def attach_context(hits: DataFrame, links: DataFrame, events: DataFrame, bucket: str) -> DataFrame:
     """Extend the details of enriched hits with the group-wide counts of ids and services.
 
+    ``links`` are the rows of :func:`context_links` for the hits' metric groups.
     The ids and services themselves are the rows of :func:`context_links`,
     :func:`correlation_members` and :func:`context_services`.
     """
-    counts = context_counts(context_links(firing, samples), events, bucket)
+    counts = context_counts(links, events, bucket)
     sizes = hits.groupBy("window_start", "window_end", "service", "metric").agg(F.count(F.lit(1)).alias("_hits"))
     keys = ["window_start", "window_end", "service", "metric"]
     wide = sizes.join(

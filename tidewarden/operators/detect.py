@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions import payload as P
 from ..functions.buckets import window_bounds
+from ..functions.exact_sums import exact_sums
 from ..functions.skew import join_groups
 from ..functions.text import json_object, never_null, stable_id, without_id
 from ..schemas import CRITICAL, METRIC, WARNING
+from ..session import written_once
 from .correlate import attach_context, correlated
 
 # Detector thresholds.
@@ -24,6 +26,8 @@ Z_THRESHOLD = 3.0
 Z_CRITICAL = 5.0
 MIN_STDDEV = 0.001
 DEFAULT_WINDOW = "1 minute"
+#: How much a statistic may change with the order of summation, far more than it does.
+SLACK = 1e-6
 
 GROUP = ["window_start", "window_end", "source", "metric"]
 
@@ -98,8 +102,23 @@ def firing_groups(
     return window_stats(samples).where(can_fire(threshold, min_samples, min_stddev)).select(*GROUP)
 
 
+def firing_rows(
+    samples: DataFrame,
+    threshold: float = Z_THRESHOLD,
+    min_samples: int = MIN_SAMPLES,
+    min_stddev: float = MIN_STDDEV,
+) -> DataFrame:
+    """All samples, numeric or not, of the groups that hold a hit, with the statistics of their group."""
+    firing = can_fire(threshold, min_samples, min_stddev)
+    return join_groups(samples, window_stats(samples), GROUP, "events", ["event_id", "ts"], keep=firing)
+
+
 def _thresholds(options: dict) -> dict:
-    return {k: v for k, v in options.items() if k in ("threshold", "min_samples", "min_stddev")}
+    found = {k: v for k, v in options.items() if k in ("threshold", "min_samples", "min_stddev")}
+    if options.get("strategy") == "exact":  # a superset: what lies at a threshold is decided later
+        found["threshold"] = found.get("threshold", Z_THRESHOLD) * (1 - SLACK)
+        found["min_stddev"] = found.get("min_stddev", MIN_STDDEV) * (1 - SLACK)
+    return found
 
 
 def describe(z: Column) -> Column:
@@ -134,6 +153,39 @@ def hits_of(scored: DataFrame, detector: str, threshold: float, critical: float)
     )
 
 
+def exact_hits(
+    samples: DataFrame,
+    detector: str,
+    threshold: float = Z_THRESHOLD,
+    critical: float = Z_CRITICAL,
+    min_samples: int = MIN_SAMPLES,
+    min_stddev: float = MIN_STDDEV,
+) -> DataFrame:
+    """:func:`zscore_hits` with statistics that are the same, bit by bit, for every partitioning.
+
+    The usual statistics, with some slack, tell which groups may hold a hit. Only the samples of those are
+    written and gone through twice more: once for the mean, from an exact sum, and
+    once for the deviation from that mean. Where no hit lies at a threshold both forms agree.
+    """
+    stats = window_stats(samples)
+    likely = can_fire(threshold * (1 - SLACK), min_samples, min_stddev * (1 - SLACK))
+    numeric = samples.where(F.col("value").isNotNull())
+    some = join_groups(numeric, stats.select(*GROUP, "events", "samples", "stddev", "mean", "low", "high"), GROUP, "events", ["event_id", "ts"], keep=likely)
+    rows = written_once(some.drop("stddev", "mean"), "likely-groups")
+    sizes = rows.groupBy(*GROUP).agg(F.max("events").alias("_n"), F.max("samples").alias("samples"))
+
+    def attached(rows: DataFrame, sums: DataFrame, name: str, made: Column) -> DataFrame:
+        groups = sizes.join(sums, GROUP).select(*GROUP, "_n", made.alias(name))
+        return join_groups(rows, groups, GROUP, "_n", ["event_id", "ts"]).drop("_n")
+
+    centred = attached(rows, exact_sums(rows, GROUP, "value", "_sum"), "mean", F.col("_sum") / F.col("samples"))
+    squares = centred.withColumn("_square", (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean")))
+    spread = exact_sums(squares, GROUP, "_square", "_sum")
+    scored = attached(centred, spread, "stddev", F.sqrt(F.col("_sum") / F.col("samples")))
+    fires = can_fire(threshold, min_samples, min_stddev)
+    return hits_of(scored.where(fires), detector, threshold, critical)
+
+
 def zscore_hits(
     samples: DataFrame,
     detector: str,
@@ -146,8 +198,10 @@ def zscore_hits(
     """Samples whose absolute z-score is strictly above the threshold.
 
     ``salted`` spreads the rows of hot groups itself; ``adaptive`` leaves the
-    join back to AQE (run-time broadcast or skew split).
+    join back to AQE (run-time broadcast or skew split); ``exact`` is :func:`exact_hits`.
     """
+    if strategy == "exact":
+        return exact_hits(samples, detector, threshold, critical, min_samples, min_stddev)
     stats = window_stats(samples)
     firing = can_fire(threshold, min_samples, min_stddev)
     numeric = samples.where(F.col("value").isNotNull())
@@ -179,11 +233,17 @@ def detect_enriched(
     leads to them as rows.
     """
     samples = windowed_samples(correlated(events), bucket)
-    hits = zscore_hits(samples, "enriched-zscore", **options)
-    if context:
-        firing = firing_groups(samples, **_thresholds(options))
-        hits = attach_context(hits, firing, samples, correlated(events), bucket)
-    return hits.select(*ANOMALY_COLUMNS)
+    if not context:
+        return zscore_hits(samples, "enriched-zscore", **options).select(*ANOMALY_COLUMNS)
+    # few rows, needed for the hits and for what they hang together with
+    firing = written_once(firing_rows(samples, **_thresholds(options)), "firing-rows")
+    if options.get("strategy") == "exact":
+        hits = zscore_hits(samples, "enriched-zscore", **options)
+    else:
+        limits = options.get("threshold", Z_THRESHOLD), options.get("critical", Z_CRITICAL)
+        hits = hits_of(firing.where(F.col("value").isNotNull()), "enriched-zscore", *limits)
+    links = firing.select(*GROUP, "correlation_id").distinct()
+    return attach_context(hits, links, correlated(events), bucket).select(*ANOMALY_COLUMNS)
 
 
 def union_anomalies(*frames: DataFrame) -> DataFrame:

@@ -222,6 +222,7 @@ def oracle_sql() -> dict[str, str]:
         "raw_zscore_daily": _zscore("1 day"),
         "raw_zscore_weekly": _zscore("7 days"),
         "raw_zscore_two_step": _zscore("1 day"),
+        "raw_zscore_exact": _zscore("1 day"),
         "stream_raw_zscore": _zscore("1 day"),
         "stream_enriched_zscore": enriched,
         "window_statistics_daily": f"""WITH {_tel()}, {_scored('1 day', False)}

@@ -74,6 +74,13 @@ def raw_zscore_two_step(spark: SparkSession, folder: str) -> DataFrame:
     return _anomaly_view(detect.detect_raw(telemetry(spark, folder), "1 day", strategy="adaptive"))
 
 
+@_query
+def raw_zscore_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores from exact sums, the events dealt to other partitions before."""
+    events = telemetry(spark, folder).repartition("subtype", "source")
+    return _anomaly_view(detect.detect_raw(events, "1 day", strategy="exact"))
+
+
 @_query
 def window_statistics_daily(spark: SparkSession, folder: str) -> DataFrame:
     stats = detect.window_stats(detect.windowed_samples(telemetry(spark, folder), "1 day"))

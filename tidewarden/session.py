@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", partitions: int = 8, app: str = "tidewarden") -> SparkSession:
@@ -54,3 +54,10 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; never reused between runs."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written_once(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back, for rows that are needed several times."""
+    folder = fresh_folder(frame.sparkSession, label)
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.search import match_events
-from ..session import fresh_folder
+from ..session import written_once
 from . import compaction, store
 from .files import read_or_empty
 
@@ -145,9 +145,7 @@ def indexed_matches(spark: SparkSession, root: str, text: str, **filters) -> Dat
     ids = hits.select("id").distinct()
     newest = every.select("id").join(ids, "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("_copies"))
     # written once: whether whole rows have to be read at all depends on it
-    folder = fresh_folder(spark, "hit-copies")
-    newest.write.parquet(folder)
-    newest = spark.read.schema(newest.schema).parquet(folder)
+    newest = written_once(newest, "hit-copies")
     last = hits.join(newest.where("_copies = 1").select("id"), "id", "left_semi")
     several = newest.where("_copies > 1").select("id")
     if several.isEmpty():
