@@ -151,11 +151,11 @@ def test_request_arrays_and_receipts(spark, tmp_path):
 def test_sensor_files(spark, tmp_path):
     (tmp_path / "termo.csv").write_text(
         "packet_id,event_time,tr_id,unit_id,sensor_id,val,status\n"
-        "123,2025-11-10T00:00:05Z,7001,7002,7003,5.0,1\n"
+        "123,2024-03-02T07:08:09Z,7001,7002,7003,5.0,1\n"
     )
     (tmp_path / "fuel.csv").write_text(
         "packet_id,event_time,sensor_id,tr_id,level_mm,level_l,temperature,switched_on\n"
-        "7,2025-11-10T00:00:06Z,9,8,100.5,50.25,20.0,true\n"
+        "7,2024-03-02T07:08:10Z,9,8,100.5,50.25,20.0,true\n"
     )
     events = sensors.sensor_events(
         sensors.read_sensor_csv(spark, str(tmp_path / "termo.csv"), "termo"),

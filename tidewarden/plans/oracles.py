@@ -268,6 +268,9 @@ def oracle_sql() -> dict[str, str]:
             placed AS (SELECT *, row_number() OVER (PARTITION BY w, source, metric ORDER BY id) - 1 AS p FROM ids)
             SELECT w AS window_start, source, metric, p // 10 AS chunk, array_to_string(list(id ORDER BY id), ',') AS ids
             FROM placed GROUP BY ALL""",
+        "split_request_arrays": """
+            SELECT 'svc-' || (user_id % 2) AS source, event_type AS type, props AS payload,
+                   'evt-' || event_id AS correlation_id, value FROM events""",
         "batch_receipt_ids": """
             SELECT user_id AS batch_id, 'evt-' || event_id AS id, count(*) AS copies
             FROM events GROUP BY ALL""",

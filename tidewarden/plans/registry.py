@@ -11,10 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import bucket_start
+from ..functions.text import json_object
 from ..operators import alert_stats, alerts, correlate, detect, insights, minutes, normalize, rollup, rules, search
 from ..operators import rule_table as rule_tables
 from ..schemas import METRIC_POINT
-from ..sources import compaction, requests, sensors, store, text_index, wire
+from ..sources import compaction, json_arrays, requests, sensors, store, text_index, wire
 from ..session import fresh_folder
 from ..streaming import status, streams, windows
 from .streams_over_tables import events_stream
@@ -650,6 +651,24 @@ def batch_receipt(spark: SparkSession, folder: str) -> DataFrame:
     return requests.batch_receipts(events).select("batch_id", "count")
 
 
+@_query
+def split_request_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as a JSON array of requests in one file, read by many tasks."""
+    home = fresh_folder(spark, "arrays")
+    events = table(spark, folder, "events")
+    body = json_object(
+        source=F.concat(F.lit("svc-"), F.col("user_id") % 2), type=F.col("event_type"), payload=F.col("props"),
+        correlationId=F.concat(F.lit("evt-"), F.col("event_id")), tags=F.create_map(F.lit("value"), F.col("value").cast("string")),
+    )
+    rows = events.select(F.col("event_id"), F.concat(body, F.lit(",")).alias("line"))
+    frame = spark.createDataFrame([(-1, "["), (2**62, "{}]")], "event_id long, line string")
+    rows.unionByName(frame).orderBy("event_id").coalesce(1).select("line").write.text(home)
+    made = json_arrays.read_large_arrays(spark, home).where("source IS NOT NULL")
+    return made.select(
+        "source", "type", "payload", F.col("correlationId").alias("correlation_id"), made["tags"]["value"].cast("double").alias("value")
+    )
+
+
 @_query
 def batch_receipt_ids(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select(
