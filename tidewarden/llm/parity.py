@@ -53,6 +53,7 @@ NAME_BITS, SIZE_STEP = 8, 1.08
 RUNS = 64
 #: One class in so many is counted to find words that a great part of the sets share.
 SAMPLED, HOT, PARTS = 16, 64, 64
+EARLY = 4
 SLICE_BYTES = 1 << 19
 _ONE = np.uint64(1)
 _SALTS = B.mixed(np.arange(1, DRAWS + 2, dtype=np.uint64) * B.MULTIPLIER)
@@ -264,22 +265,18 @@ class _Linker:
         self.docs, self.classes = docs, classes
         self.groups = classes.select("class_id").distinct().withColumn("component", F.col("class_id"))
 
-    def try_pairs(self, pairs: DataFrame, label: str, nearest_first: bool) -> None:
-        """Verify pairs (a, b, far) in different components, if wanted the nearest one of each class first."""
-        rest = settled(pairs, f"parity-{label}")
+    def verify(self, pairs: DataFrame, label: str) -> None:
+        """Verify pairs (a, b) of different components on their full sets and join what is similar."""
+        rest = settled(self._apart(pairs), f"parity-{label}-pairs")
+        if rest.isEmpty():
+            return
         ends = settled(self._texts(rest.select(F.col("a").alias("class_id")).union(rest.select("b")).distinct()), f"parity-{label}-texts")
-        steps = [rest.select("a", "b")]
-        if nearest_first:
-            both = rest.select("a", "b", "far").union(rest.select("b", "a", "far"))
-            near = both.groupBy("a").agg(F.min(F.struct("far", "b")).alias("best"))
-            steps.insert(0, near.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct())
-        for chosen in steps:
-            one = ends.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
-            other = ends.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
-            met = self._apart(chosen).join(one, "a").join(other, "b").select("ca", "cb", "text_a", "text_b")
-            new = settled(met.mapInArrow(_verified, "ca long, cb long"), f"parity-{label}-links")
-            if not new.isEmpty():
-                self._merge(new, label)
+        one = ends.select(F.col("class_id").alias("a"), F.col("text").alias("text_a"))
+        other = ends.select(F.col("class_id").alias("b"), F.col("text").alias("text_b"))
+        met = rest.join(one, "a").join(other, "b").select("ca", "cb", "text_a", "text_b")
+        new = settled(met.mapInArrow(_verified, "ca long, cb long"), f"parity-{label}-links")
+        if not new.isEmpty():
+            self._merge(new, label)
 
     def _merge(self, new: DataFrame, label: str) -> None:
         """Join the components that new links connect; only their names take part in the rounds."""
@@ -330,6 +327,10 @@ def _members(rows: DataFrame) -> DataFrame:
     return counted.where("hot OR low <> high AND least IS NOT NULL").select("key", "name", hub, "owns", "n", "hot")
 
 
+#: Groups that the hub does not complete.
+_OPEN = "hot OR owns > 1 AND n > 2"
+
+
 def _sizes_fit(x: Column, y: Column) -> Column:
     """By the codes in the names; lets too many through, never too few."""
     code = lambda name: F.shiftright(name, 1).bitwiseAND(F.lit((1 << (NAME_BITS - 1)) - 1))
@@ -337,8 +338,13 @@ def _sizes_fit(x: Column, y: Column) -> Column:
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
-    """Every member beside the hub of its group; parts of a group beside each other's hubs."""
-    met = members.select(_base("name").alias("name"), F.col("hub").alias("other"))
+    """Every member beside the hub of its group; parts of a group beside each other's hubs.
+
+    Groups that are compared in full later take part with one word in ``EARLY``: similar sets share
+    a third of their words, so most links are found and joined here, before pairs are formed.
+    """
+    now = ~F.expr(_OPEN) | F.col("hot") | (F.pmod("key", F.lit(EARLY)) == 0)
+    met = members.where(now).select(_base("name").alias("name"), F.col("hub").alias("other"))
     heads = members.where("hot").select("key", F.col("hub").alias("name")).distinct()
     head = heads.groupBy("key").agg(F.min("name").alias("other"))
     both = met.union(heads.join(head, "key").select("name", "other"))
@@ -347,6 +353,13 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _nearest_pairs(pairs: DataFrame) -> DataFrame:
+    """The pair of each class with the smallest distance."""
+    both = pairs.select("a", "b", "far").union(pairs.select("b", "a", "far"))
+    near = both.groupBy("a").agg(F.min(F.struct("far", "b")).alias("best"))
+    return near.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
+
+
 def _passed(pairs: DataFrame, classes: DataFrame, sketch: str) -> DataFrame:
     """Pairs of names (x, y) as pairs of classes that pass the Hamming bound."""
 
@@ -374,14 +387,15 @@ def _rest(members: DataFrame, groups: DataFrame, classes: DataFrame, sketch: str
     ``more`` tells that a group has pairs which were left out.
     """
     known = _known(classes, groups, sketch)
-    upper = (F.col("name").bitwiseAND(F.lit(1)) == 1).alias("upper")
-    open_groups = members.where("hot OR owns > 1 AND n > 2").select("key", "n", "hot", _base("name").alias("name"), upper)
-    small = open_groups.where((F.col("n") <= TILE) & ~F.col("hot")).join(known, "name")
-    one_tile = small.select(
+    small = (F.col("n") <= TILE) & ~F.col("hot")
+    rows = members.where(F.expr(_OPEN) & small).select("key", F.col("name").alias("member"))
+    upper = (F.col("member").bitwiseAND(F.lit(1)) == 1).alias("upper")
+    one_tile = rows.join(known, _base("member") == F.col("name")).select(
         "key", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "class_id", "component",
-        F.lit(True).alias("outside"), "upper", "n_shingles", "sketch",
+        F.lit(True).alias("outside"), upper, "n_shingles", "sketch",
     )
-    large = open_groups.where((F.col("n") > TILE) | F.col("hot")).join(known.drop("sketch", "n_shingles"), "name")
+    rows = members.where(F.expr(_OPEN) & ~small).select("key", F.col("name").alias("member"))
+    large = rows.join(known.drop("sketch", "n_shingles"), _base("member") == F.col("name")).withColumn("upper", upper)
     tiled = _tiles(large).join(classes.select("class_id", "n_shingles", F.col(sketch).alias("sketch")), "class_id").select(*_WIDE)
     order = _WIDE[:4]
     dealt = one_tile.unionByName(tiled).repartition(*order[:3]).sortWithinPartitions(*order)
@@ -518,12 +532,15 @@ def jaccard_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = settled(one(one(usable, "run")).withColumnRenamed("doc_id", "class_id"), "parity-classes")
     linker = _Linker(marked.withColumnRenamed("doc_id", "class_id").select("class_id", "text", "mark"), classes)
     members = settled(_members(rows), "parity-members")
-    linker.try_pairs(_passed(_first_pairs(members), classes, "coarse"), "first", nearest_first=True)
-    found = settled(_rest(members, linker.groups, classes, "coarse", every=False), "parity-nearest")
-    linker.try_pairs(found.select("a", "b", "far").distinct(), "nearest", nearest_first=False)
-    unfinished = members.join(found.where("more").select("key").distinct(), "key", "left_semi")
-    rest = _rest(unfinished, linker.groups, classes, "fine", every=True)
-    linker.try_pairs(rest.select("a", "b", "far").distinct(), "rest", nearest_first=False)
+    star = settled(_passed(_first_pairs(members), classes, "coarse"), "parity-star")
+    linker.verify(_nearest_pairs(star), "first")
+    near = settled(_rest(members, linker.groups, classes, "coarse", every=False), "parity-nearest")
+    linker.verify(star.select("a", "b").union(near.select("a", "b")).distinct(), "near")
+    unfinished = near.where("more").select("key").distinct()
+    if not unfinished.isEmpty():
+        # what the bitmap lets through in vain goes in the join
+        some = possible(members, "key", bitmap_of(unfinished, F.col("key"))).join(unfinished, "key", "left_semi")
+        linker.verify(_rest(some, linker.groups, classes, "fine", every=True).select("a", "b").distinct(), "rest")
     named = classes.select(*kind, "class_id").join(linker.groups, "class_id").drop("class_id")
     spread = usable.select(*kind, "run").distinct().join(named, kind)
     grouped = rows.select("doc_id", *kind, "run").join(spread, [*kind, "run"], "left")
