@@ -91,7 +91,7 @@ def raw_zscore_stream(
 def enriched_zscore_stream(events: DataFrame, **options) -> DataFrame:
     """Streaming form of ``detect.detect_enriched`` without the context counts.
 
-    ``correlate.attach_context`` adds those per micro-batch from stored events.
+    ``windows.enriched_context_stream`` gives the hits with them.
     """
     return raw_zscore_stream(correlated(events), detector="enriched-zscore", **options)
 
