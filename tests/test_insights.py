@@ -121,3 +121,31 @@ def test_log_prompts(make_events):
     )
     rows = insights.log_prompts(frame).collect()
     assert len(rows) == 1 and "LEVEL: WARN\nMESSAGE: disk" in rows[0].prompt
+
+
+def test_fixed_texts_are_spelled_out():
+    """The SQL oracles take these texts from the module, so here they stand by themselves."""
+    from tidewarden.operators import insights as texts
+
+    assert texts.ANOMALY_PROMPT.splitlines() == [
+        "You are an SRE expert analyzing a system anomaly. Answer in %s.", "",
+        "SERVICE: %s", "METRIC: %s", "SEVERITY: %s", "ANOMALY SCORE: %.2f", "DESCRIPTION: %s", "DETAILS: %s", "",
+        "Respond with a JSON object containing these fields:",
+        '- "interpretation": what this anomaly means in plain language (in %s)',
+        '- "classification": one of LatencyIssue, ErrorSpike, ThroughputDegradation, ResourceExhaustion, Unknown (in English)',
+        '- "probableCauses": array of 2-3 likely root causes (in %s)',
+        '- "recommendations": array of 1-2 immediate actions to investigate (in %s)',
+    ]
+    assert texts.LOG_PROMPT.splitlines() == [
+        "You are a systems analyst. Interpret this log entry. Answer in %s.", "",
+        "SOURCE: %s", "LEVEL: %s", "MESSAGE: %s", "",
+        "Respond with a JSON object containing these fields:",
+        '- "impact": what is the likely impact on the system (in %s)',
+        '- "escalate": YES or NO (in English)',
+        '- "componentToCheck": what component should be checked first (in %s)',
+    ]
+    assert (texts.NULL_INTERPRETATION, texts.NULL_CLASSIFICATION) == ("LLM analysis unavailable", "Unknown")
+    assert (texts.NULL_CAUSES, texts.NULL_RECOMMENDATIONS) == (["Unknown"], ["Investigate manually"])
+    assert texts.FALLBACK_INTERPRETATION == "LLM service unavailable"
+    assert texts.FALLBACK_CAUSES == ["LLM service unavailable — check Ollama connection"]
+    assert texts.FALLBACK_RECOMMENDATIONS == ["Ensure Ollama is running and accessible"]
