@@ -6,6 +6,7 @@ import collections
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.corpus import FOLDER, HAVE_TABLES, LOWER, awkward, awkward_rows, empty, words
@@ -162,6 +163,46 @@ def test_a_family_near_the_limit_is_linked_whole(spark):
     assert {r.doc_id: r.component_id for r in found} == dict(enumerate(expected))
 
 
+def test_a_crowded_tile_gives_its_classes_and_not_their_pairs():
+    base = [f"b{k}" for k in range(300)]
+    texts = [" ".join(f"c{i}x{k}" if k in (7 * i % 300, 150) else w for k, w in enumerate(base)) for i in range(80)]
+    found, offsets = near.shingles(*B.utf8(pa.array(texts)))
+    sketch = near.registers(found, offsets)
+    keys, _ = near.band_keys(sketch)
+    key = collections.Counter(keys[:, 0]).most_common(1)[0][0]
+    ids = np.tile(np.arange(80), 2)
+    tile = pa.table({
+        "key": pa.array(np.full(160, key).view(np.int64)), "i": pa.array([0] * 160, pa.int32()), "j": pa.array([0] * 160, pa.int32()),
+        "side": pa.array(np.repeat([0, 1], 80).astype(np.int32)), "class_id": ids, "component": ids, "outside": [True] * 160,
+        "n_shingles": np.diff(offsets)[ids], "sketch": pa.array([sketch[i].tobytes() for i in ids], pa.binary()),
+    })
+    pairs = [(ids[r], ids[n]) for r, c in near._tile_pairs(tile) for n in c]
+    rows = near._tile_rows(tile)
+    assert len(pairs) > 300 > 160 >= rows.num_rows and rows.column("b").null_count == rows.num_rows
+    assert set(rows.column("a").to_pylist()) == {int(i) for p in pairs for i in p}
+    sets = pa.array([found[offsets[i] : offsets[i + 1]].view(np.int64) for i in rows.column("a").to_pylist()])
+    linked = near._tile_links(rows.rename_columns(["class_id" if c == "a" else c for c in rows.column_names]).append_column("set", sets))
+    expected = {frozenset(p) for p in pairs if expected_components([(i, texts[i]) for i in p])[max(p)][1] == min(p)}
+    got = {frozenset(p) for p in zip(linked.column("a").to_pylist(), linked.column("b").to_pylist(), strict=True)}
+    assert got <= expected and len(got) < 80
+
+    def parts(links):
+        label = list(range(80))
+        for _ in range(80):
+            for a, b in map(tuple, links):
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert parts(got) == parts(expected)
+
+
+def test_texts_are_picked_and_cut_by_one_worker(spark):
+    docs = spark.createDataFrame(near_rows(5), "class_id long, text string")
+    sets = near._sets_of(docs, docs.where("class_id < 3").select("class_id"))
+    assert sets._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {0, 1, 2} <= {r.class_id for r in sets.collect()}
+
+
 def test_estimates_are_close_and_corrected():
     draw = np.random.default_rng(1)
     pool = draw.integers(1, 1 << 63, 4000).astype(np.uint64)

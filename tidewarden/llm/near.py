@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import bytescan as B
 from .common import packed, settled
 from .links import components
-from .membership import bitmap_of, possible
+from .membership import bitmap_of, held_rows
 
 WIDTH = 5
 SIMILAR = (75, 100)
@@ -129,7 +129,9 @@ def estimate(a: np.ndarray, b: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndar
     filled = (a != 65535) | (b != 65535)
     n = np.maximum(filled.sum(axis=1), 1)
     equal = ((a == b) & filled).sum(axis=1) / n
-    chance = equal_by_chance(sizes_a.astype(float), sizes_b.astype(float))
+    # few sizes differ among many pairs; sets have fewer than 2**32 shingles
+    sizes, at = np.unique(sizes_a.astype(np.int64) << 32 | sizes_b.astype(np.int64), return_inverse=True)
+    chance = equal_by_chance((sizes >> 32).astype(float), (sizes & 0xFFFFFFFF).astype(float))[at]
     return (equal - chance) / (1 - chance), np.sqrt(0.75 * 0.25 / n)
 
 
@@ -174,6 +176,19 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """class_id and set of the texts whose class_id a bitmap of ``ids`` may hold; no text is shuffled.
+
+    Picked and cut into shingles by one Python worker, as a second one would hold as much memory again.
+    """
+    bitmap, at = bitmap_of(ids, F.col("class_id")), docs.columns.index("class_id")
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sets(held_rows(batches, at, bitmap))
+
+    return docs.mapInArrow(made, "class_id long, set array<long>")
+
+
 def _passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
@@ -263,9 +278,8 @@ class _Linker:
         those still in different components."""
         rest = settled(_estimated(pairs if self.links is None else self.apart(pairs), self.classes), "near-pairs")
         ends = rest.select(F.col("a").alias("class_id")).union(rest.select("b")).distinct()
-        # no text is shuffled; what the bitmap lets through in vain finds no pair below
-        texts = possible(self.docs, "class_id", bitmap_of(ends, F.col("class_id")))
-        sets = settled(texts.mapInArrow(_sets, "class_id long, set array<long>"), "near-sets")
+        # what the bitmap lets through in vain finds no pair below
+        sets = settled(_sets_of(self.docs, ends), "near-sets")
         both = rest.select("a", "b", "score").union(rest.select("b", "a", "score"))
         best = both.groupBy("a").agg(F.max_by("b", F.struct("score", F.hash("a", "b"), "b")).alias("b"))
         first = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -279,23 +293,16 @@ class _Linker:
     def try_rest(self, members: DataFrame) -> None:
         """Confirm all pairs in different components that share a band."""
         tile = ["key", "i", "j"]
-        met = _tiles(members, self.groups, self.classes).groupBy(*tile).applyInArrow(_tile_pairs, _TILE_PAIRS)
+        met = _tiles(members, self.groups, self.classes).groupBy(*tile).applyInArrow(_tile_rows, _TILE_ROWS)
         rest = settled(met, "near-rest")
         if rest.isEmpty():
             return
-        ends = rest.select(*tile, "crowd", F.explode(F.array("a", "b")).alias("class_id")).distinct()
-        known = ends.select("class_id").distinct()
-        texts = possible(self.docs, "class_id", bitmap_of(known, F.col("class_id")))
-        sets = settled(texts.mapInArrow(_sets, "class_id long, set array<long>"), "near-rest-sets")
-        # the few pairs of a thin tile bring their own sets, a crowd shares those of its tile
-        thin = _confirmed(rest.where(F.col("crowd") < CROWD).select("a", "b"), sets)
-        shared = ends.where(F.col("crowd") >= CROWD).join(sets, "class_id").select(
-            *[F.col(c).alias(f"set_{c}") for c in tile], "class_id", "set"
-        )
-        crowded = (
-            rest.where(F.col("crowd") >= CROWD).select(*tile, "a", "b").groupBy(*tile)
-            .cogroup(shared.groupBy(*[f"set_{c}" for c in tile])).applyInArrow(_tile_links, "a long, b long")
-        )
+        # thin tiles give their few pairs, crowds the classes that their pairs are made of
+        pairs, crowds = rest.where("b IS NOT NULL").select("a", "b"), rest.where("b IS NULL").drop("b")
+        sets = settled(_sets_of(self.docs, rest.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()), "near-rest-sets")
+        thin = _confirmed(pairs.distinct(), sets)
+        met_again = crowds.join(sets.withColumnRenamed("class_id", "a"), "a").where(F.size("set") == F.col("n_shingles"))
+        crowded = met_again.withColumnRenamed("a", "class_id").groupBy(*tile).applyInArrow(_tile_links, "a long, b long")
         new = settled(thin.union(crowded), "near-links")
         if not new.isEmpty():
             self.links = new if self.links is None else self.links.union(new)
@@ -345,11 +352,14 @@ def _tiles(members: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFra
     return few.unionByName(many).join(classes, "class_id")
 
 
-_TILE_PAIRS = "key long, i int, j int, a long, b long, score double, crowd long"
+_TILE_ROWS = (
+    "key long, i int, j int, a long, b long, side int, component long, outside boolean, n_shingles long, sketch binary"
+)
 
 
-def _tile_pairs(tile: pa.Table) -> pa.Table:
-    """The pairs of a tile in different components that pass the estimate, each in its first common band."""
+def _tile_pairs(tile: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Row numbers of a class of side 0 and of those of side 1 in other components that pass the estimate
+    with it, each pair in its first common band."""
     key = tile.column("key")[0].as_py()
     sketch = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint16).reshape(-1, REGISTERS)
     keys, used = band_keys(sketch)
@@ -360,7 +370,6 @@ def _tile_pairs(tile: pa.Table) -> pa.Table:
         tile.column(c).to_numpy() for c in ("side", "class_id", "component", "n_shingles", "outside")
     )
     rows, columns = np.flatnonzero(has & (side == 0)), np.flatnonzero(has & (side == 1))
-    left, right, scores = [], [], []
     for r in rows:
         least, most = np.minimum(size[r], size[columns]), np.maximum(size[r], size[columns])
         # two classes outside meet in two tiles
@@ -373,69 +382,63 @@ def _tile_pairs(tile: pa.Table) -> pa.Table:
         if not len(c):
             continue
         score, error = estimate(np.broadcast_to(sketch[r], (len(c), REGISTERS)), sketch[c], np.full(len(c), size[r]), size[c])
-        keep = score + SLACK * error >= SIMILAR[0] / SIMILAR[1]
-        c, score = c[keep], score[keep]
-        left.append(np.minimum(ids[r], ids[c]))
-        right.append(np.maximum(ids[r], ids[c]))
-        scores.append(score)
-    a, b, score = (np.concatenate(x) if x else np.zeros(0) for x in (left, right, scores))
-    return pa.table(
-        {
-            "key": pa.array(np.full(len(a), key, np.int64)),
-            "i": pa.array(np.full(len(a), tile.column("i")[0].as_py(), np.int32)),
-            "j": pa.array(np.full(len(a), tile.column("j")[0].as_py(), np.int32)),
-            "a": pa.array(a.astype(np.int64)),
-            "b": pa.array(b.astype(np.int64)),
-            "score": pa.array(score.astype(np.float64)),
-            "crowd": pa.array(np.full(len(a), len(a), np.int64)),
-        }
-    )
-
-
-def _tile_links(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        c = c[score + SLACK * error >= SIMILAR[0] / SIMILAR[1]]
+        if len(c):
+            yield r, c
+
+
+def _tile_rows(tile: pa.Table) -> pa.Table:
+    """The pairs (a, b) of a tile that pass the estimate; of a crowd of pairs only the classes ``a`` in them, with
+    what tells the pairs again, so that no more rows leave a tile than it has or a few."""
+    found = list(_tile_pairs(tile))
+    if sum(len(c) for _, c in found) < CROWD:
+        at = np.repeat([r for r, _ in found], [len(c) for _, c in found]).astype(np.int64)
+        b = tile.column("class_id").take(pa.array(np.concatenate([c for _, c in found]) if found else at))
+    else:
+        in_pair = np.zeros(tile.num_rows, bool)
+        for r, c in found:
+            in_pair[r] = in_pair[c] = True
+        at = np.flatnonzero(in_pair)
+        b = pa.nulls(len(at), pa.int64())
+    rows = tile.take(pa.array(at)).rename_columns(["a" if c == "class_id" else c for c in tile.column_names])
+    return rows.append_column("b", b).select([c.split()[0] for c in _TILE_ROWS.split(", ")])
+
+
+def _tile_links(tile: pa.Table) -> pa.Table:
     """The pairs of one tile whose full sets are similar enough, without those that others of the tile imply."""
-    if not pairs.num_rows or not sets.num_rows:
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    shingle = sets.column("set").combine_chunks()
+    tile = tile.combine_chunks()
+    shingle = tile.column("set").combine_chunks()
     flat = np.unique(shingle.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
-    lengths = np.array([len(x) for x in shingle], np.int64)
+    lengths = tile.column("n_shingles").to_numpy()
     starts = np.cumsum(lengths) - lengths
-    homes: dict[int, list[int]] = {}
-    for n, c in enumerate(sets.column("class_id").to_pylist()):
-        homes.setdefault(c, []).append(n)
-    partners: dict[int, list[int]] = {}
-    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
-        partners.setdefault(a, []).append(b)
-    parent: dict[int, int] = {}
+    ids = tile.column("class_id").to_numpy()
+    parent = np.arange(len(ids))
+    parent = parent[np.unique(ids, return_index=True)[1][np.unique(ids, return_inverse=True)[1]]]
 
     def find(x: int) -> int:
-        while parent.get(x, x) != x:
-            parent[x] = parent.get(parent[x], parent[x])
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, bool)
+    mark = np.zeros(int(flat.max()) + 1, bool)
     left, right = [], []
-    for a, all_others in partners.items():
-        others = [b for b in all_others if find(a) != find(b)]
-        at = np.array([n for b in others for n in homes.get(b, ())], np.int64)
-        owner = [b for b in others for _ in homes.get(b, ())]
+    for r, c in _tile_pairs(tile):
+        mine = flat[starts[r] : starts[r] + lengths[r]]
+        at = np.array([n for n in c if find(n) != find(r)], np.int64)
         if not len(at):
             continue
         ends = np.cumsum(lengths[at])
         where = np.repeat(starts[at] - (ends - lengths[at]), lengths[at]) + np.arange(ends[-1])
-        tokens = flat[where]
-        for n in homes.get(a, ()):
-            mine = flat[starts[n] : starts[n] + lengths[n]]
-            mark[mine] = True
-            both = np.add.reduceat(mark[tokens], ends - lengths[at], dtype=np.int64)
-            mark[mine] = False
-            for k in np.flatnonzero(both * SIMILAR[1] >= (lengths[n] + lengths[at] - both) * SIMILAR[0]):
-                x, y = find(a), find(owner[k])
-                if x != y:
-                    parent[max(x, y)] = min(x, y)
-                    left.append(a)
-                    right.append(owner[k])
+        mark[mine] = True
+        both = np.add.reduceat(mark[flat[where]], ends - lengths[at], dtype=np.int64)
+        mark[mine] = False
+        for n in at[both * SIMILAR[1] >= (lengths[r] + lengths[at] - both) * SIMILAR[0]]:
+            x, y = find(r), find(n)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                left.append(min(ids[r], ids[n]))
+                right.append(max(ids[r], ids[n]))
     return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
 
