@@ -159,3 +159,17 @@ def test_mix_of_awkward_rows(spark):
     copies = mixing.mix_documents(awkward(spark))
     assert copies.columns == awkward(spark).columns and copies.count() > 0
     assert mixing.mixed_words(empty(spark)).count() == 0 == mixing.mix_documents(empty(spark)).count()
+
+
+def test_the_search_meets_only_pieces_that_end_where_it_looks():
+    pieces_of = {p: -float(k) for k, p in enumerate(["a", "b", "c", "ab", "bc", "abc", "cab", "xabc", "bcab"])}
+    root = pieces._automaton(pieces_of)
+    draw = np.random.default_rng(5)
+    for _ in range(50):
+        text, node = "".join(draw.choice(list("abcxy"), 30)), root
+        for end in range(1, 31):
+            while text[end - 1] not in node[0] and node[2] is not None:
+                node = node[2]
+            node = node[0].get(text[end - 1], node)
+            expected = [text[s:end] for s in range(end - 1) if text[s:end] in pieces_of]
+            assert [piece for _, piece in node[1]] == expected

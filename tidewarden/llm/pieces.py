@@ -23,6 +23,7 @@ gives back exactly the text.
 
 from __future__ import annotations
 
+import itertools
 import re
 from array import array
 from collections.abc import Iterator
@@ -34,11 +35,35 @@ from pyspark.sql import functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 SPACE = "▁"
 SLICE_ROWS = 256
 
 
+_NONE: dict[str, bool] = {}
+
+
+def _automaton(scores: dict[str, float]) -> list:
+    """The root of the beginnings of all pieces. A beginning is a list of its continuations by character, the pieces
+    of several characters it ends with (longest first), and the longest other beginning it ends with."""
+    root: list = [{}, (), None]
+    level = [(root, "", sorted(p for p in scores if len(p) > 1))]
+    while level:
+        below = []
+        for node, text, pieces in level:
+            for c, own in itertools.groupby((p for p in pieces if len(p) > len(text)), lambda p: p[len(text)]):
+                shorter = node[2]
+                while shorter is not None and c not in shorter[0]:
+                    shorter = shorter[2]
+                shorter = root if shorter is None else shorter[0][c]
+                longer = text + c
+                ends = ((len(longer), longer), *shorter[1]) if len(longer) > 1 and longer in scores else shorter[1]
+                node[0][c] = [{}, ends, shorter]
+                below.append((node[0][c], longer, list(own)))
+        level = below
+    return root
+
+
 class Vocabulary:
     """Pieces and scores of a SentencePiece model."""
 
@@ -51,7 +76,9 @@ class Vocabulary:
         self.cut = re.compile(f" *[{letters}]+| +|[^ {letters}]", re.DOTALL)
         self.remembered: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.neighbours: dict[tuple[str, str], bool] = {}
+        self.root = _automaton(scores)
+        self.neighbours: dict[str, dict[str, bool]] = {}
+        self.n_neighbours = 0
 
     def __getstate__(self):
         return self.scores, self.ids, self.contents, self.byte_ids, self.merges
@@ -82,35 +109,50 @@ class Vocabulary:
 
     def merged(self, text: str) -> list[str]:
         """A short text with the best-scored neighbours joined until none can be."""
-        parts, scores = list(text), self.scores
-        while len(parts) > 1:
-            joined = [scores.get(a + b) for a, b in zip(parts, parts[1:])]
-            best = max((x for x in joined if x is not None), default=None)
-            if best is None:
+        parts, score, none = list(text), self.scores.get, float("-inf")
+        joined = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while joined:
+            best = max(joined)
+            if best == none:
                 break
             at = joined.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del joined[at]
+            if at:
+                joined[at - 1] = score(parts[at - 1] + parts[at], none)
+            if at < len(joined):
+                joined[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
     def _fit(self, left: str, right: str) -> bool:
         """Whether the merges leave these neighbours, or a first piece alone, as they are."""
-        known = self.neighbours.get((left, right))
-        if known is None:
-            if len(self.neighbours) >= REMEMBERED:
-                self.neighbours.clear()
-            known = self.merged(left + right) == ([left, right] if left else [right])
-            self.neighbours[left, right] = known
-        return known
-
-    def _admissible(self, text: str, base: int, end: int, last: list[str]) -> int:
-        """Where the last piece of the encoding of text[base:end] starts."""
-        scores, fit = self.scores, self._fit
-        for start in range(max(base, end - self.longest), end - 1):
-            piece = text[start:end]
-            if piece in scores:
-                if fit(last[start - base], piece):
-                    return start
-        return end - 1
+        if self.n_neighbours >= REMEMBERED:
+            self.neighbours, self.n_neighbours = {}, 0
+        fits = self.merged(left + right) == ([left, right] if left else [right])
+        self.neighbours.setdefault(right, {})[left] = fits
+        self.n_neighbours += 1
+        return fits
+
+    def _admissible(self, text: str, base: int, ends: range, node: list, back: list[int], last: list[str]) -> list:
+        """Appends where the last piece of the encoding of text[base:end] starts, and the piece, for the next ends.
+
+        ``node`` is the longest beginning of a piece before them; gives the one after them.
+        """
+        for end in ends:
+            chosen, piece = end - 1, text[end - 1]
+            while (following := node[0].get(piece)) is None and node[2] is not None:
+                node = node[2]
+            node = following or node
+            for size, ending in node[1]:
+                if size <= end - base:
+                    left = last[end - size - base]
+                    fits = self.neighbours.get(ending, _NONE).get(left)
+                    if fits or fits is None and self._fit(left, ending):
+                        chosen, piece = end - size, ending
+                        break
+            back.append(chosen)
+            last.append(piece)
+        return node
 
     def _best(self, text: str, base: int, end: int, totals: list[float]) -> int:
         """Where the last piece of the best path to ``end`` starts; appends the path's score."""
@@ -124,13 +166,17 @@ class Vocabulary:
 
     def stream(self, text: str) -> Iterator[int]:
         """Ids of a text, committed as soon as all paths agree."""
-        base, back, last, totals = 0, [0], [""], [0.0]
-        for end in range(1, len(text) + 1):
-            start = self._admissible(text, base, end, last) if self.merges else self._best(text, base, end, totals)
-            back.append(start)
-            last.append(text[start:end])
-            if end - base >= 4 * self.longest and end % self.longest == 0:
-                met = self._meeting(back, base, end)
+        base, at, node, back, last, totals = 0, 0, self.root, [0], [""], [0.0]
+        while at < len(text):
+            # on to the next place where the paths are followed back
+            stop = min(-(-max(at + 1, base + 4 * self.longest) // self.longest) * self.longest, len(text))
+            ends, at = range(at + 1, stop + 1), stop
+            if self.merges:
+                node = self._admissible(text, base, ends, node, back, last)
+            else:
+                back.extend(self._best(text, base, end, totals) for end in ends)
+            if stop < len(text):
+                met = self._meeting(back, base, stop)
                 if met > base:
                     yield from self._path(text, back, base, met)
                     back, last, totals = back[met - base :], last[met - base :], totals[met - base :]
