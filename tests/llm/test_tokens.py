@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 
 import numpy as np
@@ -161,6 +162,24 @@ def test_mix_of_awkward_rows(spark):
     assert mixing.mixed_words(empty(spark)).count() == 0 == mixing.mix_documents(empty(spark)).count()
 
 
+def test_segments_met_once_take_no_room(vocabulary, monkeypatch):
+    monkeypatch.setattr(pieces, "SEGMENTS", 50)
+    fresh = pickle.loads(pickle.dumps(vocabulary))
+    once, often = [f"wq{k:04d}x".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(400)], ["the", "qwzjxk"]
+    for word in once:
+        assert fresh.encode(f"{word} the qwzjxk") == vocabulary.encode(f"{word} the qwzjxk")
+    known = fresh.remembered.keys() | fresh.older.keys()
+    assert {f" {w}" for w in often} <= known and len(known & {f" {w}" for w in once}) < 10
+
+
+def test_texts_that_do_not_come_back_are_told(vocabulary):
+    fresh = pickle.loads(pickle.dumps(vocabulary))
+    ids = fresh.encode("the end")
+    assert fresh.returns("the end", ids)
+    fresh.contents = [b" wrong" if c == b" cat" else c for c in fresh.contents]
+    assert not fresh.returns("the cat", fresh.encode("the cat")) and fresh.returns("the end", ids)
+
+
 def test_the_search_meets_only_pieces_that_end_where_it_looks():
     pieces_of = {p: -float(k) for k, p in enumerate(["a", "b", "c", "ab", "bc", "abc", "cab", "xabc", "bcab"])}
     root = pieces._automaton(pieces_of)

@@ -36,6 +36,9 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 300_000
+#: Segments in each of the two tables, and slots that tell which ones were met before.
+SEGMENTS = 150_000
+MET = 1 << 21
 SPACE = "▁"
 SLICE_ROWS = 256
 
@@ -76,6 +79,8 @@ class Vocabulary:
         self.cut = re.compile(f" *[{letters}]+| +|[^ {letters}]", re.DOTALL)
         self.remembered: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.met = bytearray(MET)
+        self.lossy = False
         self.root = _automaton(scores)
         self.neighbours: dict[str, dict[str, bool]] = {}
         self.n_neighbours = 0
@@ -205,8 +210,8 @@ class Vocabulary:
         return out[::-1]
 
     def _segment(self, segment: str) -> bytes:
-        """Ids of the text between two certain boundaries. Two tables remember them; when one is
-        full it becomes the older one, so that what is in use survives."""
+        """Ids of the text between two certain boundaries. Two tables remember those of segments met a second
+        time; when one is full it becomes the older one, so that what is in use survives."""
         known = self.remembered.get(segment) or self.older.get(segment)
         if known is None:
             if segment == SPACE:
@@ -214,9 +219,16 @@ class Vocabulary:
             else:
                 numbers = list(self.stream(segment.replace(" ", SPACE)))
             known = array("i", numbers).tobytes()
+            whole = b"".join(map(self.contents.__getitem__, numbers))
+            self.lossy = self.lossy or whole != segment.encode("utf-8", "surrogatepass")
         if len(segment) <= 64:
-            if len(self.remembered) >= REMEMBERED:
-                self.older, self.remembered = self.remembered, {}
+            slot = hash(segment) % MET
+            if not self.met[slot] and segment not in self.older:
+                # most segments come once; a slot shared with another only remembers one too early
+                self.met[slot] = 1
+                return known
+            if len(self.remembered) >= SEGMENTS:
+                self.older, self.remembered, self.met = self.remembered, {}, bytearray(MET)
             self.remembered[segment] = known
         return known
 
@@ -230,6 +242,10 @@ class Vocabulary:
             found = [f or self._segment(s) for f, s in zip(found, segments, strict=True)]
         return b"".join(found)
 
+    def returns(self, text: str, ids: bytes) -> bool:
+        """Whether decoding the ids gives the text. As long as every segment came back, so does what they make up."""
+        return not self.lossy or self.decode(np.frombuffer(ids, np.int32)) == text
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids that :meth:`encode` made."""
         if not len(ids):
@@ -263,7 +279,7 @@ def encoded(
                 batch = whole.slice(row, SLICE_ROWS)
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 ids = [vocabulary.encode(t) for t in texts]
-                same = [vocabulary.decode(np.frombuffer(i, np.int32)) == t for i, t in zip(ids, texts, strict=True)]
+                same = [vocabulary.returns(t, i) for t, i in zip(texts, ids, strict=True)]
                 counts = np.array([len(i) >> 2 for i in ids], np.int64)
                 ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), np.int32))
