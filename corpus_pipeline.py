@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix."""
-    return pieces.encoded(docs)
+    """Ids of every document of the mix; executors that ran the stages before have little memory left."""
+    return pieces.encoded(docs, sparing=True)
 
 
 STAGES = [

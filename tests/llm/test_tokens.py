@@ -164,7 +164,7 @@ def test_mix_of_awkward_rows(spark):
 
 def test_segments_met_once_take_no_room(vocabulary, monkeypatch):
     monkeypatch.setattr(pieces, "SEGMENTS", 50)
-    fresh = pickle.loads(pickle.dumps(vocabulary))
+    fresh = pickle.loads(pickle.dumps(pieces.Vocabulary.load(sparing=True)))
     once, often = [f"wq{k:04d}x".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(400)], ["the", "qwzjxk"]
     for word in once:
         assert fresh.encode(f"{word} the qwzjxk") == vocabulary.encode(f"{word} the qwzjxk")

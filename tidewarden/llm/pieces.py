@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 300_000
-#: Segments in each of the two tables, and slots that tell which ones were met before.
+#: For a sparing vocabulary: segments in each of the two tables, and slots that tell which ones were met before.
 SEGMENTS = 150_000
 MET = 1 << 21
 SPACE = "▁"
@@ -70,7 +70,9 @@ def _automaton(scores: dict[str, float]) -> list:
 class Vocabulary:
     """Pieces and scores of a SentencePiece model."""
 
-    def __init__(self, scores: dict[str, float], ids: dict[str, int], contents: list[bytes], byte_ids: list[int], merges: bool):
+    def __init__(
+        self, scores: dict[str, float], ids: dict[str, int], contents: list[bytes], byte_ids: list[int], merges: bool, sparing: bool = False
+    ):
         self.scores, self.ids, self.contents, self.byte_ids, self.merges = scores, ids, contents, byte_ids, merges
         self.longest = max(map(len, scores), default=1)
         self.unknown = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
@@ -79,20 +81,21 @@ class Vocabulary:
         self.cut = re.compile(f" *[{letters}]+| +|[^ {letters}]", re.DOTALL)
         self.remembered: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.met = bytearray(MET)
+        self.sparing = sparing
+        self.met = bytearray(MET if sparing else 0)
         self.lossy = False
         self.root = _automaton(scores)
         self.neighbours: dict[str, dict[str, bool]] = {}
         self.n_neighbours = 0
 
     def __getstate__(self):
-        return self.scores, self.ids, self.contents, self.byte_ids, self.merges
+        return self.scores, self.ids, self.contents, self.byte_ids, self.merges, self.sparing
 
     def __setstate__(self, state):
         self.__init__(*state)
 
     @classmethod
-    def load(cls, path: str = MODEL, merges: bool = True) -> Vocabulary:
+    def load(cls, path: str = MODEL, merges: bool = True, sparing: bool = False) -> Vocabulary:
         """Normal pieces and byte pieces of a model file; read on the driver."""
         import sentencepiece
 
@@ -110,7 +113,7 @@ class Vocabulary:
                 contents.append(piece.replace(SPACE, " ").encode())
         if min(byte_ids) < 0:
             raise ValueError("the model has no byte pieces, so some texts could not be given back")
-        return cls(scores, ids, contents, byte_ids, merges)
+        return cls(scores, ids, contents, byte_ids, merges, sparing)
 
     def merged(self, text: str) -> list[str]:
         """A short text with the best-scored neighbours joined until none can be."""
@@ -210,8 +213,9 @@ class Vocabulary:
         return out[::-1]
 
     def _segment(self, segment: str) -> bytes:
-        """Ids of the text between two certain boundaries. Two tables remember those of segments met a second
-        time; when one is full it becomes the older one, so that what is in use survives."""
+        """Ids of the text between two certain boundaries. Two tables remember them; when one is
+        full it becomes the older one, so that what is in use survives. A sparing vocabulary remembers
+        only segments met a second time, in smaller tables: less memory for more searches."""
         known = self.remembered.get(segment) or self.older.get(segment)
         if known is None:
             if segment == SPACE:
@@ -222,13 +226,14 @@ class Vocabulary:
             whole = b"".join(map(self.contents.__getitem__, numbers))
             self.lossy = self.lossy or whole != segment.encode("utf-8", "surrogatepass")
         if len(segment) <= 64:
-            slot = hash(segment) % MET
-            if not self.met[slot] and segment not in self.older:
-                # most segments come once; a slot shared with another only remembers one too early
-                self.met[slot] = 1
-                return known
-            if len(self.remembered) >= SEGMENTS:
-                self.older, self.remembered, self.met = self.remembered, {}, bytearray(MET)
+            if self.sparing:
+                slot = hash(segment) % MET
+                if not self.met[slot] and segment not in self.older:
+                    # a slot shared with another segment only remembers one too early
+                    self.met[slot] = 1
+                    return known
+            if len(self.remembered) >= (SEGMENTS if self.sparing else REMEMBERED):
+                self.older, self.remembered, self.met = self.remembered, {}, bytearray(len(self.met))
             self.remembered[segment] = known
         return known
 
@@ -253,24 +258,25 @@ class Vocabulary:
         return b"".join(map(self.contents.__getitem__, ids.tolist()))[1:].decode("utf-8", "surrogatepass")
 
 
-def _shared(spark: SparkSession, path: str):
+def _shared(spark: SparkSession, path: str, sparing: bool = False):
     """The vocabulary, as large as the model and never as the data, for all tasks."""
-    return spark.sparkContext.broadcast(Vocabulary.load(path))
+    return spark.sparkContext.broadcast(Vocabulary.load(path, sparing=sparing))
 
 
 def encoded(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", model: str = MODEL
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", model: str = MODEL, sparing: bool = False
 ) -> DataFrame:
     """doc_id, n_ids, ids and round_trip (decoding gives the text) of every row.
 
     Null and empty texts have no ids; their round trip is the empty text. Null and repeated ids are
     ordinary rows, texts of any length are encoded whole, and an empty table gives
-    an empty result. Columns besides id and text play no part.
+    an empty result. Columns besides id and text play no part. ``sparing`` gives the same ids with
+    less memory in the workers and more time.
     """
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text")
     )
-    shared = _shared(docs.sparkSession, model)
+    shared = _shared(docs.sparkSession, model, sparing)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
