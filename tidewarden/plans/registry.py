@@ -1095,23 +1095,23 @@ def stream_alert_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def stream_alert_status(spark: SparkSession, folder: str) -> DataFrame:
-    """Alerts and their requests as streams; the second requests come with a later micro-batch."""
+    """Alerts and their requests as streams; the second requests come with a later micro-batch, of a query begun again."""
     home = fresh_folder(spark, "status")
     at = F.col("at").cast("timestamp")
     rows = alert_table(spark, folder).withColumn("detected_at", F.col("detected_at").cast("timestamp"))
-    rows.coalesce(1).write.parquet(f"{home}/alerts")
+    rows.write.parquet(f"{home}/alerts")
     stored = spark.read.parquet(f"{home}/alerts")
-    for requests_of_turn in _status_requests(stored):
-        requests_of_turn.withColumn("at", at).coalesce(1).write.mode("append").parquet(f"{home}/requests")
 
     def stream(name: str) -> DataFrame:
         path = f"{home}/{name}"
-        return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+        return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
-    query = status.status_state_stream(
-        stream("alerts"), stream("requests"), f"{home}/judged", f"{home}/checkpoint", available_now=True
-    )
-    query.awaitTermination()
+    for requests_of_turn in _status_requests(stored):
+        requests_of_turn.withColumn("at", at).write.mode("append").parquet(f"{home}/requests")
+        query = status.status_state_stream(
+            stream("alerts"), stream("requests"), f"{home}/judged", f"{home}/checkpoint", available_now=True
+        )
+        query.awaitTermination()
     judged = spark.read.parquet(f"{home}/judged")
     return judged.select(
         "alert_id", "new_status", F.col("at").cast("timestamp_ntz").alias("at"), "old_status", "outcome", "copies"

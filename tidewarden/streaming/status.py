@@ -1,13 +1,16 @@
-"""The status machine of alerts as keyed state: one small value per alert, no table is read per batch.
+"""The status machine of alerts as keyed state: a few bytes per alert, no table is read per batch.
 
 Alerts and requests are one stream keyed by alert id. A request is judged against the
 state that the alert has when it arrives; requests of one micro-batch are taken in the
 order of their time. The state is the status and the time of resolution, kept by the RocksDB state store, so
-a restarted query goes on where it stopped.
+a restarted query goes on where it stopped. Ids are dealt by hash to ``DESKS`` groups of the stream, as every call of a
+group costs milliseconds, and the alerts of a group to ``DRAWERS`` values of state, as every value costs a call. A
+micro-batch reads and writes the values that its ids fall into and no others.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,7 +26,12 @@ from .streams import append_writer, use_rocksdb
 
 #: A request is accepted if it goes up.
 _RANK = {OPEN: 0, ACK: 1, RESOLVED: 2}
-_STATE = T.StructType([T.StructField("status", T.StringType()), T.StructField("resolved_at", T.LongType())])
+#: Both numbers are part of the state: a checkpoint goes with the numbers it was begun with.
+DESKS, DRAWERS = 1024, 64
+#: Judged requests handed on at once.
+ROWS = 10_000
+_DRAWER = T.StructType([T.StructField("drawer", T.IntegerType())])
+_HELD = T.StructType([T.StructField("alerts", T.StringType())])
 _JUDGED = T.StructType([
     T.StructField("alert_id", T.StringType()), T.StructField("new_status", T.StringType()), T.StructField("at", T.LongType()),
     T.StructField("old_status", T.StringType()), T.StructField("outcome", T.StringType()), T.StructField("copies", T.LongType()),
@@ -31,46 +39,66 @@ _JUDGED = T.StructType([
 ])
 
 
+def _judge(alert_id: str, held: dict[str, list], created: tuple | None, asked: dict[tuple, int]) -> Iterator[tuple]:
+    """The judged requests for one alert; ``held`` (id to status and time of resolution) goes along."""
+    if alert_id not in held and created is not None:
+        held[alert_id] = [created[2] if created[1] else None, None]
+    known = alert_id in held
+    status, resolved_at = held[alert_id] if known else (None, None)
+    order = sorted(asked, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    for at, wanted in order:
+        copies = asked[at, wanted]
+        if not known:
+            yield alert_id, wanted, at, None, NOT_FOUND, copies, None, None
+            continue
+        if _RANK.get(wanted, -1) > _RANK.get(status, 9):
+            before, status = status, wanted
+            resolved_at = at if wanted == RESOLVED else resolved_at
+            held[alert_id] = [status, resolved_at]
+            yield alert_id, wanted, at, before, ACCEPTED, 1, status, resolved_at
+            copies -= 1
+        if copies:
+            yield alert_id, wanted, at, status, REJECTED, copies, status, resolved_at
+
+
+def _framed(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=_JUDGED.names).astype({n: "Int64" for n in ("at", "copies", "resolved_at")})
+
+
 class _Desk(StatefulProcessor):
-    """Judges the requests for one alert. Times are microseconds; a batch's requests for one alert are held as counts."""
+    """Judges the requests for a group of alerts. Times are microseconds; a batch's requests for one alert are held as counts."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._alert = handle.getValueState("alert", _STATE)
+        self._drawers = handle.getMapState("drawers", _DRAWER, _HELD)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        created: list[tuple[int, str]] = []
-        asked: dict[tuple, int] = {}
+        created: dict[int, dict[str, tuple]] = {}
+        asked: dict[int, dict[str, dict[tuple, int]]] = {}
         for part in rows:
-            for kind, status, at in zip(part["kind"], part["status"], part["at"], strict=True):
+            columns = (part[c].tolist() for c in ("drawer", "alert_id", "kind", "status", "at"))
+            for drawer, alert_id, kind, status, at in zip(*columns, strict=True):
                 status, at = None if pd.isna(status) else status, None if pd.isna(at) else int(at)
                 if kind == 0:
-                    created.append((at or 0, status))
+                    made, first = (at or 0, status is not None, status or ""), created.setdefault(drawer, {})
+                    first[alert_id] = min(first.get(alert_id, made), made)
                 else:
-                    asked[at, status] = asked.get((at, status), 0) + 1
-        known = self._alert.exists()
-        status, resolved_at = self._alert.get() if known else (None, None)
-        if not known and created:
-            status, known = min(created)[1], True
-            self._alert.update((status, None))
-        out = []
-        order = sorted(asked, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
-        for at, wanted in order:
-            copies = asked[at, wanted]
-            if not known:
-                out.append((key[0], wanted, at, None, NOT_FOUND, copies, None, None))
-                continue
-            if _RANK.get(wanted, -1) > _RANK.get(status, 9):
-                before, status = status, wanted
-                resolved_at = at if wanted == RESOLVED else resolved_at
-                self._alert.update((status, resolved_at))
-                out.append((key[0], wanted, at, before, ACCEPTED, 1, status, resolved_at))
-                copies -= 1
-            if copies:
-                out.append((key[0], wanted, at, status, REJECTED, copies, status, resolved_at))
+                    of_alert = asked.setdefault(drawer, {}).setdefault(alert_id, {})
+                    of_alert[at, status] = of_alert.get((at, status), 0) + 1
+        out: list[tuple] = []
+        for drawer in sorted(created.keys() | asked.keys()):
+            before = self._drawers.getValue((drawer,))[0] if self._drawers.containsKey((drawer,)) else "{}"
+            held = json.loads(before)
+            made, wanted = created.get(drawer, {}), asked.get(drawer, {})
+            for alert_id in sorted(made.keys() | wanted.keys()):
+                out.extend(_judge(alert_id, held, made.get(alert_id), wanted.get(alert_id, {})))
+            after = json.dumps(held, separators=(",", ":"))
+            if after != before:
+                self._drawers.updateValue((drawer,), (after,))
+            if len(out) >= ROWS:
+                yield _framed(out)
+                out = []
         if out:
-            frame = pd.DataFrame(out, columns=_JUDGED.names)
-            numbers = ["at", "copies", "resolved_at"]
-            yield frame.astype({n: "Int64" for n in numbers})
+            yield _framed(out)
 
     def close(self) -> None:
         pass
@@ -82,7 +110,7 @@ def judged_requests(alerts: DataFrame, updates: DataFrame) -> DataFrame:
 
     ``alerts`` and ``updates`` are streams. An alert counts from the micro-batch that brings it on; a request
     for an alert nobody has yet is not found. An alert that comes again changes nothing. State grows by one
-    value per alert.
+    entry per alert.
     """
     use_rocksdb(alerts.sparkSession)
     rows = alerts.select(
@@ -93,7 +121,9 @@ def judged_requests(alerts: DataFrame, updates: DataFrame) -> DataFrame:
             F.col("new_status").alias("status"), F.unix_micros("at").alias("at"),
         )
     )
-    judged = rows.groupBy("alert_id").transformWithStateInPandas(
+    place = F.pmod(F.xxhash64("alert_id"), F.lit(DESKS * DRAWERS))
+    dealt = rows.withColumns({"desk": (place % DESKS).cast("int"), "drawer": F.floor(place / DESKS).cast("int")})
+    judged = dealt.groupBy("desk").transformWithStateInPandas(
         statefulProcessor=_Desk(), outputStructType=_JUDGED, outputMode="Append", timeMode="None"
     )
     return judged.withColumns({"at": F.timestamp_micros("at"), "resolved_at": F.timestamp_micros("resolved_at")})
