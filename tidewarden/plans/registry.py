@@ -539,6 +539,8 @@ def _request_time() -> Column:
 
 
 INGEST_AS_OF = "2024-02-01 00:00:00"
+#: Ranges that the JSON file of the events is sorted in.
+ARRAY_RANGES = 256
 
 
 def _blank_some(value: Column, remainder: int) -> Column:
@@ -662,7 +664,9 @@ def split_request_arrays(spark: SparkSession, folder: str) -> DataFrame:
     )
     rows = events.select(F.col("event_id"), F.concat(body, F.lit(",")).alias("line"))
     frame = spark.createDataFrame([(-1, "["), (2**62, "{}]")], "event_id long, line string")
-    rows.unionByName(frame).orderBy("event_id").coalesce(1).select("line").write.text(home)
+    # the one task that writes the file sorts a range at a time
+    ranged = rows.unionByName(frame).repartitionByRange(ARRAY_RANGES, "event_id").sortWithinPartitions("event_id")
+    ranged.coalesce(1).select("line").write.text(home)
     made = json_arrays.read_large_arrays(spark, home).where("source IS NOT NULL")
     return made.select(
         "source", "type", "payload", F.col("correlationId").alias("correlation_id"), made["tags"]["value"].cast("double").alias("value")
