@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import collections
 import hashlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.corpus import FOLDER, HAVE_TABLES, LOWER, awkward, awkward_rows, empty, words
 from tidewarden.llm import exact, lines, near, registry, substrings
 from tidewarden.llm import bytescan as B
 from tidewarden.llm.links import components
+from tidewarden.llm.ordering import repeated_rows
 from tidewarden.llm.suffixes import suffix_ranks
+from tidewarden.session import shared_folder
 
 needs_tables = pytest.mark.skipif(not HAVE_TABLES, reason="no test tables")
 
@@ -347,3 +351,54 @@ def test_span_hashes_depend_on_the_bytes_alone():
     content = np.frombuffer(b"abcabcabd", np.uint8)
     h = B.span_hashes(content, np.array([0, 3, 6]), np.array([3, 6, 9]))
     assert h[0] == h[1] != h[2]
+
+
+def test_every_window_belongs_to_one_anchor_and_equal_windows_to_anchors_at_equal_distance():
+    texts = [t.encode() for _, t in passages() if t]
+    content, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    at, rows, first, last = substrings.owners_of(content, bounds)
+    last = np.minimum(last, bounds[rows + 1] - substrings.LENGTH)
+    owned, distances = [], collections.defaultdict(set)
+    for a, row, low, high in zip(at, rows, first, last, strict=True):
+        for start in range(low, high + 1):
+            assert a - substrings.WINDOW < start <= a and a + substrings.CORE <= start + substrings.LENGTH
+            owned.append(start)
+            distances[content[start : start + substrings.LENGTH].tobytes()].add(a - start)
+    every = [s for a, b in zip(bounds[:-1], bounds[1:], strict=True) for s in range(a, b - substrings.LENGTH + 1)]
+    assert owned == every and all(len(d) == 1 for d in distances.values()) and len(distances) < len(owned)
+
+
+def test_hashes_of_spans_in_long_texts_equal_those_of_a_whole(monkeypatch):
+    draw = np.random.default_rng(8)
+    content = draw.integers(97, 120, 5000).astype(np.uint8)
+    starts = np.sort(draw.integers(0, 4400, 300))
+    ends = starts + draw.integers(1, 560, 300)
+    monkeypatch.setattr(substrings, "SEGMENT", 700)
+    assert (substrings._hashes(content, starts, ends) == B.span_hashes(content, starts, ends)).all()
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_repeated_rows_of_rare_and_hot_keys(spark, weighted):
+    draw = np.random.default_rng(9)
+    rows = [(int(k), int(s), 1) for k, s in zip(draw.integers(0, 300, 400), draw.integers(0, 50, 400), strict=True)]
+    rows += [(1000, s, 1) for s in range(700)] + [(1001, 5, 1)] * 2 + [(1002, 5, 2), (1003, 5, 1), (None, 5, 1), (None, 6, 1)]
+    frame = spark.createDataFrame(rows, "k long, s long, w long")
+    sums = collections.Counter()
+    for k, _, w in rows:
+        sums[k] += w if weighted else 1
+    found = repeated_rows(frame, ["k"], F.col("s"), F.col("w") if weighted else None)
+    assert collections.Counter(map(tuple, found.collect())) == collections.Counter(r for r in rows if r[0] is not None and sums[r[0]] > 1)
+
+
+def test_the_check_of_ends_writes_windows_of_unlike_places_only(spark):
+    """Near copies in which every text has its own word: what is written for windows stays below one row per byte of unlike places."""
+    draw = np.random.default_rng(10)
+    base = "".join(draw.choice(list("abcdefgh ijkl"), 3000))
+    rows = [(i, base[: 50 * i + 20] + f"<{i}>" + base[50 * i + 20 :]) for i in range(30)]
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.glob("substring-*"))
+    found = substrings.drop_repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter(map(tuple, found)) == expected_substrings(rows)
+    made = [f for f in set(folder.glob("substring-*")) - before if "windows" in f.name]
+    assert len(made) == 1 and 0 < spark.read.parquet(str(made[0])).count() < 30 * 1000
+    assert not [f for f in set(folder.glob("substring-*")) - before if "contexts" in f.name or "anchors" in f.name]
