@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tests.llm.corpus import FOLDER, HAVE_TABLES, LOWER, awkward, awkward_rows, empty, words
 from tidewarden.llm import exact, lines, near, registry, substrings
 from tidewarden.llm import bytescan as B
+from tidewarden.llm.common import settled
 from tidewarden.llm.links import components
 from tidewarden.llm.ordering import repeated_rows
 from tidewarden.llm.suffixes import suffix_ranks
@@ -390,15 +391,22 @@ def test_repeated_rows_of_rare_and_hot_keys(spark, weighted):
     assert collections.Counter(map(tuple, found.collect())) == collections.Counter(r for r in rows if r[0] is not None and sums[r[0]] > 1)
 
 
-def test_the_check_of_ends_writes_windows_of_unlike_places_only(spark):
-    """Near copies in which every text has its own word: what is written for windows stays below one row per byte of unlike places."""
+def test_the_check_of_ends_writes_windows_of_unlike_places_only(spark, monkeypatch):
+    """Near copies in which every text has its own word: what is written for windows stays below a row per byte, and no table is left but the result."""
     draw = np.random.default_rng(10)
     base = "".join(draw.choice(list("abcdefgh ijkl"), 3000))
     rows = [(i, base[: 50 * i + 20] + f"<{i}>" + base[50 * i + 20 :]) for i in range(30)]
+    counts = {}
+
+    def counted(frame, label, **options):
+        made = settled(frame, label, **options)
+        counts[label] = made.count()
+        return made
+
+    monkeypatch.setattr(substrings, "settled", counted)
     folder = Path(shared_folder(spark).removeprefix("file:"))
-    before = set(folder.glob("substring-*"))
+    before = set(folder.iterdir())
     found = substrings.drop_repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert collections.Counter(map(tuple, found)) == expected_substrings(rows)
-    made = [f for f in set(folder.glob("substring-*")) - before if "windows" in f.name]
-    assert len(made) == 1 and 0 < spark.read.parquet(str(made[0])).count() < 30 * 1000
-    assert not [f for f in set(folder.glob("substring-*")) - before if "contexts" in f.name or "anchors" in f.name]
+    assert 0 < counts["substring-windows"] < 30 * 1000 and "substring-contexts" not in counts
+    assert [f.name.rsplit("-", 1)[0] for f in set(folder.iterdir()) - before] == ["substring-removed"]
